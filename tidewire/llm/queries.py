@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import fingerprints
+from tidewire.llm import fingerprints, quality, toxicity
 from tidewire.llm.shared import table
 
 
@@ -12,8 +12,18 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints,)}
+    return {f.__name__: f for f in (op1_fingerprints, op6_toxicity, op7_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
