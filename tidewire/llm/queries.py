@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import fingerprints, mixing, near_dup, quality, secrets, toxicity
+from tidewire.llm import fingerprints, mixing, near_dup, pieces, quality, secrets, toxicity
 from tidewire.llm.shared import table
 
 
@@ -30,12 +30,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), pieces.Pieces.load())
+
+
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op4_mixing, op6_toxicity, op7_quality, op9_near_dup)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op4_mixing, op6_toxicity, op7_quality, op8_pieces, op9_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
