@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import fingerprints, mixing, near_dup, pieces, quality, secrets, toxicity
+from tidewire.llm import fingerprints, mixing, near_dup, neighbours, pieces, quality, secrets, substrings, toxicity
 from tidewire.llm.shared import table
 
 
@@ -16,10 +16,18 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.passages(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -39,7 +47,7 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op4_mixing, op6_toxicity, op7_quality, op8_pieces, op9_near_dup)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op3_substrings, op4_mixing, op5_neighbours, op6_toxicity, op7_quality, op8_pieces, op9_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
