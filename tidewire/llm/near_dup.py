@@ -7,12 +7,10 @@ linked if 100 * intersection >= 75 * union, counted on the full sets of 64-bit s
 * Equal sets are one class, represented by its least id, so copies never meet as pairs.
 * ``BANDS`` bands of ``ROWS`` MinHash values: a pair at similarity 0.75 shares no band with probability 1.3e-6.
 * The same values, folded into a parity bitmap of ``BITS`` bits: the population count of the XOR of two bitmaps
-  estimates the similarity; pairs whose estimate is under 0.5 (over five deviations below 0.75) are dropped unread.
-* Within a bucket no pairs are listed at first: every member is compared with one pivot, drawn anew in each band, so
-  a member meets some dozens of different members of a large group. Only members of one bucket that are still in
-  different components are then compared: in small buckets with each other; in large ones where the triangle
-  inequality of the Jaccard distance to the pivot leaves a link possible; the rest moves on, split by a further band
-  each round. Nothing is capped or left out.
+  estimates the similarity; pairs whose estimate is under 0.5 (over five deviations below 0.75) are not read in full.
+* Within a bucket every member is first compared with the least one only. Then only members of one bucket that are
+  still in different components are compared: in small buckets as pairs; in large ones those outside the least one's
+  component with all others, block by block inside tasks that return links only. Nothing is capped or left out.
 
 Defined results: a null text counts as empty; a row with a null id is linked with nothing and kept, its component
 null; rows that repeat an id are one document (all its rows are kept or none).
@@ -31,9 +29,11 @@ from pyspark.sql import functions as F
 from tidewire.operators.components import connected_components
 from tidewire.sources.shared_folder import written
 
-WORDS, BANDS, ROWS, BITS, SMALL = 5, 50, 5, 1024, 24
-#: Differing bits at which the estimate is 0.5; and what an estimated distance may be off by, over three deviations.
-MOST_BITS, SLACK = 199, 0.1
+WORDS, BANDS, ROWS, BITS = 5, 50, 5, 1024
+#: Most members of a small bucket; members in one block of those outside the main component, and of all.
+SMALL, OUTSIDE, ALL = 24, 256, 1024
+#: Differing bits at which the estimate of the similarity, 1 + BITS / (4 * samples) * ln(1 - 2 * differing / BITS), is 0.5.
+MOST_BITS = int(BITS / 2 * (1 - np.exp(-2.0 * BANDS * ROWS / BITS))) + 1
 
 _draw = np.random.default_rng(20240229)
 _TIMES = _draw.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -143,13 +143,8 @@ def _differing(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
-def estimate(differing: Column) -> Column:
-    """Similarity of two sets from the differing bits of their odd sketches."""
-    return 1 + BITS / (4.0 * BANDS * ROWS) * F.log(1 - F.least(differing, F.lit(BITS // 2 - 1)) * (2.0 / BITS))
-
-
 def _sifted(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) with the estimated similarity of each; those whose sizes forbid a link are gone."""
+    """The distinct pairs (a, b) whose sizes and sketches allow a link."""
     side = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
     return (
         pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -157,8 +152,7 @@ def _sifted(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         .join(side("a"), "a")
         .join(side("b"), "b")
         .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * 75)
-        .select("a", "b", _differing(F.col("sketch_a"), F.col("sketch_b")).alias("differing"))
-        .where(F.col("differing") <= MOST_BITS)
+        .where(_differing(F.col("sketch_a"), F.col("sketch_b")) <= MOST_BITS)
         .select("a", "b")
     )
 
@@ -171,39 +165,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Confirmed links (a, b) that join every two representatives whose sets are linked through any chain."""
-    members = _met(reps.select("id", F.posexplode("bands").alias("band", "bucket")))
+    placed = reps.select("id", F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("pivot")).where("size > 1")
+    members = written(placed.join(shared, "bucket"), "members")
     sets = written(_sets(docs, reps.select("id", "set_key").join(members.select("id").distinct(), "id", "left_semi"), id_col, text_col), "sets")
-    first = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    found = written(_confirmed(_sifted(first, reps), sets), "links")
-    while True:
-        parts = connected_components(found).select("id", "component")
-        open_ = _still_open(members, parts)
-        small, large = open_.where(f"size <= {SMALL}"), open_.where(f"size > {SMALL}")
-        left, right = (small.select("bucket", F.col("id").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
-        pairs = left.join(right, "bucket").where("a < b and part_a <> part_b").select("a", "b")
-        if large.isEmpty():
-            return found.unionAll(written(_confirmed(_sifted(pairs, reps), sets), "links"))
-        large = written(_distances(large, reps), "large")
-        inside, outside = large.where("part = pivot_part"), large.where("part <> pivot_part")
-        across = (
-            outside.select("bucket", F.col("id").alias("a"), F.col("distance").alias("d_a"))
-            .where(f"d_a <= 0.5 + {SLACK}")
-            .join(inside.select("bucket", F.col("id").alias("b"), F.col("distance").alias("d_b")), "bucket")
-            .where(f"d_a - d_b <= 0.25 + {SLACK}")
-            .select("a", "b")
-        )
-        new = written(_confirmed(_sifted(pairs.unionAll(across), reps), sets), "links")
-        # What is outside the pivot's component goes on without what is inside it, split by a further band.
-        further = outside.join(reps.select("id", F.posexplode("bands").alias("next", "key")), "id").where("next > band")
-        members = _met(further.select("id", F.col("next").alias("band"), F.xxhash64("bucket", "key").alias("bucket")))
-        first = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-        found = written(found.unionAll(new).unionAll(_confirmed(_sifted(first, reps), sets)), "links")
-
-
-def _met(placed: DataFrame) -> DataFrame:
-    """The members of buckets of two or more, each with its bucket's size and pivot."""
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min_by("id", F.xxhash64("bucket", "id")).alias("pivot")).where("size > 1")
-    return written(placed.join(shared, "bucket"), "members")
+    stars = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    found = written(_confirmed(_sifted(stars, reps), sets), "links")
+    still_open = _still_open(members, connected_components(found))
+    small = still_open.where(f"size <= {SMALL}")
+    left, right = (small.select("bucket", F.col("id").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
+    pairs = left.join(right, "bucket").where("a < b and part_a <> part_b").select("a", "b")
+    return found.unionAll(written(_confirmed(_sifted(pairs, reps), sets), "links")).unionAll(written(_across(still_open.where(f"size > {SMALL}"), sets), "links"))
 
 
 def _still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -212,16 +184,50 @@ def _still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
     own = (
         members.join(of("id", "own"), "id", "left")
         .join(of("pivot", "its"), "pivot", "left")
-        .select("bucket", "band", "id", "size", "pivot", F.coalesce("own", "id").alias("part"), F.coalesce("its", "pivot").alias("pivot_part"))
+        .select("bucket", "id", "size", F.coalesce("own", "id").alias("part"), F.coalesce("its", "pivot").alias("pivot_part"))
     )
     split = own.where("part <> pivot_part").select("bucket").distinct()
     return written(own.join(split, "bucket", "left_semi"), "open")
 
 
-def _distances(large: DataFrame, reps: DataFrame) -> DataFrame:
-    """Each member with its estimated Jaccard distance to the pivot."""
-    near = large.join(reps.select("id", "sketch"), "id").join(reps.select(F.col("id").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-    return near.select("bucket", "band", "id", "part", "pivot_part", (1 - estimate(_differing(F.col("sketch"), F.col("pivot_sketch")))).alias("distance"))
+def _across(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links between those outside a large bucket's main component and all that share such a bucket with them.
+
+    The buckets around one component are taken together. Who is outside goes in blocks of ``OUTSIDE``, all who are
+    there in blocks of ``ALL``, by classes of set size of which only neighbours can be linked; each task counts the
+    common shingles of one block with one other and returns a link for each member and component.
+    """
+    size = F.floor(F.log(F.size("shingles").cast("double")) / float(np.log(4 / 3))).cast("int")
+    all_ = written(large.groupBy("pivot_part", "id").agg(F.first("part").alias("part")).join(sets, "id").withColumn("class", size), "around")
+    outside = all_.where("part <> pivot_part").withColumn("class", F.explode(F.array(*(F.col("class") + i for i in (-1, 0, 1)))))
+    counts = lambda df, most, name: df.groupBy("pivot_part", "class").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
+    blocks = counts(outside, OUTSIDE, "n_out").join(counts(all_, ALL, "n_all"), ["pivot_part", "class"])
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = ["pivot_part", "class", "o", "i"]
+    outer = outside.join(blocks, ["pivot_part", "class"]).withColumn("o", own("n_out")).withColumn("i", each("n_all")).select(*keys, "id", "part", "shingles")
+    inner = all_.join(blocks, ["pivot_part", "class"]).withColumn("i", own("n_all")).withColumn("o", each("n_out")).select(*(F.col(c).alias(c) for c in (*keys, "id", "part", "shingles")))
+
+    def linked(outer: pa.Table, inner: pa.Table) -> pa.Table:
+        ids, parts = inner["id"].to_numpy(), inner["part"].to_numpy()
+        lists = inner["shingles"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, whose = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), sizes)
+        order = np.argsort(flat, kind="stable")
+        flat, whose, got = flat[order], whose[order], []
+        for one, part, own_set in zip(outer["id"].to_pylist(), outer["part"].to_pylist(), outer["shingles"].to_pylist(), strict=True):
+            own_set = np.array(own_set, np.int64)
+            lo, hi = np.searchsorted(flat, own_set, "left"), np.searchsorted(flat, own_set, "right")
+            n = hi - lo
+            at = np.arange(n.sum()) + np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) if n.any() else np.zeros(0, np.int64)
+            common = np.bincount(whose[at], minlength=len(ids))
+            near = np.flatnonzero((100 * common >= 75 * (len(own_set) + sizes - common)) & (parts != part))
+            if len(near):
+                _, firsts = np.unique(parts[near], return_index=True)
+                got += [(one, int(ids[near[f]])) for f in firsts]
+        return pa.table({"a": pa.array([x for x, _ in got], pa.int64()), "b": pa.array([x for _, x in got], pa.int64())})
+
+    return outer.groupBy(*keys).cogroup(inner.groupBy(*keys)).applyInArrow(linked, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
