@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import fingerprints, mixing, near_dup, neighbours, pieces, quality, secrets, substrings, toxicity
+from tidewire.llm import fingerprints, licenses, mixing, near_dup, neighbours, pieces, quality, secrets, substrings, toxicity
 from tidewire.llm.shared import table
 
 
@@ -46,8 +46,12 @@ def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op3_substrings, op4_mixing, op5_neighbours, op6_toxicity, op7_quality, op8_pieces, op9_near_dup)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op3_substrings, op4_mixing, op5_neighbours, op6_toxicity, op7_quality, op8_pieces, op9_near_dup, op10_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
