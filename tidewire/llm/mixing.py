@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewire.sources.shared_folder import written
 
-WEIGHTS, MOST, SEED, ROWS_IN_RANGE = (5, 2, 1), 3, "mix-1", 20_000
+WEIGHTS, MOST, SEED = (5, 2, 1), 3, "mix-1"
 #: Marks that clean prose has few of; their share of a text lowers its quality.
 MARKS = "#$%&*|!{}[]<>\\^~="
 
@@ -76,8 +76,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = sizes.join(F.broadcast(goals) if _few(goals) else goals, sizes["source"].eqNullSafe(goals["source"])).drop(goals["source"])
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rows = rows.withColumns({"full": full, "rest": F.col("target") - full * F.col("source_size")})
-    # The keys' ranges hold about equal numbers of documents: 1 - exp(-key) is nearly uniform.
-    n = F.ceil(F.col("docs") / ROWS_IN_RANGE)
+    # As many ranges as rows in each: 1 - exp(-key) is nearly uniform.
+    n = F.ceil(F.sqrt("docs"))
     rows = rows.withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key"))) * n), n - 1).cast("bigint"))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
     upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
