@@ -54,28 +54,66 @@ def pair_score() -> Column:
     return F.when(conflict | ~evidence, 0.0).otherwise(F.least(total, F.lit(1.0)))
 
 
-def match_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) -> DataFrame:
-    """(a, b, score) of pairs of one category at most ``hours`` apart that score ``least`` or more.
+def _candidates(nodes: DataFrame, hours: float) -> DataFrame:
+    """(a_id, b_id) of nodes (id, category, bucket, lo, hi, title_tokens) that may have evidence within the hours.
 
-    Evidence needs two common title tokens or one title inside the other, so pairs meet on a title token, the rarest
-    shared one of which is enough; articles of equal features are one node, compared once.
+    Evidence needs k = max(2, 0.45 n) of the n tokens of the smaller title, or, with one title inside the other, all
+    but two. Sorted from the rarest token, the smaller title's first n - k + 1 tokens must therefore hold a common one;
+    so only those are looked up among all tokens of the larger title, and frequent tokens meet hardly ever.
     """
-    feats = written(feats, "features")
-    seconds = F.col("published_at").cast("timestamp").cast("double")
-    keyed = feats.select("id", "category", seconds.alias("s"), F.explode("title_tokens").alias("token"), F.floor(seconds / (hours * 3600)).alias("bucket"))
-    near = keyed.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + i for i in (-1, 0, 1)))))
-    met = (
-        keyed.alias("x")
-        .join(near.alias("y"), ["category", "bucket", "token"])
-        .where((F.col("x.id") < F.col("y.id")) & (F.abs(F.col("x.s") - F.col("y.s")) <= hours * 3600))
-        .groupBy(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id"))
-        .agg(F.count("*").alias("shared"))
-    )
+    n = F.size("title_tokens")
+    tokens_ = nodes.select("id", "category", "bucket", "lo", "hi", n.alias("n"), F.explode("title_tokens").alias("token"))
+    counts = tokens_.groupBy("token").agg(F.count("*").alias("times"))
+    needed = F.greatest(F.lit(1), F.least(F.greatest(F.lit(2), F.ceil(0.45 * F.col("n"))), F.col("n") - 2))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("times", "token"))
+    smaller = tokens_.join(counts, "token").withColumn("place", place).where(F.col("place") <= F.col("n") - needed + 1)
+    larger = tokens_.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + i for i in (-1, 0, 1)))))
+    x, y = smaller.alias("x"), larger.alias("y")
+    met = x.join(y, ["category", "bucket", "token"]).where((F.col("x.id") != F.col("y.id")) & (F.col("x.n") <= F.col("y.n")))
+    close = F.greatest("x.lo", "y.lo") - F.least("x.hi", "y.hi") <= hours * 3600
+    return met.where(close).select(F.least("x.id", "y.id").alias("a_id"), F.greatest("x.id", "y.id").alias("b_id")).distinct()
+
+
+def _scored(met: DataFrame, feats: DataFrame, least: float) -> DataFrame:
     side = lambda p: feats.select(*(F.col(c).alias(f"{p}_{c}") for c in feats.columns))
     scored = met.join(side("a"), "a_id").join(side("b"), "b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score().alias("score"))
     return scored.where(F.col("score") >= least)
 
 
+def _timed(feats: DataFrame, hours: float) -> DataFrame:
+    seconds = F.col("published_at").cast("timestamp").cast("double")
+    return feats.withColumn("s", seconds).withColumn("bucket", F.floor(F.col("s") / (hours * 3600)))
+
+
+def match_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) -> DataFrame:
+    """(a, b, score) of all pairs of one category at most ``hours`` apart that score ``least`` or more.
+
+    Copies give all their pairs here, as these are the result; ``group_edges`` joins the same groups without them.
+    """
+    feats = written(feats, "features")
+    nodes = _timed(feats, hours).select("id", "category", "bucket", F.col("s").alias("lo"), F.col("s").alias("hi"), "title_tokens")
+    return _scored(_candidates(nodes, hours), feats, least)
+
+
+def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) -> DataFrame:
+    """(a, b): links that give the same components as ``match_edges``, with copies taken together.
+
+    Articles of equal features in one time bucket (as long as ``hours``) are one node with a first and a last time:
+    their gaps are within the hours and equal titles with tokens always score enough. Two nodes are within the hours of
+    each other exactly if some of their members are.
+    """
+    key = F.sha2(F.to_json(F.struct("category", "title", *(F.array_sort(c) for c in ("title_tokens", "lead_tokens", "signals", "actions", "numbers")))), 256)
+    timed = written(_timed(feats, hours).where(F.size("title_tokens") > 0).withColumn("key", key), "features")
+    nodes = written(timed.groupBy("key", "bucket").agg(F.min("id").alias("node"), F.min("s").alias("lo"), F.max("s").alias("hi")), "nodes")
+    members = timed.select("id", "key", "bucket").join(nodes.select("key", "bucket", "node"), ["key", "bucket"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
+    before = Window.partitionBy("key").orderBy("bucket")
+    in_turn = nodes.withColumns({"prev": F.lag("node").over(before), "prev_hi": F.lag("hi").over(before)})
+    chained = in_turn.where(F.col("lo") - F.col("prev_hi") <= hours * 3600).select(F.col("prev").alias("a"), F.col("node").alias("b"))
+    firsts = timed.drop("bucket", "s", "key").join(nodes.select(F.col("node").alias("id"), "bucket", "lo", "hi"), "id")
+    met = _candidates(firsts.select("id", "category", "bucket", "lo", "hi", "title_tokens"), hours)
+    return members.unionAll(chained).unionAll(_scored(met, firsts.drop("bucket", "lo", "hi"), least).select("a", "b"))
+
+
 def representative_score(source_rank: Column, chars: Column, title_tokens: Column, translated: Column) -> Column:
     return source_rank * 100_000 + chars + 100 * title_tokens + F.when(translated, 5_000).otherwise(0)
 
