@@ -106,9 +106,11 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     repeats = counted.where("times > 1").select("high", "low", "first", F.coalesce(F.col("first") < F.col("last"), F.lit(False)).alias("shared"))
     within = Window.partitionBy("doc_id", "high", "low").orderBy("n")
     again = cut.join(repeats, ["high", "low"]).withColumn("surplus", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(True)) | (F.row_number().over(within) > 1))
-    # Runs of adjacent chunks that are alike in being surplus.
-    before = Window.partitionBy("doc_id").orderBy("n")
-    opens = F.coalesce((F.col("n") > F.lag("n").over(before) + 1) | (F.col("surplus") != F.lag("surplus").over(before)), F.lit(True))
+    again = again.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "high", "low", "n").orderBy("n")))
+    # Runs of adjacent chunks that are alike in being surplus; copies of a repeated row one after the other.
+    before = Window.partitionBy("doc_id").orderBy("copy", "n")
+    was = lambda c: F.lag(c).over(before)
+    opens = F.coalesce((F.col("n") > was("n") + 1) | (F.col("copy") != was("copy")) | (F.col("surplus") != was("surplus")), F.lit(True))
     runs = again.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(before.rowsBetween(Window.unboundedPreceding, 0)))
     found = runs.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.max("surplus").alias("surplus"), F.max("shared").alias("shared")
