@@ -248,3 +248,26 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of ``docs``, all columns, that are their component's least id."""
     gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
+
+
+#: ``near_duplicates`` in DuckDB's SQL, by counting common shingles.
+SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
+), flat AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS c FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), edges AS (
+  SELECT a, b FROM pairs WHERE 100 * c >= 75 * (n + m - c)
+), both_ways AS (
+  SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges
+), walk AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT w.a, e.b FROM walk w JOIN both_ways e ON w.b = e.a
+), parts AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM walk GROUP BY a
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept FROM sets s JOIN parts p ON s.doc_id = p.doc_id
+"""

@@ -55,4 +55,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op4_mixing.__name__: mixing.SQL}
+    return {"op4_mixing": mixing.SQL, "op9_near_dup": near_dup.SQL}
