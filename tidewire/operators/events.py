@@ -109,7 +109,7 @@ def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) ->
     before = Window.partitionBy("key").orderBy("bucket")
     in_turn = nodes.withColumns({"prev": F.lag("node").over(before), "prev_hi": F.lag("hi").over(before)})
     chained = in_turn.where(F.col("lo") - F.col("prev_hi") <= hours * 3600).select(F.col("prev").alias("a"), F.col("node").alias("b"))
-    firsts = timed.drop("bucket", "s", "key").join(nodes.select(F.col("node").alias("id"), "bucket", "lo", "hi"), "id")
+    firsts = written(timed.drop("bucket", "s", "key").join(nodes.select(F.col("node").alias("id"), "bucket", "lo", "hi"), "id"), "firsts")
     met = _candidates(firsts.select("id", "category", "bucket", "lo", "hi", "title_tokens"), hours)
     return members.unionAll(chained).unionAll(_scored(met, firsts.drop("bucket", "lo", "hi"), least).select("a", "b"))
 
