@@ -41,7 +41,7 @@ def strip_blocks(html: Column) -> Column:
     """As above with a line for every block."""
     bare = F.regexp_replace(html, "(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
     lines = F.regexp_replace(F.regexp_replace(bare, "(?i)<br\\s*/?>|</(?:p|div|li|h[1-6]|article|section)>", "\n"), "<[^>]*>", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(lines, "[ \\t]+", " "), "\\s*\\n\\s*", "\n"))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(lines, "[ \\t]+", " "), "\\s*\\n\\s*", "\n"), "^\\s+|\\s+$", "")
 
 
 def title(html: Column) -> Column:
