@@ -75,8 +75,14 @@ def _candidates(nodes: DataFrame, hours: float) -> DataFrame:
 
 
 def _scored(met: DataFrame, feats: DataFrame, least: float) -> DataFrame:
-    side = lambda p: feats.select(*(F.col(c).alias(f"{p}_{c}") for c in feats.columns))
-    scored = met.join(side("a"), "a_id").join(side("b"), "b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score().alias("score"))
+    """The pairs that score enough. Titles alone rule most of them out, before the leads are joined."""
+    side = lambda p, columns: feats.select(*(F.col(c).alias(f"{p}_{c}") for c in columns))
+    titles = ["id", "title", "title_tokens"]
+    exact = F.coalesce(same_or_contained(F.col("a_title"), F.col("b_title")), F.lit(False))
+    shared, smaller = common(F.col("a_title_tokens"), F.col("b_title_tokens")), F.least(F.size("a_title_tokens"), F.size("b_title_tokens"))
+    likely = met.join(side("a", titles), "a_id").join(side("b", titles), "b_id").withColumn("shared", shared)
+    likely = likely.where(((F.col("shared") >= 2) & (F.col("shared") >= 0.45 * smaller)) | exact).select("a_id", "b_id")
+    scored = likely.join(side("a", feats.columns), "a_id").join(side("b", feats.columns), "b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score().alias("score"))
     return scored.where(F.col("score") >= least)
 
 
@@ -102,8 +108,8 @@ def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) ->
     their gaps are within the hours and equal titles with tokens always score enough. Two nodes are within the hours of
     each other exactly if some of their members are.
     """
-    key = F.sha2(F.to_json(F.struct("category", "title", *(F.array_sort(c) for c in ("title_tokens", "lead_tokens", "signals", "actions", "numbers")))), 256)
-    timed = written(_timed(feats, hours).where(F.size("title_tokens") > 0).withColumn("key", key), "features")
+    key = F.sha2(F.concat_ws("\x1f", "category", "title", *(F.array_join(F.sort_array(c), " ") for c in ("title_tokens", "lead_tokens", "signals", "actions", "numbers"))), 256)
+    timed = written(_timed(written(feats, "features"), hours).where(F.size("title_tokens") > 0).withColumn("key", key), "keyed")
     nodes = written(timed.groupBy("key", "bucket").agg(F.min("id").alias("node"), F.min("s").alias("lo"), F.max("s").alias("hi")), "nodes")
     members = timed.select("id", "key", "bucket").join(nodes.select("key", "bucket", "node"), ["key", "bucket"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
     before = Window.partitionBy("key").orderBy("bucket")
