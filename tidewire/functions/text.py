@@ -15,7 +15,7 @@ MARKS, TATWEEL, QURAN_MARKS = "\\x{064B}-\\x{065F}\\x{0670}", "\\x{0640}", "\\x{
 LETTERS, LETTERS_AS = "إأآٱىة", "اااايه"
 BLANKS = "[\\s\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]+"
 BIDI = "[\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2066}-\\x{2069}]"
-QUOTES = "[\"'`\\x{00AB}\\x{00BB}\\x{2018}\\x{2019}\\x{201C}\\x{201D}]"
+QUOTES = "[\"'`\\x{201C}\\x{201D}]"
 
 
 @dataclass(frozen=True)
@@ -80,11 +80,12 @@ def normalize_sql(text: str, profile: str = "lower") -> str:
     return f"lower({text})" if p.lower else text
 
 
-def tokens(text: Column, least: int = 3, stop: tuple[str, ...] = (), profile: str = "words", most_chars: int | None = None) -> Column:
-    """Distinct words of at least ``least`` letters that are no stop words, in order."""
+def tokens(text: Column, least: int = 3, stop: tuple[str, ...] = (), profile: str = "words", most_chars: int | None = None, canonical: bool = False) -> Column:
+    """Distinct words of at least ``least`` letters that are no stop words, in order; ``canonical``: without their articles."""
     if most_chars:
         text = F.substring(text, 1, most_chars)
-    found = F.filter(F.split(normalize(text, profile), " "), lambda w: F.length(w) >= least)
+    found = F.split(normalize(text, profile), " ")
+    found = F.filter(F.transform(found, canonical_token) if canonical else found, lambda w: F.length(w) >= least)
     if stop:
         found = F.filter(found, lambda w: ~w.isin(*stop))
     return F.array_distinct(found)
@@ -104,6 +105,11 @@ def canonical_token(word: Column) -> Column:
     return F.when(whole.startswith("ال") & (F.length(whole) > 4), F.substring(whole, 3, 10_000)).otherwise(whole)
 
 
+def canonical_phrase(text: Column, profile: str = "event") -> Column:
+    """The normalised text with every word without its article."""
+    return F.array_join(F.filter(F.transform(F.split(normalize(text, profile), " "), canonical_token), lambda w: w != ""), " ")
+
+
 def numbers(text: Column, bounded: bool = True) -> Column:
     """Distinct numbers, a decimal part included; ``bounded``: not inside ASCII words."""
     pattern = "(?<![A-Za-z0-9_])\\d+(?:[.,]\\d+)?(?![A-Za-z0-9_])" if bounded else "[0-9]+(?:[.,][0-9]+)?"

@@ -1,13 +1,15 @@
-"""Reports of one event: signals, pair scores, groups, representatives."""
+"""Reports of one event: signals, pair scores, sure matches, groups, representatives."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.ids import group_id
 from tidewire.functions.lexicon import alias_signals
-from tidewire.functions.text import normalize, numbers, tokens
+from tidewire.functions.text import canonical_phrase, normalize, numbers, tokens
 from tidewire.operators.similarity import common, grouped, jaccard, overlap
 from tidewire.sources.shared_folder import written
 
@@ -15,32 +17,67 @@ from tidewire.sources.shared_folder import written
 WEIGHTS, INCIDENT, EXACT, LEAST, HOURS, LEAD = (0.29, 0.29, 0.18, 0.12, 0.12), 0.08, 0.14, 0.5, 72, 1400
 
 
-def features(articles: DataFrame, aliases: dict[str, list[str]] | None = None, actions: dict[str, list[str]] | None = None, profile: str = "words") -> DataFrame:
-    """(id, category, published_at, title, title_tokens, lead_tokens, signals, actions, numbers) of articles."""
-    lead = F.substring(F.concat_ws("\n", "title", "body"), 1, LEAD)
-    empty = F.array().cast("array<string>")
-    signals = lambda text, names: alias_signals(normalize(text, profile), names) if names else empty
-    return articles.select(
-        "id", "category", "published_at",
-        normalize(F.col("title"), profile).alias("title"),
-        tokens(F.col("title"), profile=profile).alias("title_tokens"),
-        tokens(lead, profile=profile).alias("lead_tokens"),
-        signals(lead, aliases).alias("signals"),
-        signals(F.col("title"), actions).alias("actions"),
-        numbers(lead).alias("numbers"),
+@dataclass(frozen=True)
+class Sure:
+    """Two reports of one category that share a signal of every family, at most ``hours`` apart, score ``score``."""
+
+    score: float
+    hours: float
+    families: tuple[tuple[str, ...], ...]
+
+
+@dataclass(frozen=True)
+class Language:
+    """How texts become tokens and signals: ``aliases`` and ``cues`` are looked for in title and body, ``actions`` in titles.
+
+    ``canonical``: words lose their articles, in texts and in aliases. Cues serve sure matches only. Signals are sought
+    in whole texts, or with ``whole`` off in the lead.
+    """
+
+    profile: str = "words"
+    canonical: bool = False
+    whole: bool = False
+    stop: tuple[str, ...] = ()
+    aliases: dict[str, list[str]] | None = None
+    actions: dict[str, list[str]] | None = None
+    cues: dict[str, list[str]] | None = None
+
+    def phrase(self, text: Column) -> Column:
+        return canonical_phrase(text, self.profile) if self.canonical else normalize(text, self.profile)
+
+
+def features(articles: DataFrame, language: Language = Language()) -> DataFrame:
+    """(id, category, published_at, title, title_tokens, lead_tokens, signals, actions, cues, numbers) of articles."""
+    texts = articles.withColumns({"_whole": F.concat_ws("\n", "title", "body"), "_numbers": F.concat_ws("\n", "title", F.substring("body", 1, LEAD))})
+    texts = texts.withColumn("_lead", F.substring("_whole", 1, LEAD))
+    texts = texts.withColumns({"_title": language.phrase(F.coalesce("title", F.lit(""))), "_sought": language.phrase(F.col("_whole" if language.whole else "_lead"))})
+    signals = lambda text, names: alias_signals(text, names) if names else F.array().cast("array<string>")
+    words = lambda c: tokens(F.coalesce(c, F.lit("")), stop=language.stop, profile=language.profile, canonical=language.canonical)
+    return texts.select(
+        "id", "category", "published_at", F.col("_title").alias("title"),
+        words(F.col("title")).alias("title_tokens"),
+        words(F.col("_lead")).alias("lead_tokens"),
+        signals(F.col("_sought"), language.aliases).alias("signals"),
+        signals(F.col("_title"), language.actions).alias("actions"),
+        signals(F.col("_sought"), language.cues).alias("cues"),
+        numbers(F.col("_numbers" if language.whole else "_lead")).alias("numbers"),
     )
 
 
 def same_or_contained(a: Column, b: Column, least: int = 18) -> Column:
-    """Titles equal, or one inside the other and the shorter long enough."""
-    inside = (F.least(F.length(a), F.length(b)) >= least) & (F.contains(a, b) | F.contains(b, a))
-    return (a != "") & ((a == b) | inside)
+    """One title inside the other, or both equal, and the shorter long enough."""
+    return (F.least(F.length(a), F.length(b)) >= least) & (F.contains(a, b) | F.contains(b, a))
+
+
+def _hours_apart() -> Column:
+    seconds = lambda p: F.col(f"{p}_published_at").cast("timestamp").cast("double")
+    return F.abs(seconds("a") - seconds("b")) / 3600
 
 
-def pair_score() -> Column:
+def pair_score(sure: tuple[Sure, ...] = ()) -> Column:
     """Score of a joined pair of features, columns prefixed a_ and b_; 0 without enough evidence.
 
-    First a conflict of actions rules a pair out; then the titles must be near the same, or share much, or share some
+    First a conflict of actions rules a pair out; then the first sure match counts; then the titles must be near the same, or share much, or share some
     and have support from signals, numbers or leads.
     """
     a, b = (lambda c: F.col(f"a_{c}")), (lambda c: F.col(f"b_{c}"))
@@ -51,7 +88,14 @@ def pair_score() -> Column:
     evidence = exact | ((shared >= 3) & (to >= 0.67)) | ((shared >= 2) & (to >= 0.45) & support)
     conflict = (F.size(a("actions")) > 0) & (F.size(b("actions")) > 0) & (common(a("actions"), b("actions")) == 0)
     total = sum((w * x for w, x in zip(WEIGHTS[1:], (to, lj, ej, nj), strict=True)), WEIGHTS[0] * tj) + EXACT * exact.cast("double")
-    return F.when(conflict | ~evidence, 0.0).otherwise(F.least(total, F.lit(1.0)))
+    out = F.when(conflict, 0.0)
+    every = lambda p: F.array_union(F.array_union(p("signals"), p("actions")), p("cues"))
+    for rule in sure:
+        shared_all = _hours_apart() <= rule.hours
+        for family in rule.families:
+            shared_all = shared_all & (F.size(F.array_intersect(F.array_intersect(every(a), every(b)), F.array(*map(F.lit, family)))) > 0)
+        out = out.when(shared_all, rule.score)
+    return out.when(~evidence, 0.0).otherwise(F.least(total, F.lit(1.0)))
 
 
 def _candidates(nodes: DataFrame, hours: float) -> DataFrame:
@@ -74,16 +118,63 @@ def _candidates(nodes: DataFrame, hours: float) -> DataFrame:
     return met.where(close).select(F.least("x.id", "y.id").alias("a_id"), F.greatest("x.id", "y.id").alias("b_id")).distinct()
 
 
-def _scored(met: DataFrame, feats: DataFrame, least: float) -> DataFrame:
-    """The pairs that score enough. Titles alone rule most of them out, before the leads are joined."""
+def _scored(met: DataFrame, feats: DataFrame, least: float, sure: tuple[Sure, ...] = (), certain: DataFrame | None = None) -> DataFrame:
+    """The pairs that score enough. Titles alone rule most of them out, before the leads are joined, but for the ``certain``."""
     side = lambda p, columns: feats.select(*(F.col(c).alias(f"{p}_{c}") for c in columns))
     titles = ["id", "title", "title_tokens"]
     exact = F.coalesce(same_or_contained(F.col("a_title"), F.col("b_title")), F.lit(False))
     shared, smaller = common(F.col("a_title_tokens"), F.col("b_title_tokens")), F.least(F.size("a_title_tokens"), F.size("b_title_tokens"))
     likely = met.join(side("a", titles), "a_id").join(side("b", titles), "b_id").withColumn("shared", shared)
     likely = likely.where(((F.col("shared") >= 2) & (F.col("shared") >= 0.45 * smaller)) | exact).select("a_id", "b_id")
-    scored = likely.join(side("a", feats.columns), "a_id").join(side("b", feats.columns), "b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score().alias("score"))
-    return scored.where(F.col("score") >= least)
+    if certain is not None:
+        likely = likely.unionAll(certain.select("a_id", "b_id")).distinct()
+    scored = likely.join(side("a", feats.columns), "a_id").join(side("b", feats.columns), "b_id")
+    return scored.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score(sure).alias("score")).where(F.col("score") >= least)
+
+
+def _combined(timed: DataFrame, number: int, rule: Sure) -> DataFrame:
+    """(id, s, key, actions) of each report and each choice of one of its signals from every family of a rule."""
+    made = timed.withColumn("_all", F.array_union(F.array_union("signals", "actions"), "cues"))
+    for i, family in enumerate(rule.families):
+        made = made.withColumn(f"_{i}", F.explode(F.array_intersect(F.array(*map(F.lit, family)), "_all")))
+    key = F.to_json(F.struct(F.lit(number).alias("rule"), F.coalesce("category", F.lit("")).alias("category"), *(f"_{i}" for i in range(len(rule.families)))))
+    return made.select("id", "s", key.alias("key"), "actions").where("s is not null")
+
+
+def _sure_pairs(timed: DataFrame, sure: tuple[Sure, ...]) -> DataFrame:
+    """(a_id, b_id) of all pairs that share a choice of signals within the rule's hours."""
+    out = None
+    for number, rule in enumerate(sure):
+        at = _combined(timed, number, rule).withColumn("bucket", F.floor(F.col("s") / (rule.hours * 3600)))
+        x, y = at.alias("x"), at.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + i for i in (-1, 0, 1))))).alias("y")
+        met = x.join(y, ["key", "bucket"]).where((F.col("x.id") < F.col("y.id")) & (F.abs(F.col("x.s") - F.col("y.s")) <= rule.hours * 3600))
+        pairs = met.select(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id"))
+        out = pairs if out is None else out.unionAll(pairs)
+    return out.distinct()
+
+
+def _sure_links(timed: DataFrame, sure: tuple[Sure, ...], least: float) -> DataFrame:
+    """(a, b): links that join what ``_sure_pairs`` would, without all pairs of a popular choice of signals.
+
+    Reports without actions and those of one action never conflict, so for each action they form a chain in time: those
+    of one bucket, as long as the hours, hang on its least id, and a bucket's last and the next one's first are joined.
+    """
+    out = None
+    for number, rule in enumerate(sure):
+        if rule.score < least:
+            continue
+        at = _combined(timed, number, rule)
+        known = at.select("key", F.explode("actions").alias("action")).distinct().groupBy("key").agg(F.collect_set("action").alias("known"))
+        chains = F.when(F.size("actions") > 0, F.col("actions")).otherwise(F.coalesce("known", F.array(F.lit(""))))
+        at = at.join(known, "key", "left").withColumn("chain", F.explode(chains)).withColumn("bucket", F.floor(F.col("s") / (rule.hours * 3600)))
+        at = written(at.select("id", "s", "key", "chain", "bucket"), "chains")
+        nodes = at.groupBy("key", "chain", "bucket").agg(F.min("id").alias("node"), F.min("s").alias("lo"), F.max("s").alias("hi"))
+        members = at.join(nodes, ["key", "chain", "bucket"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
+        before = Window.partitionBy("key", "chain").orderBy("bucket")
+        in_turn = nodes.withColumns({"prev": F.lag("node").over(before), "prev_hi": F.lag("hi").over(before)}).where(F.col("lo") - F.col("prev_hi") <= rule.hours * 3600)
+        links = members.unionAll(in_turn.select(F.col("prev").alias("a"), F.col("node").alias("b")))
+        out = links if out is None else out.unionAll(links)
+    return out if out is not None else timed.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
 
 
 def _timed(feats: DataFrame, hours: float) -> DataFrame:
@@ -91,25 +182,29 @@ def _timed(feats: DataFrame, hours: float) -> DataFrame:
     return feats.withColumn("s", seconds).withColumn("bucket", F.floor(F.col("s") / (hours * 3600)))
 
 
-def match_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) -> DataFrame:
+def match_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST, sure: tuple[Sure, ...] = ()) -> DataFrame:
     """(a, b, score) of all pairs of one category at most ``hours`` apart that score ``least`` or more.
 
     Copies give all their pairs here, as these are the result; ``group_edges`` joins the same groups without them.
     """
     feats = written(feats, "features")
-    nodes = _timed(feats, hours).select("id", "category", "bucket", F.col("s").alias("lo"), F.col("s").alias("hi"), "title_tokens")
-    return _scored(_candidates(nodes, hours), feats, least)
+    timed = _timed(feats, hours)
+    nodes = timed.select("id", "category", "bucket", F.col("s").alias("lo"), F.col("s").alias("hi"), "title_tokens")
+    return _scored(_candidates(nodes, hours), feats, least, sure, _sure_pairs(timed, sure) if sure else None)
 
 
-def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) -> DataFrame:
+def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST, sure: tuple[Sure, ...] = ()) -> DataFrame:
     """(a, b): links that give the same components as ``match_edges``, with copies taken together.
 
     Articles of equal features in one time bucket (as long as ``hours``) are one node with a first and a last time:
-    their gaps are within the hours and equal titles with tokens always score enough. Two nodes are within the hours of
+    their gaps are within the hours and equal titles of two tokens or 18 characters always score enough; shorter titles
+    match nothing but by signals. Two nodes are within the hours of
     each other exactly if some of their members are.
     """
-    key = F.sha2(F.concat_ws("\x1f", "category", "title", *(F.array_join(F.sort_array(c), " ") for c in ("title_tokens", "lead_tokens", "signals", "actions", "numbers"))), 256)
-    timed = written(_timed(written(feats, "features"), hours).where(F.size("title_tokens") > 0).withColumn("key", key), "keyed")
+    key = F.sha2(F.concat_ws("\x1f", "category", "title", *(F.array_join(F.sort_array(c), " ") for c in ("title_tokens", "lead_tokens", "signals", "actions", "cues", "numbers"))), 256)
+    feats = written(feats, "features")
+    told = (F.size("title_tokens") >= 2) | ((F.size("title_tokens") > 0) & (F.length("title") >= 18))
+    timed = written(_timed(feats, hours).where(told).withColumn("key", key), "keyed")
     nodes = written(timed.groupBy("key", "bucket").agg(F.min("id").alias("node"), F.min("s").alias("lo"), F.max("s").alias("hi")), "nodes")
     members = timed.select("id", "key", "bucket").join(nodes.select("key", "bucket", "node"), ["key", "bucket"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
     before = Window.partitionBy("key").orderBy("bucket")
@@ -117,7 +212,8 @@ def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST) ->
     chained = in_turn.where(F.col("lo") - F.col("prev_hi") <= hours * 3600).select(F.col("prev").alias("a"), F.col("node").alias("b"))
     firsts = written(timed.drop("bucket", "s", "key").join(nodes.select(F.col("node").alias("id"), "bucket", "lo", "hi"), "id"), "firsts")
     met = _candidates(firsts.select("id", "category", "bucket", "lo", "hi", "title_tokens"), hours)
-    return members.unionAll(chained).unionAll(_scored(met, firsts.drop("bucket", "lo", "hi"), least).select("a", "b"))
+    links = members.unionAll(chained).unionAll(_scored(met, firsts.drop("bucket", "lo", "hi"), least).select("a", "b"))
+    return links.unionAll(_sure_links(_timed(feats, hours), sure, least)) if sure else links
 
 
 def representative_score(source_rank: Column, chars: Column, title_tokens: Column, translated: Column) -> Column:

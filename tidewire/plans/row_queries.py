@@ -115,7 +115,7 @@ _F = f"""f AS (SELECT id, category, published_at, lower(trim(regexp_replace(rege
  p AS (SELECT a.id AS a, b.id AS b, a.title AS x, b.title AS y, len(list_intersect(a.tt, b.tt)) AS c, len(a.tt) AS n, len(b.tt) AS m, len(list_intersect(a.lt, b.lt)) AS lc, len(a.lt) AS ln, len(b.lt) AS lm
   FROM f a JOIN f b ON a.category = b.category AND a.id < b.id WHERE abs(epoch(a.published_at) - epoch(b.published_at)) <= 259200 AND list_has_any(a.tt, b.tt)),
  q AS (SELECT *, c::DOUBLE / (n + m - c) AS tj, c::DOUBLE / least(n, m) AS tov, CASE WHEN ln > 0 AND lm > 0 THEN lc::DOUBLE / (ln + lm - lc) ELSE 0 END AS lj,
-  x <> '' AND (x = y OR (least(length(x), length(y)) >= 18 AND (contains(x, y) OR contains(y, x)))) AS exact FROM p),
+  least(length(x), length(y)) >= 18 AND (contains(x, y) OR contains(y, x)) AS exact FROM p),
  pairs AS (SELECT a, b, least(0.29::DOUBLE * tj + 0.29::DOUBLE * tov + 0.18::DOUBLE * lj + 0.14::DOUBLE * exact::INT, 1.0) AS score FROM q
   WHERE exact OR (c >= 3 AND tov >= 0.67) OR (c >= 2 AND tov >= 0.45 AND lj >= 0.16)),
  edges AS (SELECT a, b FROM pairs WHERE score >= 0.5), both_ways AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
