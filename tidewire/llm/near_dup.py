@@ -32,6 +32,8 @@ from tidewire.sources.shared_folder import written
 WORDS, BANDS, ROWS, BITS = 5, 50, 5, 1024
 #: Most members of a small bucket; members in one block of those outside the main component, and of all.
 SMALL, OUTSIDE, ALL = 24, 256, 1024
+#: Parts over which the rows of one group are dealt when they learn how many blocks it has.
+SPREAD = 64
 #: Differing bits at which the estimate of the similarity, 1 + BITS / (4 * samples) * ln(1 - 2 * differing / BITS), is 0.5.
 MOST_BITS = int(BITS / 2 * (1 - np.exp(-2.0 * BANDS * ROWS / BITS))) + 1
 
@@ -201,12 +203,13 @@ def _across(large: DataFrame, sets: DataFrame) -> DataFrame:
     all_ = written(large.groupBy("pivot_part", "id").agg(F.first("part").alias("part")).join(sets, "id").withColumn("class", size), "around")
     outside = all_.where("part <> pivot_part").withColumn("class", F.explode(F.array(*(F.col("class") + i for i in (-1, 0, 1)))))
     counts = lambda df, most, name: df.groupBy("pivot_part", "class").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
-    blocks = counts(outside, OUTSIDE, "n_out").join(counts(all_, ALL, "n_all"), ["pivot_part", "class"])
+    blocks = counts(outside, OUTSIDE, "n_out").join(counts(all_, ALL, "n_all"), ["pivot_part", "class"]).withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    sized = lambda df: df.withColumn("spread", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SPREAD)).cast("int")).join(blocks, ["pivot_part", "class", "spread"])
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keys = ["pivot_part", "class", "o", "i"]
-    outer = outside.join(blocks, ["pivot_part", "class"]).withColumn("o", own("n_out")).withColumn("i", each("n_all")).select(*keys, "id", "part", "shingles")
-    inner = all_.join(blocks, ["pivot_part", "class"]).withColumn("i", own("n_all")).withColumn("o", each("n_out")).select(*(F.col(c).alias(c) for c in (*keys, "id", "part", "shingles")))
+    outer = sized(outside).withColumn("o", own("n_out")).withColumn("i", each("n_all")).select(*keys, "id", "part", "shingles")
+    inner = sized(all_).withColumn("i", own("n_all")).withColumn("o", each("n_out")).select(*(F.col(c).alias(c) for c in (*keys, "id", "part", "shingles")))
 
     def linked(outer: pa.Table, inner: pa.Table) -> pa.Table:
         ids, parts = inner["id"].to_numpy(), inner["part"].to_numpy()
