@@ -158,6 +158,30 @@ def test_similar_pairs_against_brute_force(spark):
     assert {r.id: r.rep for r in members.collect()} == {i: least[frozenset(s)] for i, s in rows}
 
 
+def test_set_queries_read_whole_texts(spark, tmp_path):
+    words = lambda stem, n: " ".join(f"{stem}{''.join(chr(97 + int(c)) for c in str(i))}" for i in range(n))
+    long, other, third = words("long", 90), words("other", 90), words("third", 90)
+    texts = {1: f"{words('opening', 60)} {long}", 2: f"{words('opening', 60)} {other}", 3: f"{words('elsewhere', 40)} {third} {long}", 4: f"{words('another', 40)} {third} {long}", 5: f"{words('opening', 60)} {long}"}
+    docs = [(i, t, "en", "s") for i, t in texts.items()]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    entries = {7: f"{words('opening', 60)} {words('unlike', 90)}", 8: f"{words('prelude', 60)} {texts[3]}"}
+    spark.createDataFrame(list(entries.items()), "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    of, plans = {i: frozenset(t.split()) for i, t in texts.items()}, __spark_entry__.queries()
+    least = {i: min(j for j, t in of.items() if t == s) for i, s in of.items()}
+    assert {r.id: r.rep for r in plans["set_classes"](spark, str(tmp_path)).collect()} == least
+    alike = {(a, b): len(x & y) / len(x | y) for a, x in of.items() for b, y in of.items() if a < b and {a, b} <= set(least.values())}
+    got = {(r.a, r.b): r.similarity for r in plans["set_similarity_pairs"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({p: s for p, s in alike.items() if s >= 0.5}) and set(got) == {(3, 4)}
+    best = {}
+    for i, x in of.items():
+        for e, y in ((e, frozenset(t.split())) for e, t in entries.items()):
+            score = int((0.7 * len(x & y) / min(len(x), len(y)) + 0.3 * len(x & y) / len(x | y)) * 10_000 + 0.5) / 10_000
+            if score >= 0.3:
+                best[i] = max(best.get(i, (0, 0)), (score, -e))
+    found = {r.item_id: (r.similarity, -r.entry_id) for r in plans["title_recovery_best"](spark, str(tmp_path)).collect()}
+    assert found == best and found[3][1] == -8
+
+
 def test_group_edges_join_what_match_edges_join(spark):
     draw = random.Random(5)
     titles = [" ".join(draw.choice(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]) for _ in range(draw.randint(1, 5))) for _ in range(12)]
