@@ -122,6 +122,54 @@ def test_repeated_passages(spark):
     assert all(texts[r.doc_id][r.start : r.end] in passage or passage in texts[r.doc_id][r.start : r.end] for r in found)
 
 
+def brute_passages(rows, least):
+    cut, seen, times = {}, set(), defaultdict(int)
+    for i, t in sorted(rows):
+        data = t.encode()
+        at = [0, *substrings.ends(data)]
+        cut[i] = [(len(data[:a].decode()), len(data[:b].decode()), data[a:b]) for a, b in zip(at, at[1:], strict=False)]
+        for _, _, c in cut[i]:
+            times[c] += 1
+    out = set()
+    for i, found in cut.items():
+        runs = [[]]
+        for a, b, c in found:
+            if times[c] > 1:
+                runs[-1].append((a, b, c in seen))
+            else:
+                runs.append([])
+            seen.add(c)
+        for run in (r for r in runs if r and r[-1][1] - r[0][0] >= least):
+            flags = [f for _, _, f in run]
+            for j in range(len(run)):
+                if run[j][2]:
+                    x, y = j, j
+                    while x and run[x - 1][2]:
+                        x -= 1
+                    while y + 1 < len(run) and run[y + 1][2]:
+                        y += 1
+                    flags[j] = run[y][1] - run[x][0] >= least
+            starts = [j for j in range(len(run)) if not j or flags[j] != flags[j - 1]]
+            out |= {(i, run[a][0], run[b - 1][1], flags[a]) for a, b in zip(starts, [*starts[1:], len(run)], strict=True)}
+    return out
+
+
+def test_passage_with_chunks_that_occur_earlier(spark):
+    passage = prose(100, 26)
+    at = [0, *substrings.ends(passage.encode())]
+    k = len(at) // 2 - 1
+    earlier = passage[at[k] - 16 : at[k + 1]]
+    rows = [(1, f"{prose(31, 60)} {earlier} {prose(32, 60)}"), (2, f"{prose(33, 60)} {passage} {prose(34, 60)}"), (3, f"{prose(37, 40)} {passage} {prose(38, 200)} {earlier}")]
+    inner = passage[at[1] : at[-2]]
+    # The chunk in the middle stands in the first document, and what is left of the passage on either side is short.
+    assert passage[at[k] : at[k + 1]].encode() in {rows[0][1].encode()[a:b] for a, b in zip([0, *substrings.ends(rows[0][1].encode())], substrings.ends(rows[0][1].encode()), strict=False)}
+    assert at[k] < 80 and len(passage) - at[k + 1] < 80 <= len(inner)
+    found = substrings.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.start, r.end, r.surplus) for r in found} == brute_passages(rows, 80)
+    assert {r.doc_id: r.surplus for r in found} == {2: False, 3: True}
+    assert all(inner in rows[r.doc_id - 1][1][r.start : r.end] for r in found)
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.text(max_size=3000))
 def test_chunks_cover_the_text(text):

@@ -97,6 +97,7 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     """(doc_id, start, end, surplus, shared) of every repeated passage, in code points.
 
     ``shared``: it also stands in another document. ``surplus``: all of its chunks have an earlier occurrence, so it may go.
+    A passage that is surplus in part is given in adjacent rows, the surplus ones of at least ``least`` characters each.
 
     Chunks are counted by digest before any join, on the map side first; only digests that repeat are joined back, and
     runs are formed within the document.
@@ -107,12 +108,22 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     within = Window.partitionBy("doc_id", "high", "low").orderBy("n")
     again = cut.join(repeats, ["high", "low"]).withColumn("surplus", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(True)) | (F.row_number().over(within) > 1))
     again = again.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "high", "low", "n").orderBy("n")))
-    # Runs of adjacent chunks that are alike in being surplus; copies of a repeated row one after the other.
+    # Runs of adjacent chunks, in pieces that are alike in being surplus; copies of a repeated row one after the other.
     before = Window.partitionBy("doc_id").orderBy("copy", "n")
     was = lambda c: F.lag(c).over(before)
-    opens = F.coalesce((F.col("n") > was("n") + 1) | (F.col("copy") != was("copy")) | (F.col("surplus") != was("surplus")), F.lit(True))
-    runs = again.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(before.rowsBetween(Window.unboundedPreceding, 0)))
-    found = runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max(F.col("start") + F.col("length")).alias("end"), F.max("surplus").alias("surplus"), F.max("shared").alias("shared")
-    )
-    return found.where(F.col("end") - F.col("start") >= least).select("doc_id", "start", "end", "surplus", "shared")
+    opens = F.coalesce((F.col("n") > was("n") + 1) | (F.col("copy") != was("copy")), F.lit(True))
+    turns = opens | (F.col("surplus") != was("surplus"))
+    so_far = before.rowsBetween(Window.unboundedPreceding, 0)
+    cuts = again.withColumns({"opens": opens.cast("int"), "turns": turns.cast("int")})
+    cuts = cuts.withColumns({"run": F.sum("opens").over(so_far), "piece": F.sum("turns").over(so_far)})
+    span = [F.min("start").alias("start"), F.max("end").alias("end")]
+    pieces = cuts.withColumn("end", F.col("start") + F.col("length")).groupBy("doc_id", "run", "piece").agg(*span, F.max("surplus").alias("surplus"), F.max("shared").alias("shared"))
+    # The whole run has to be long enough; a surplus piece in it that is not stays with the pieces beside it.
+    run = Window.partitionBy("doc_id", "run")
+    held = pieces.withColumn("chars", F.max("end").over(run) - F.min("start").over(run)).where(F.col("chars") >= least)
+    held = held.withColumn("surplus", F.col("surplus") & (F.col("end") - F.col("start") >= least))
+    along = run.orderBy("piece")
+    held = held.withColumn("turns", F.coalesce(F.col("surplus") != F.lag("surplus").over(along), F.lit(True)).cast("int"))
+    held = held.withColumn("part", F.sum("turns").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    found = held.groupBy("doc_id", "run", "part").agg(*span, F.max("surplus").alias("surplus"), F.max("shared").alias("shared"))
+    return found.select("doc_id", "start", "end", "surplus", "shared")
