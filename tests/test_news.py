@@ -1,4 +1,5 @@
 import random
+import re
 
 import duckdb
 import pytest
@@ -182,6 +183,38 @@ def test_set_queries_read_whole_texts(spark, tmp_path):
     assert found == best and found[3][1] == -8
 
 
+def test_event_queries_use_numbers(spark, tmp_path):
+    filler = lambda i, n: " ".join(f"{'abcdef'[i]}{chr(97 + j // 26)}{chr(97 + j % 26)}x" for j in range(n))
+    texts = [
+        f"alpha beta gamma delta. {filler(0, 60)} 4711 {filler(0, 60)}",
+        f"alpha beta gamma epsilon. {filler(1, 270)} 4711 {filler(1, 60)}",
+        f"alpha beta gamma zeta. {filler(2, 120)} 4712",
+        f"alpha beta gamma theta. {filler(3, 120)}",
+        f"one two three seven. {filler(4, 300)} 99",
+        f"one two three eight. {filler(5, 20)} 99",
+    ]
+    assert 1400 - len("alpha beta gamma epsilon\n") < texts[1].index("4711") < 1396 and texts[4].index("99") > 1400
+    docs = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    share = lambda x, y: len(x & y) / len(x | y) if x and y else 0
+    of = []
+    for t in texts:
+        title = t[: t.index(".")]
+        lead = {w for w in re.findall("[a-z0-9]+", f"{title}\n{t}"[:1400]) if len(w) >= 3}
+        of.append((set(title.split()), lead, set(re.findall("[0-9]+", t[:1400]))))
+    want = {}
+    for a, (x, l, n) in enumerate(of):
+        for b, (y, m, k) in list(enumerate(of))[a + 1 :]:
+            score = 0.29 * share(x, y) + 0.29 * len(x & y) / min(len(x), len(y)) + 0.18 * share(l, m) + 0.12 * share(n, k)
+            if len(x & y) >= 3 and score >= 0.5:
+                want[a, b] = round(score, 6)
+    plans = __spark_entry__.queries()
+    got = {(r.a, r.b): r.score for r in plans["event_pairs"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx(want) and set(got) == {(0, 1)}
+    assert {r.id: r.component for r in plans["event_groups"](spark, str(tmp_path)).collect()} == {0: 0, 1: 0, 2: 2, 3: 3, 4: 4, 5: 5}
+    assert {r.component: r.member_count for r in plans["event_group_stats"](spark, str(tmp_path)).collect()} == {0: 2, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
 def test_group_edges_join_what_match_edges_join(spark):
     draw = random.Random(5)
     titles = [" ".join(draw.choice(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]) for _ in range(draw.randint(1, 5))) for _ in range(12)]

@@ -60,7 +60,7 @@ def features(articles: DataFrame, language: Language = Language()) -> DataFrame:
         signals(F.col("_sought"), language.aliases).alias("signals"),
         signals(F.col("_title"), language.actions).alias("actions"),
         signals(F.col("_sought"), language.cues).alias("cues"),
-        numbers(F.col("_numbers" if language.whole else "_lead")).alias("numbers"),
+        numbers(F.col("_numbers")).alias("numbers"),
     )
 
 

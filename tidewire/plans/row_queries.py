@@ -124,7 +124,7 @@ _F = f"""f AS (SELECT id, category, published_at, lower(trim(regexp_replace(rege
 
 
 def _features(t: Tables):
-    return events.features(t.articles()).withColumn("numbers", F.array().cast("array<string>"))
+    return events.features(t.articles())
 
 
 @query(f"WITH RECURSIVE {_F} SELECT a, b, round(score, 6) AS score FROM pairs WHERE score >= 0.5")
