@@ -114,7 +114,7 @@ _WORDS = lambda expr, terms: f"regexp_matches({expr}, '{_B.format('|'.join(terms
 @query(f"""SELECT id, CASE WHEN category <> 'en' THEN NULL WHEN {_WORDS("title", ["of", "in"])} AND NOT {_WORDS("title", ["the", "and"])} THEN 'FOREIGN_SECURITY_PRIMARY_TITLE'
   WHEN NOT {_WORDS("title", ["the", "and"])} AND NOT {_WORDS("left(lead, 200)", ["the", "and"])} THEN 'NO_HOME_EVIDENCE' END AS reason FROM {ARTICLES}""")
 def scope_gate(spark, d):
-    gate = rules.scope_gate(F.col("category"), F.col("title"), F.substring("lead", 1, 200), "en", ["the", "and"], ["of", "in"], "")
+    gate = rules.scope_gate(F.col("category"), F.col("title"), F.substring("body", 1, 2200), "en", ["the", "and"], ["of", "in"], "")
     return Tables(spark, d).articles().select("id", gate.alias("reason"))
 
 
