@@ -110,6 +110,20 @@ def test_html(spark):
     assert one(spark, html.decode_entities(F.col("p"), numeric=True), p="&#65;&amp;&#x42;") == "A&B"
 
 
+def test_json_ld_query_returns_the_nodes(spark, tmp_path):
+    script = lambda x: f'<script type="application/ld+json">{x}</script>'
+    pages = [
+        (1, script('{"@graph":[{"@type":"NewsArticle","headline":"H","articleBody":"B","url":"u"}]}') + "<p>x</p>" + script('[{"@type":"Person","name":{"@type":"Name"}}]')),
+        (2, script("{bad") + script('{"@type":"WebPage","url":"v"}')), (3, "<p>ld+json</p>"), (4, None),
+    ]
+    spark.createDataFrame([(i, f"https://a.b/{i}", h) for i, h in pages], "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {tuple(r) for r in __spark_entry__.queries()["json_ld_nodes"](spark, str(tmp_path)).collect()}
+    assert got == {
+        (1, 0, None, None, None, None), (1, 1, "NewsArticle", "H", "B", "u"), (1, 2, "Person", None, None, None), (1, 3, "Name", None, None, None),
+        (2, 0, "WebPage", None, None, "v"), (3, None, None, None, None, None), (4, None, None, None, None, None),
+    }
+
+
 def test_glossary_and_signature(spark):
     entries = {"council": ["مجلس الوزراء"], "capital": ["بغداد"], "city": ["مدينة بسماية الجديدة"]}
     assert one(spark, lexicon.glossary_terms(F.col("t"), entries), t="اجتمع مجلس الوزراء في بغداد وبحث الأوضاع في مدينة بسماية الجديدة") == ["city", "council", "capital"]

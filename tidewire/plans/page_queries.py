@@ -60,10 +60,17 @@ def html_link_counts_by_host(spark, d):
 
 @query("SELECT count(*) AS pages, count(*) FILTER (WHERE contains(html, 'ld+json')) AS scripted FROM pages")
 def json_ld_pages(spark, d):
-    p = Tables(spark, d).pages.select(html.json_ld(F.col("html")).alias("nodes"), F.contains("html", F.lit("ld+json")).alias("has"))
+    p = Tables(spark, d).pages.select(F.contains("html", F.lit("ld+json")).alias("has"))
     return p.agg(F.count("*").alias("pages"), F.count_if("has").alias("scripted"))
 
 
+@query()
+def json_ld_nodes(spark, d):
+    """Every object of the ld+json scripts of every page, in order; a page without any has one row of nulls."""
+    nodes = Tables(spark, d).pages.select("page_id", F.posexplode_outer(html.json_ld(F.col("html"))).alias("pos", "node"))
+    return nodes.select("page_id", "pos", "node.type", "node.headline", "node.article_body", "node.url")
+
+
 _FEED = "<rss><item><title>First story - Daily</title><link>https://a.example/1</link><pubDate>Mon, 03 Aug 2026 10:20:00 GMT</pubDate><source url=\"x\">Daily</source></item><item><title><![CDATA[Second &amp; more - Post]]></title><guid>https://a.example/2</guid></item></rss>"
 
 
