@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int | str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``most`` bytes of a text column, or of one row: so many texts are Python strings at once."""
+    for batch in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        upto, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < len(sizes):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def fold(doc_id: Column) -> Column:
     """Held-out fold of a document: crc32 of the id's decimal text, modulo 5. A null id is in fold -1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(-1).cast("bigint"))
