@@ -1,26 +1,36 @@
 """Secret scan: a worklist unwraps URL, Unicode, base64 and compressed layers, and every layer is scanned again.
 
 A layer is a string with, for each of its characters, the span of the original text it came from. Scanning a text
-starts with the text itself; each decoder that changes a layer puts a new layer on the worklist; a layer whose content
-and place were seen before is not taken again, so the list reaches a fixpoint also where decoding runs in a circle.
-A match in any layer is reported as the span of the original text that its characters came from.
+starts with the text itself; each decoder that changes a layer gives a new one, taken at once (depth first, so one
+chain of layers is held at a time); a layer whose content and places were seen before is not taken again, so the list
+reaches a fixpoint also where decoding runs in a circle. A match in any layer is reported as the span of the original
+text that its characters came from.
+
+Decoded bytes become characters of the same number: all patterns are ASCII, so bytes of any encoding, control
+characters and binary content are scanned in place; characters that alternate with NUL (UTF-16) are drawn together.
+Base64 runs may go on over line ends and are read from each of their first four characters, so what stands before them
+in the same run does no harm; a run that decodes to plain text is also put back into its surroundings.
+
+A compressed layer stands at one place, so all that counts is which kinds of secrets it holds. It is read as a stream
+in pieces, never as a whole: pieces end at a character that no match and no encoded run can hold; compressed layers
+within are streams of their own that go on from piece to piece. Only where ``LONGEST`` characters hold no such place
+are pieces cut anyway, with ``OVERLAP`` characters in common: secrets of up to that length are found there too, but of
+a compressed layer in a base64 run of that length, itself inside a compressed layer, only the first ``LONGEST``
+characters are unpacked. Streams nested over ``DEEPEST`` deep, or for the third time with one beginning, are not followed.
 
 Defined results: a null text counts as empty and has no spans. Spans are in code points, end exclusive, without
-repeats, by start, then kind as in ``KINDS``, then end. A layer larger than ``MAX_LAYER`` characters is not unpacked
-from a compressed one (a bound on memory against decompression bombs; no text is cut).
+repeats, by start, then kind as in ``KINDS``, then end.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
-from urllib.parse import unquote_to_bytes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +38,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.shared import slices
+
 KINDS = ("assign", "access", "hex")
-MAX_LAYER = 1 << 24
+PIECE, LONGEST, OVERLAP, DEEPEST = 1 << 20, 1 << 22, 1 << 16, 64
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -38,10 +50,16 @@ _KEYS = (b"password", b"passwd", b"secret", b"token", b"api")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~/-])+")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-# First bytes of gzip, bzip2, xz and Zstandard files; a zlib stream is told by its two-byte header.
-_MAGIC = {b"\x1f\x8b": "gzip", b"BZh": "bz2", b"\xfd7zXZ\x00": "xz", b"\x28\xb5\x2f\xfd": "zstd"}
+_WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){6,}|(?:\x00[\t\n\r\x20-\x7e]){6,}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{4,})*")
+_BREAK = re.compile(r"[\r\n\x20\t]+")
+# First characters of gzip, bzip2, xz and Zstandard files and of zlib streams at the usual levels.
+_MAGIC = re.compile(r"(\x1f\x8b\x08)|(BZh[1-9]1AY&SY)|(\xfd7zXZ\x00)|(\x28\xb5\x2f\xfd)|(\x78[\x01\x5e\x9c\xda])")
+_MAGIC_BYTES = re.compile(_MAGIC.pattern.encode("latin-1"), re.DOTALL)
+#: One of these stands in every layer that holds a match or can be decoded further.
+_HINT = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|\x00|[A-Za-z0-9+/_-]{16}|" + _MAGIC.pattern)
+#: Characters that no match and no encoded run holds.
+_APART = re.compile(rb"""[^A-Za-z0-9+/_.=\-"':\x20%\\&#;{}\x00\t\r\n]""")
 
 Spans = list[tuple[str, int, int]]
 
@@ -49,7 +67,7 @@ Spans = list[tuple[str, int, int]]
 def base_spans(text: str) -> Spans:
     """Leftmost non-overlapping matches of each kind, without those too short."""
     found: Spans = []
-    low = text.encode().lower()
+    low = text.encode("utf-8", "surrogatepass").lower()
     if any(key in low for key in _KEYS):
         found += [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     if "AKIA" in text:
@@ -67,83 +85,101 @@ def listed(spans: Spans) -> str:
 
 
 class Layer:
-    """A decoded string and the span of the original text behind each of its characters."""
+    """A decoded string and the span of the original text behind each of its characters; without places, its own."""
 
-    def __init__(self, text: str, start: np.ndarray, end: np.ndarray):
+    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None):
         self.text, self.start, self.end = text, start, end
 
-    @classmethod
-    def root(cls, text: str) -> Layer:
-        return cls(text, np.arange(len(text)), np.arange(1, len(text) + 1))
+    def places(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The spans behind the stretches from each character of ``first`` to that of ``last``."""
+        if self.start is None:
+            return first.astype(np.int32), last.astype(np.int32) + 1
+        return self.start[first], self.end[last]
+
+    def span(self, a: int, b: int) -> tuple[int, int]:
+        return (a, b) if self.start is None else (int(self.start[a:b].min()), int(self.end[a:b].max()))
 
     def key(self) -> bytes:
-        return hashlib.blake2b(self.text.encode("utf-8", "surrogatepass") + self.start[:1].tobytes() + self.end[-1:].tobytes(), digest_size=16).digest()
+        made = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        for places in () if self.start is None else (self.start, self.end):
+            made.update(np.ascontiguousarray(places))
+        return made.digest()
 
     def spans(self) -> Spans:
-        return [(kind, int(self.start[a:b].min()), int(self.end[a:b].max())) for kind, a, b in base_spans(self.text)]
+        return [(kind, *self.span(a, b)) for kind, a, b in base_spans(self.text)]
 
     def decoded(self) -> Iterator[Layer]:
-        for pattern, decode in ((_URL, _percent), (_UNICODE, _escapes)):
-            if ("%" if pattern is _URL else "\\") in self.text or (pattern is _UNICODE and "&#" in self.text):
-                yield from self._rewritten(pattern, decode)
-        for m in _BYTES.finditer(self.text) if "%" in self.text else ():
-            raw = unquote_to_bytes(m[0])
-            if len(raw) < len(m[0]) and _decompressed(raw):
-                yield from self._unpacked(raw, m.start(), m.end())
+        if "%" in self.text:
+            yield from self._rewritten(_URL, _percent)
+        if "\\" in self.text or "&#" in self.text:
+            yield from self._rewritten(_UNICODE, _escapes)
+        if "\x00" in self.text:
+            yield from self._rewritten(_WIDE, _narrow)
+        yield from self._rewritten(_BASE64, _plain)
         for m in _BASE64.finditer(self.text):
-            raw = _from_base64(m[0])
-            if raw:
-                yield from self._unpacked(raw, m.start(), m.end())
-
-    def _rewritten(self, pattern: re.Pattern, decode) -> Iterator[Layer]:
-        """The whole layer with each escape replaced by what it stands for."""
-        parts, starts, ends, at = [], [], [], 0
+            at = np.arange(m.start(), m.end())
+            run = m[0]
+            if "\n" in run:
+                kept = np.ones(len(run), bool)
+                for gap in _BREAK.finditer(run):
+                    kept[gap.start() : gap.end()] = False
+                at, run = at[kept], _BREAK.sub("", run)
+            for skip in range(min(4, len(run) - 3)):
+                raw = _from_base64(run[skip:])
+                text = raw.decode("latin-1")
+                if _HINT.search(text) or _zlib_header(raw):
+                    byte = np.arange(len(raw))
+                    yield Layer(text, *self.places(at[skip + byte * 4 // 3], at[np.minimum(skip + ((byte + 1) * 4 + 2) // 3 - 1, len(at) - 1)]))
+
+    def _rewritten(self, pattern: re.Pattern, decode: Callable[[str], tuple[str, np.ndarray, np.ndarray] | None]) -> Iterator[Layer]:
+        """The whole layer with each encoded run replaced by what it stands for, if there is one."""
+        parts, first, last, at = [], [], [], 0
         for m in pattern.finditer(self.text):
             got = decode(m[0])
             if got is None:
                 continue
-            if isinstance(got, bytes):
-                yield from self._unpacked(got, m.start(), m.end())
-                continue
-            new, places = got
+            new, a, b = got
             parts += [self.text[at : m.start()], new]
-            starts += [self.start[at : m.start()], self.start[[m.start() + a for a, _ in places]]]
-            ends += [self.end[at : m.start()], self.end[[m.start() + b - 1 for _, b in places]]]
+            before = np.arange(at, m.start())
+            first += [before, m.start() + a]
+            last += [before, m.start() + b]
             at = m.end()
         if parts:
-            yield Layer("".join([*parts, self.text[at:]]), np.concatenate([*starts, self.start[at:]]), np.concatenate([*ends, self.end[at:]]))
-
-    def _unpacked(self, raw: bytes, a: int, b: int) -> Iterator[Layer]:
-        """Bytes found at [a, b): as text, place by place, or as the content of a compressed file, all at that span."""
-        content = _decompressed(raw)
-        text = _as_text(raw if content is None else content)
-        if not text:
-            return
-        if content is None and len(text) == len(raw):
-            # three bytes from four characters
-            at = np.arange(len(raw))
-            start, end = self.start[np.minimum(a + at * 4 // 3, b - 1)], self.end[np.minimum(a + ((at + 1) * 4 + 2) // 3 - 1, b - 1)]
-        else:
-            start, end = np.full(len(text), self.start[a:b].min()), np.full(len(text), self.end[a:b].max())
-        yield Layer(text, start, end)
+            rest = np.arange(at, len(self.text))
+            yield Layer("".join([*parts, self.text[at:]]), *self.places(np.concatenate([*first, rest]), np.concatenate([*last, rest])))
+
+    def packed(self) -> Spans:
+        """The secrets inside compressed layers, each at the place of all of its layer."""
+        found: Spans = []
+        starts = [(m.start(), m.lastindex) for m in _MAGIC.finditer(self.text)]
+        if self.text[:3].isascii() and _zlib_header(self.text[:2].encode("latin-1", "ignore")) and not (starts and starts[0][0] == 0):
+            starts.insert(0, (0, 5))
+        upto = 0
+        for at, kind in starts:
+            if at < upto:
+                continue  # inside a stream that was read to its end: what is stored there came out of it
+            wide = re.compile("[^\x00-\xff]").search(self.text, at)
+            raw = self.text[at : wide.start() if wide else None].encode("latin-1")
+            stream = Stream(kind, set(), ())
+            for i in range(0, len(raw), PIECE):
+                if not stream.feed(raw[i : i + PIECE]):
+                    break
+            stream.close()
+            upto = at + stream.read if stream.whole else upto
+            if stream.kinds:
+                start, end = self.span(at, at + max(stream.read, 1))
+                found += [(k, start, end) for k in stream.kinds]
+        return found
 
 
 def _percent(run: str):
-    """Text of a run of %XX and the part of the run behind each character; bytes if it isn't UTF-8."""
     raw = bytes.fromhex(run.replace("%", ""))
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return raw
-    places, at = [], 0
-    for c in text:
-        n = 3 * len(c.encode())
-        places.append((at, at + n))
-        at += n
-    return text, places
+    at = 3 * np.arange(len(raw))
+    return raw.decode("latin-1"), at, at + 2
 
 
 def _escapes(run: str):
+    """Each escape's character, surrogates in pairs; U+FFFD for what is no character."""
     if run.startswith("&#"):
         codes, size = [int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])], len(run)
     elif run.startswith("\\u{"):
@@ -151,75 +187,178 @@ def _escapes(run: str):
     else:
         size = {"u": 6, "U": 10, "x": 4}[run[1]]
         codes = [int(run[i + 2 : i + size], 16) for i in range(0, len(run), size)]
-    out, places, i = [], [], 0
+    out, first, last, i = [], [], [], 0
     while i < len(codes):
         code, n = codes[i], 1
         if 0xD800 <= code < 0xDC00 and i + 1 < len(codes) and 0xDC00 <= codes[i + 1] < 0xE000:
             code, n = 0x10000 + ((code - 0xD800) << 10) + (codes[i + 1] - 0xDC00), 2
-        if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-            return None
-        out.append(chr(code))
-        places.append((i * size, (i + n) * size))
+        out.append("\ufffd" if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code))
+        first.append(i * size)
+        last.append((i + n) * size - 1)
         i += n
-    return "".join(out), places
+    return "".join(out), np.array(first), np.array(last)
 
 
-def _from_base64(run: str) -> bytes | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+def _narrow(run: str):
+    at = 2 * np.arange(len(run) // 2)
+    return run.replace("\x00", ""), at, at + 1
 
 
-def _as_text(raw: bytes) -> str | None:
-    """UTF-8 without control characters, else nothing."""
+def _plain(run: str):
+    """A base64 run that stands for printable text; nothing for others."""
+    if "\n" in run:
+        return None
+    raw = _from_base64(run)
     try:
         text = raw.decode()
     except UnicodeDecodeError:
         return None
-    return text if text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in text) else None
-
-
-def _decompressed(raw: bytes) -> bytes | None:
-    kind = next((k for magic, k in _MAGIC.items() if raw.startswith(magic)), None)
-    if kind is None and len(raw) > 2 and raw[0] & 0x0F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0:
-        kind = "zlib"
-    try:
-        if kind == "bz2":
-            out = bz2.BZ2Decompressor().decompress(raw, MAX_LAYER + 1)
-        elif kind == "xz":
-            out = lzma.LZMADecompressor(memlimit=1 << 28).decompress(raw, MAX_LAYER + 1)
-        elif kind == "zstd":
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(raw) as reader:
-                out = reader.read(MAX_LAYER + 1)
-        elif kind:
-            out = zlib.decompressobj(31 if kind == "gzip" else 15).decompress(raw, MAX_LAYER + 1)
-        else:
-            return None
-    except (OSError, EOFError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
+    if len(run) % 4 == 1 or not (text.isprintable() or all(c.isprintable() or c in "\t\n\r" for c in text)):
         return None
-    return out if 0 < len(out) <= MAX_LAYER else None
+    byte = np.arange(len(raw))
+    return raw.decode("latin-1"), byte * 4 // 3, np.minimum(((byte + 1) * 4 + 2) // 3 - 1, len(run) - 1)
+
+
+def _from_base64(run: str) -> bytes:
+    """The bytes of all the run's whole groups, either alphabet."""
+    run = run.replace("-", "+").replace("_", "/")
+    if len(run) % 4 == 1:
+        run = run[:-1]
+    return binascii.a2b_base64(run + "=" * (-len(run) % 4))
+
+
+def _zlib_header(raw: bytes) -> bool:
+    return len(raw) >= 2 and raw[0] & 0x8F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0
+
+
+class Content:
+    """Decompressed bytes as they come: ``kinds`` gathers the kinds of secrets found in them and in what they hold."""
+
+    def __init__(self, kinds: set[str], outer: tuple[bytes, ...]):
+        self.kinds, self.outer, self.held, self.seen, self.open = kinds, outer, b"", set(), []
+
+    def feed(self, data: bytes) -> bool:
+        """Whether more can matter."""
+        if len(self.kinds) == len(KINDS):
+            return False
+        self.open = [s for s in self.open if s.feed(data)]
+        self.held += data
+        while len(self.held) >= PIECE:
+            cut = next((m.end() for m in _APART.finditer(self.held, PIECE // 2)), 0)
+            if not cut:
+                if len(self.held) < LONGEST:
+                    break
+                piece, self.held = self.held[:LONGEST], self.held[LONGEST - OVERLAP :]
+            else:
+                piece, self.held = self.held[:cut], self.held[cut:]
+            self._piece(piece)
+        return True
+
+    def close(self) -> None:
+        self._piece(self.held)
+        self.held = b""
+        for stream in self.open:
+            stream.close()
+
+    def _piece(self, piece: bytes) -> None:
+        packed = list(_MAGIC_BYTES.finditer(piece))
+        key = hashlib.blake2b(piece, digest_size=16).digest()
+        if key not in self.seen:
+            self.seen.add(key)
+            self.kinds.update(kind for kind, _, _ in walk(piece.decode("latin-1"), packed=False)[0])
+        upto = 0
+        for m in packed:
+            if m.start() < upto:
+                continue
+            stream = Stream(m.lastindex, self.kinds, self.outer)
+            # What is held comes after a piece that ended apart, and overlaps with one that did not.
+            rest = self.held if piece[-OVERLAP:] != self.held[:OVERLAP] else self.held[OVERLAP:]
+            if stream.feed(piece[m.start() :]) and (not rest or stream.feed(rest)):
+                self.open.append(stream)
+            else:
+                stream.close()
+                upto = m.start() + stream.read if stream.whole else upto
+
+
+class Stream:
+    """One compressed stream: bytes go in, ``Content`` comes out. ``read``: how many bytes belong to it; ``whole``: its end was met."""
+
+    def __init__(self, kind: int, kinds: set[str], outer: tuple[bytes, ...]):
+        made = {1: lambda: zlib.decompressobj(31), 2: bz2.BZ2Decompressor, 3: lambda: lzma.LZMADecompressor(memlimit=1 << 28), 5: zlib.decompressobj}
+        self.kind, self.kinds, self.outer, self.read, self.done, self.whole, self.content = kind, kinds, outer, 0, False, False, None
+        self.decompressor = zstandard.ZstdDecompressor(max_window_size=1 << 27).decompressobj() if kind == 4 else made[kind]()
+
+    def feed(self, data: bytes) -> bool:
+        """Whether the stream goes on."""
+        if self.content is None:
+            key = hashlib.blake2b(data[:OVERLAP], digest_size=16).digest()
+            self.done = self.outer.count(key) >= 2 or len(self.outer) >= DEEPEST
+            self.content = Content(self.kinds, (*self.outer, key))
+        self.read += len(data)
+        while not self.done:
+            try:
+                out, data = self._next(data)
+            except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
+                self.done = True
+                break
+            self.done = bool(out) and not self.content.feed(out) or self._ended()
+            if not out and not data or self.done:
+                break
+        return not self.done
+
+    def _next(self, data: bytes) -> tuple[bytes, bytes]:
+        """At most a piece of what comes out, and what is still to go in."""
+        d = self.decompressor
+        if self.kind in (1, 5):
+            return d.decompress(data, PIECE), d.unconsumed_tail
+        if self.kind == 4:
+            # A block of this format holds 128 KiB, so a slice of input gives a bounded output only if it is short.
+            return d.decompress(data[:512]), data[512:]
+        out = d.decompress(data, PIECE)
+        return out, b""
+
+    def _ended(self) -> bool:
+        d = self.decompressor
+        if d.eof:
+            self.read -= len(d.unused_data)
+            self.whole = True
+        return d.eof
+
+    def close(self) -> None:
+        if self.content is not None:
+            self.content.close()
+            self.content = None
+            self.done = True
+
+
+def walk(text: str, packed: bool = True) -> tuple[set[tuple[str, int, int]], int]:
+    """(spans of all layers, number of layers); ``packed``: compressed streams that begin in the text itself are read, too."""
+    root = Layer(text)
+    found, seen, work = set(root.spans()), {root.key()}, [root.decoded()]
+    if packed:
+        found.update(root.packed())
+    while work:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif (key := layer.key()) not in seen:
+            seen.add(key)
+            found.update(layer.spans())
+            found.update(layer.packed())
+            work.append(layer.decoded())
+    return found, len(seen)
 
 
 def all_spans(text: str) -> tuple[Spans, Spans, int]:
     """(spans of the text itself, spans of all layers, number of layers)."""
     base = base_spans(text)
-    if not ("%" in text or "\\" in text or "&#" in text or _BASE64.search(text)):
+    if not _FURTHER.search(text):
         return base, base, 1
-    found, seen, work = set(base), set(), [Layer.root(text)]
-    while work:
-        layer = work.pop()
-        key = layer.key()
-        if key in seen:
-            continue
-        seen.add(key)
-        if len(seen) > 1:
-            found.update(layer.spans())
-        work.extend(layer.decoded())
-    return base, ordered(list(found)), len(seen)
+    found, layers = walk(text)
+    return base, ordered(list(found)), layers
+
+
+_FURTHER = re.compile(r"[%\\\x00]|&#|[A-Za-z0-9+/_-]{16}|" + _MAGIC.pattern)
 
 
 def redacted(text: str, spans: Spans, mark: str = "<secret>") -> str:
@@ -239,7 +378,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     row = lambda spans: [dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = [all_spans(x or "") for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([row(f[0]) for f in found], pa.list_(span)), pa.array([row(f[1]) for f in found], pa.list_(span)), pa.array([f[2] for f in found], pa.int32())],
@@ -261,7 +400,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs``, all columns, with every span of every layer replaced in the text; a null text stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, text_col):
             at = batch.schema.get_field_index(text_col)
             texts = [x and (redacted(x, s) if (s := all_spans(x)[1]) else x) for x in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
