@@ -4,11 +4,13 @@ DataFrame functions only. Each source gets a share of all words in proportion to
 own words; what is above is shared again by weight, in closed form over the table of sources. A source whose target is
 q times its words and a rest gives q complete epochs and then documents in order of their keys
 -ln(u) / quality up to the rest; u is a hash of the document, so reruns agree, and a document is taken whole, the one
-across the budget only if that comes nearer to it. Hot sources are summed in ranges of the keys, so no task holds one.
+across the budget only if that comes nearer to it. Hot sources are summed in ranges of the keys, so no task holds one:
+the keys of a source are distributed as its qualities tell (a mixture of exponentials), and the ranges are cut evenly
+by that distribution.
 
 Defined results: a null or empty text has size 0 and is taken for 0 words; null is a source, last in order; a source
 without words has target 0. Rows of equal id and text have equal keys; their order is that of the id, then the text's
-hash, and any between fully equal rows.
+hash, and any between fully equal rows. The table of sources is windowed in one task: a row a source.
 """
 
 from __future__ import annotations
@@ -68,17 +70,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         doc_id.alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         words(text).alias("size"),
-        (-F.log(draw(doc_id, text, seed)) / quality(text)).alias("key"),
-        F.xxhash64(text).alias("text_hash"),
-    )
-    sizes = written(sizes, "sizes")
-    goals = targets(sizes, weights, most).select("source", "source_size", "docs", "target")
-    rows = sizes.join(F.broadcast(goals) if _few(goals) else goals, sizes["source"].eqNullSafe(goals["source"])).drop(goals["source"])
+        quality(text).alias("quality"),
+        _place(doc_id, text, seed).alias("place"),
+    ).select("doc_id", "source", "size", "quality", "place.key", "place.text_hash")
+    return ranked(written(sizes, "sizes"), weights, most)
+
+
+def _spread(sizes: DataFrame) -> DataFrame:
+    """(source, rates) with the share of documents at each level of quality in steps of a twentieth, at most 48 a source."""
+    level = F.round(F.log("quality") / 0.05).cast("int")
+    levels = sizes.groupBy("source", level.alias("level")).agg(F.count("*").alias("n"), F.avg("quality").alias("rate"))
+    return levels.groupBy("source").agg(F.collect_list(F.struct("n", "rate")).alias("rates"))
+
+
+def ranked(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, epochs, text_hash, source, key) of rows of sizes, keys and qualities."""
+    goals = written(targets(sizes, weights, most).select("source", "source_size", "docs", "target").join(_spread(sizes).withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "goals")
+    # A small table by its size on disk is broadcast; a large one is not.
+    rows = sizes.join(goals, sizes["source"].eqNullSafe(goals["source"])).drop(goals["source"])
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     rows = rows.withColumns({"full": full, "rest": F.col("target") - full * F.col("source_size")})
-    # As many ranges as rows in each: 1 - exp(-key) is nearly uniform.
-    n = F.ceil(F.sqrt("docs"))
-    rows = rows.withColumn("range", F.least(F.floor((1 - F.exp(-F.col("key"))) * n), n - 1).cast("bigint"))
+    # As many ranges as rows in each: the share of keys below this one is nearly uniform.
+    n, key = F.ceil(F.sqrt("docs")), F.col("key")
+    below = F.aggregate("rates", F.lit(0.0), lambda total, r: total + r["n"] * (1 - F.exp(-r["rate"] * key))) / F.col("docs")
+    rows = rows.withColumn("range", F.greatest(F.least(F.floor(below * n), n - 1), F.lit(0)).cast("bigint")).drop("rates")
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
     upto = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(F.col("source").alias("s"), F.col("range").alias("r"), F.coalesce(F.sum("in_range").over(upto), F.lit(0)).alias("before"))
@@ -87,24 +102,40 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     summed = summed.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0)))
     picked = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("rest"))
     epochs = F.least(F.col("full") + picked.cast("bigint"), F.lit(int(most)))
-    return summed.select("doc_id", "size", "source_size", "target", (F.col("size") * epochs).alias("taken"), epochs.cast("int").alias("epochs"), "text_hash")
+    return summed.select("doc_id", "size", "source_size", "target", (F.col("size") * epochs).alias("taken"), epochs.cast("int").alias("epochs"), "text_hash", "source", "key", "full")
 
 
-def _few(goals: DataFrame, most: int = 100_000) -> bool:
-    """Whether the sources are so few that their table may be broadcast; else the join shuffles."""
-    return goals.limit(most + 1).count() <= most
+def _place(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """Where a document stands in the order of its source."""
+    return F.struct((-F.log(draw(doc_id, text, seed)) / quality(text)).alias("key"), doc_id.alias("doc_id"), F.xxhash64(text).alias("text_hash"))
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs``, all columns, each as often as the mix takes it; of fully equal rows, together as often as they are taken."""
-    name = lambda i, h: [F.xxhash64(i, h).alias("_p"), F.xxhash64(h, i, F.lit(1)).alias("_q")]
-    taken = mix(docs, id_col, text_col, source_col)
-    taken = taken.select("epochs", *name(F.col("doc_id"), F.col("text_hash"))).groupBy("_p", "_q").agg(F.sum("epochs").alias("_all"), F.count("*").alias("_rows"))
-    named = docs.select("*", *name(F.col(id_col), F.xxhash64(F.col(text_col).cast("string"))))
-    turn = F.row_number().over(Window.partitionBy("_p", "_q").orderBy(F.lit(1)))
-    rows = named.join(taken.where("_all > 0"), ["_p", "_q"]).withColumn("_turn", turn)
-    times = F.floor(F.col("_all") / F.col("_rows")) + (F.col("_turn") <= F.col("_all") % F.col("_rows")).cast("bigint")
-    return rows.withColumn("_times", times).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(docs.columns)
+    """The rows of ``docs``, all columns, each as often as the mix takes it; of fully equal rows, together as often as they are taken.
+
+    The mix takes a source's documents once more up to some place of its order, so the texts meet one row a source and
+    aren't shuffled. Only rows equal in id and text that share that last place are numbered, if some go and some stay.
+    """
+    taken = mix(docs, id_col, text_col, source_col).withColumn("place", F.struct("key", "doc_id", "text_hash"))
+    picked = F.col("epochs") > F.col("full")
+    last = taken.where(picked).groupBy(F.col("source").alias("s")).agg(F.max("place").alias("last"))
+    at_last = taken.where("size > 0").join(last, F.col("source").eqNullSafe(F.col("s")) & (F.col("place") == F.col("last"))).groupBy("s").agg(F.count_if(picked).alias("go"), F.count("*").alias("of"))
+    fulls = taken.groupBy("source").agg(F.max("full").alias("full"))
+    cuts = fulls.join(last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").join(at_last, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    cuts = written(cuts.select(F.struct("source", "full", "last", F.coalesce("go", F.lit(0)).alias("go"), F.coalesce("of", F.lit(0)).alias("of")).alias("cut")), "cuts")
+    doc_id, text = F.col(f"doc.{id_col}"), F.col(f"doc.{text_col}").cast("string")
+    # The document is one column, so none of its own can clash with those used here.
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("doc")).join(cuts, F.col(f"doc.{source_col}").cast("string").eqNullSafe(F.col("cut.source")))
+    placed = rows.withColumn("place", F.when(words(text) > 0, _place(doc_id, text)))
+    at = F.col("place") == F.col("cut.last")
+    times = F.col("cut.full") + F.coalesce(F.col("place") <= F.col("cut.last"), F.lit(False)).cast("bigint")
+    split = F.coalesce(at & (F.col("cut.go") < F.col("cut.of")), F.lit(False))
+    repeated = lambda rows, times: rows.withColumn("copy", F.explode(F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times)))).select("doc.*")
+    if cuts.where("cut.go < cut.of").isEmpty():
+        return repeated(placed, times)
+    turn = F.row_number().over(Window.partitionBy("cut.source").orderBy(F.lit(1)))
+    tied = placed.where(split).withColumn("turn", turn)
+    return repeated(placed.where(~split), times).unionByName(repeated(tied, F.col("cut.full") + (F.col("turn") <= F.col("cut.go")).cast("bigint")))
 
 
 #: The same in DuckDB's SQL.
