@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.sources.shared_folder import written
+from tidewire.sources.shared_folder import discard, written
 
 
 def _towards_least(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -22,15 +22,19 @@ def _towards_least(edges: DataFrame, larger_only: bool) -> DataFrame:
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the least id reachable, for every id on an edge.
 
-    Each round is two stars over the edges, written to the shared folder; rounds grow with the logarithm of the
-    longest path. Loops and repeated edges do no harm; edges with a null end are ignored.
+    Each round is a star of larger and one of smaller neighbours, each a table in the shared folder, so that plans stay
+    small; a table is deleted when the next one is there. Rounds grow with the logarithm of the longest path. Loops and
+    repeated edges do no harm; edges with a null end are ignored.
     """
     edges = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    loops, last = edges.where("u = v").select(F.col("u").alias("id"), F.col("v").alias("component")), None
-    stars = edges.where("u <> v")
+    loops, last, stars, before = edges.where("u = v").select(F.col("u").alias("id"), F.col("v").alias("component")), None, edges.where("u <> v"), None
     while True:
-        stars = written(_towards_least(_towards_least(stars, True), False), "stars")
+        larger = written(_towards_least(stars, True), "stars")
+        if before is not None:
+            discard(before)
+        stars = before = written(_towards_least(larger, False), "stars")
+        discard(larger)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == last:
             break
