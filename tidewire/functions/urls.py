@@ -59,7 +59,7 @@ def aggregator_exempt(url: Column, flag: Column, source_id: Column, method: Colu
 def candidate_score(url: Column) -> Column:
     """How much a URL looks like an article's."""
     p = path(url)
-    return p.rlike("[0-9]{4,}").cast("int") * 20 + p.rlike("(?i)/(news|article|articles|story|post)").cast("int") * 15 + p.rlike("/[^/]+/[^/]+").cast("int") * 10 + F.least(F.length(p), F.lit(100)) / 25
+    return p.rlike("[0-9]{4,}").cast("int") * 20 + p.rlike("(?i)/(news|article|story|details?|politics|economy|iraq|local)/").cast("int") * 15 + p.rlike("/[^/]+/[^/]+").cast("int") * 10 + F.least(F.length(p), F.lit(100)) / 25
 
 
 def best_candidate(urls: Column, least: int = 20) -> Column:

@@ -47,7 +47,7 @@ class Language:
 
 
 def features(articles: DataFrame, language: Language = Language()) -> DataFrame:
-    """(id, category, published_at, title, title_tokens, lead_tokens, signals, actions, cues, numbers) of articles."""
+    """(id, category, published_at, title, title_tokens, lead_tokens, signals, actions, cues, numbers and, if given, incident) of articles."""
     texts = articles.withColumns({"_whole": F.concat_ws("\n", "title", "body"), "_numbers": F.concat_ws("\n", "title", F.substring("body", 1, LEAD))})
     texts = texts.withColumn("_lead", F.substring("_whole", 1, LEAD))
     texts = texts.withColumns({"_title": language.phrase(F.coalesce("title", F.lit(""))), "_sought": language.phrase(F.col("_whole" if language.whole else "_lead"))})
@@ -61,6 +61,7 @@ def features(articles: DataFrame, language: Language = Language()) -> DataFrame:
         signals(F.col("_title"), language.actions).alias("actions"),
         signals(F.col("_sought"), language.cues).alias("cues"),
         numbers(F.col("_numbers")).alias("numbers"),
+        *(["incident"] if "incident" in articles.columns else []),
     )
 
 
@@ -74,8 +75,8 @@ def _hours_apart() -> Column:
     return F.abs(seconds("a") - seconds("b")) / 3600
 
 
-def pair_score(sure: tuple[Sure, ...] = ()) -> Column:
-    """Score of a joined pair of features, columns prefixed a_ and b_; 0 without enough evidence.
+def pair_score(sure: tuple[Sure, ...] = (), incident: bool = False) -> Column:
+    """Score of a joined pair of features, columns prefixed a_ and b_; 0 without enough evidence. ``incident``: there is a type of incident to compare.
 
     First a conflict of actions rules a pair out; then the first sure match counts; then the titles must be near the same, or share much, or share some
     and have support from signals, numbers or leads.
@@ -88,6 +89,8 @@ def pair_score(sure: tuple[Sure, ...] = ()) -> Column:
     evidence = exact | ((shared >= 3) & (to >= 0.67)) | ((shared >= 2) & (to >= 0.45) & support)
     conflict = (F.size(a("actions")) > 0) & (F.size(b("actions")) > 0) & (common(a("actions"), b("actions")) == 0)
     total = sum((w * x for w, x in zip(WEIGHTS[1:], (to, lj, ej, nj), strict=True)), WEIGHTS[0] * tj) + EXACT * exact.cast("double")
+    if incident:
+        total = total + F.when((a("incident") == b("incident")) & (a("incident") != ""), INCIDENT).otherwise(0.0)
     out = F.when(conflict, 0.0)
     every = lambda p: F.array_union(F.array_union(p("signals"), p("actions")), p("cues"))
     for rule in sure:
@@ -129,7 +132,7 @@ def _scored(met: DataFrame, feats: DataFrame, least: float, sure: tuple[Sure, ..
     if certain is not None:
         likely = likely.unionAll(certain.select("a_id", "b_id")).distinct()
     scored = likely.join(side("a", feats.columns), "a_id").join(side("b", feats.columns), "b_id")
-    return scored.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score(sure).alias("score")).where(F.col("score") >= least)
+    return scored.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score(sure, "incident" in feats.columns).alias("score")).where(F.col("score") >= least)
 
 
 def _combined(timed: DataFrame, number: int, rule: Sure) -> DataFrame:
@@ -201,7 +204,7 @@ def group_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST, su
     match nothing but by signals. Two nodes are within the hours of
     each other exactly if some of their members are.
     """
-    key = F.sha2(F.concat_ws("\x1f", "category", "title", *(F.array_join(F.sort_array(c), " ") for c in ("title_tokens", "lead_tokens", "signals", "actions", "cues", "numbers"))), 256)
+    key = F.sha2(F.concat_ws("\x1f", "category", "title", *(F.array_join(F.sort_array(c), " ") for c in ("title_tokens", "lead_tokens", "signals", "actions", "cues", "numbers")), *(["incident"] if "incident" in feats.columns else [])), 256)
     feats = written(feats, "features")
     told = (F.size("title_tokens") >= 2) | ((F.size("title_tokens") > 0) & (F.length("title") >= 18))
     timed = written(_timed(feats, hours).where(told).withColumn("key", key), "keyed")
@@ -221,14 +224,14 @@ def representative_score(source_rank: Column, chars: Column, title_tokens: Colum
 
 
 def event_groups(articles: DataFrame, edges: DataFrame, score: Column) -> tuple[DataFrame, DataFrame]:
-    """(articles with component, representative and counts; one row a group with its id, span and sources)."""
+    """(articles with component, representative and counts; one row a group with its id, span and sources).
+
+    A group's id is a hash of all its members' ids in order, so these (and nothing else) meet in one row.
+    """
     parts = grouped(articles.withColumn("_score", score), edges)
-    by_score = Window.partitionBy("component").orderBy(F.col("_score").desc(), "id")
-    parts = parts.withColumns(
-        {"representative_id": F.first("id").over(by_score), "member_count": F.count("*").over(Window.partitionBy("component"))}
-    ).withColumns({"is_representative": F.col("id") == F.col("representative_id"), "duplicate_count": F.col("member_count") - 1}).drop("_score")
-    groups = parts.groupBy("component", "representative_id").agg(
-        F.count("*").alias("member_count"), (F.count("*") - 1).alias("duplicate_count"), F.min("published_at").alias("published_from"), F.max("published_at").alias("published_to"),
+    groups = parts.groupBy("component").agg(
+        F.min_by("id", F.struct((-F.col("_score")).alias("score"), "id")).alias("representative_id"), F.count("*").alias("member_count"), (F.count("*") - 1).alias("duplicate_count"), F.min("published_at").alias("published_from"), F.max("published_at").alias("published_to"),
         group_id(F.collect_list(F.col("id").cast("string"))).alias("group_id"), F.array_sort(F.collect_set("source")).alias("sources"),
     )
-    return parts, groups
+    members = parts.drop("_score").join(groups.select("component", "representative_id", "member_count", "duplicate_count"), "component")
+    return members.withColumn("is_representative", F.col("id") == F.col("representative_id")), groups

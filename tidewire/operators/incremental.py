@@ -52,7 +52,7 @@ def insert_missing(seeds: DataFrame, articles: DataFrame, seed_key: str, keys: l
 
 
 def coalesce_matches(rows: DataFrame, other: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """``value`` of the other table by the first key that matches; each key's last row counts."""
+    """``value`` of the other table by the first key that matches; of several rows of a key the greatest value counts."""
     out, found = rows, []
     for k in keys:
         side = other.where(F.col(k).isNotNull()).groupBy(k).agg(F.max(value).alias(f"_by_{k}"))
@@ -68,9 +68,10 @@ def last_write_wins(latest: DataFrame, generated: DataFrame, key: str, ts: str)
 
 
 def upsert(existing: DataFrame, candidates: DataFrame, url: str, title: str, order: list[Column]) -> DataFrame:
-    """Candidates, one a URL and then one a title by the order, each with ``target``: the id it updates, null if it is new."""
+    """Candidates, one a URL and then one a title by the order (those without either stay apart), each with ``target``: the id it updates, null if it is new."""
     place = lambda c: F.row_number().over(Window.partitionBy(c).orderBy(*order))
-    once = candidates.withColumn("_u", place(url)).where("_u = 1").withColumn("_t", place(title)).where("_t = 1").drop("_u", "_t")
+    none = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    once = candidates.withColumn("_u", place(url)).where((F.col("_u") == 1) | none(url)).withColumn("_t", place(title)).where((F.col("_t") == 1) | none(title)).drop("_u", "_t")
     return coalesce_matches(once, existing.withColumnRenamed("id", "target"), [url, title], "target")
 
 

@@ -28,7 +28,7 @@ def filtered(df: DataFrame, category: str | None = None, bucket: str | None = No
 
 
 def with_member_text(df: DataFrame, group: str = "component", text: str = "text") -> DataFrame:
-    """Each row with the texts of all members of its group, to be searched together."""
+    """Each row with the texts of all members of its group, to be searched together; a group is the reports of one event."""
     return df.join(df.groupBy(group).agg(F.concat_ws("\n", F.collect_list(text)).alias("member_text")), group)
 
 
@@ -38,10 +38,13 @@ def facet_counts(df: DataFrame, *facets: str) -> DataFrame:
     return df.cube(*facets).agg(F.count("*").alias("n"), sets) if len(facets) == 1 else df.rollup(*facets).agg(F.count("*").alias("n"), sets)
 
 
-def related(df: DataFrame, group: str = "component", id_col: str = "id", ts: str = "published_at") -> DataFrame:
-    """Each row with the other members of its group, the newest first."""
-    newest = F.transform(F.reverse(F.array_sort(F.collect_list(F.struct(F.col(ts), F.col(id_col))).over(Window.partitionBy(group)))), lambda m: m[id_col])
-    return df.withColumn("related", F.array_remove(newest, F.col(id_col)))
+def related(df: DataFrame, group: str = "component", id_col: str = "id", ts: str = "published_at", most: int = 50) -> DataFrame:
+    """Each row with the newest ``most`` other members of its group, the newest first: what a page of related reports shows."""
+    place = F.row_number().over(Window.partitionBy(group).orderBy(F.col(ts).desc_nulls_last(), F.col(id_col).desc()))
+    newest = df.withColumn("_place", place).where(F.col("_place") <= most + 1).groupBy(F.col(group).alias("_group"))
+    listed = newest.agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", id_col))), lambda m: m[id_col]).alias("_newest"))
+    joined = df.join(listed, df[group] == F.col("_group"), "left")
+    return joined.withColumn("related", F.slice(F.array_remove("_newest", F.col(id_col)), 1, most)).drop("_group", "_newest")
 
 
 def export_problems(n: Column, start: Column, end: Column, most: int = 40) -> Column:

@@ -1,6 +1,6 @@
 """The registered queries."""
 
-from tidewire.plans import page_queries, row_queries, text_queries  # noqa: F401
+from tidewire.plans import arabic_queries, page_queries, record_queries, row_queries, text_queries  # noqa: F401
 from tidewire.plans.registry import PLANS, SQL
 
 __all__ = ["PLANS", "SQL"]

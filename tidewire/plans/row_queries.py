@@ -63,17 +63,14 @@ def mandatory_then_balanced(spark, d):
     return ranking.mandatory_then_balanced(e, F.col("value") > 60, "event_type", [F.col("value").desc(), F.col("event_id")], BUCKETS, 40).select("event_id", "event_type")
 
 
-@query("SELECT doc_id, quality, row_number() OVER (ORDER BY quality DESC NULLS LAST, doc_id DESC) AS place FROM (SELECT d.doc_id, quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) ORDER BY place LIMIT 300")
+@query(f"SELECT id, title, quality FROM (SELECT a.id, a.title, quality FROM {ARTICLES} a LEFT JOIN labels l ON a.id = l.doc_id) ORDER BY quality DESC NULLS LAST, title, id")
 def sort_nulls_last(spark, d):
     t = Tables(spark, d)
-    rows = t.documents.select("doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left").orderBy(F.col("quality").desc_nulls_last(), F.col("doc_id").desc()).limit(300)
-    # The 300 rows of a report are numbered after the cut.
-    from pyspark.sql import Window
+    rows = t.articles().select("id", "title").join(t.labels.select(F.col("doc_id").alias("id"), "quality"), "id", "left")
+    return rows.orderBy(F.col("quality").desc_nulls_last(), "title", "id")
 
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.col("quality").desc_nulls_last(), F.col("doc_id").desc())))
 
-
-_SETS = f"SELECT id, list_sort({tokens_sql("left(body, 300)", 3)}) AS s FROM {ARTICLES}"
+_SETS = f"SELECT id, list_sort({tokens_sql("body", 3)}) AS s FROM {ARTICLES}"
 _REPS = f"SELECT min(id) AS id, s FROM ({_SETS}) WHERE len(s) > 0 GROUP BY s"
 
 
@@ -91,7 +88,7 @@ def set_classes(spark, d):
     return similarity.set_classes(a, "id", "s")[1]
 
 
-_ITEM, _ENTRY = tokens_sql("title", 3), tokens_sql("left(text, 300)", 3)
+_ITEM, _ENTRY = tokens_sql("title", 3), tokens_sql("text", 3)
 
 
 @query(f"""WITH i AS (SELECT id AS item_id, {_ITEM} AS t FROM {ARTICLES}), e AS (SELECT item_id AS entry_id, {_ENTRY} AS t FROM benchmark),
@@ -111,13 +108,14 @@ def interval_pairs(spark, d):
 
 
 _F = f"""f AS (SELECT id, category, published_at, lower(trim(regexp_replace(regexp_replace(title, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), '\\s+', ' ', 'g'))) AS title, {tokens_sql("title", 3)} AS tt,
-  {tokens_sql("left(title || chr(10) || body, 1400)", 3)} AS lt FROM {ARTICLES}),
- p AS (SELECT a.id AS a, b.id AS b, a.title AS x, b.title AS y, len(list_intersect(a.tt, b.tt)) AS c, len(a.tt) AS n, len(b.tt) AS m, len(list_intersect(a.lt, b.lt)) AS lc, len(a.lt) AS ln, len(b.lt) AS lm
+  {tokens_sql("left(title || chr(10) || body, 1400)", 3)} AS lt, list_distinct(regexp_extract_all(title || chr(10) || left(body, 1400), '\\b[0-9]+(?:[.,][0-9]+)?\\b')) AS nt FROM {ARTICLES}),
+ p AS (SELECT a.id AS a, b.id AS b, a.title AS x, b.title AS y, len(list_intersect(a.tt, b.tt)) AS c, len(a.tt) AS n, len(b.tt) AS m, len(list_intersect(a.lt, b.lt)) AS lc, len(a.lt) AS ln, len(b.lt) AS lm,
+   len(list_intersect(a.nt, b.nt)) AS nc, len(a.nt) + len(b.nt) AS nn
   FROM f a JOIN f b ON a.category = b.category AND a.id < b.id WHERE abs(epoch(a.published_at) - epoch(b.published_at)) <= 259200 AND list_has_any(a.tt, b.tt)),
- q AS (SELECT *, c::DOUBLE / (n + m - c) AS tj, c::DOUBLE / least(n, m) AS tov, CASE WHEN ln > 0 AND lm > 0 THEN lc::DOUBLE / (ln + lm - lc) ELSE 0 END AS lj,
+ q AS (SELECT *, c::DOUBLE / (n + m - c) AS tj, c::DOUBLE / least(n, m) AS tov, CASE WHEN ln > 0 AND lm > 0 THEN lc::DOUBLE / (ln + lm - lc) ELSE 0 END AS lj, CASE WHEN nn > nc THEN nc::DOUBLE / (nn - nc) ELSE 0 END AS nj,
   least(length(x), length(y)) >= 18 AND (contains(x, y) OR contains(y, x)) AS exact FROM p),
- pairs AS (SELECT a, b, least(0.29::DOUBLE * tj + 0.29::DOUBLE * tov + 0.18::DOUBLE * lj + 0.14::DOUBLE * exact::INT, 1.0) AS score FROM q
-  WHERE exact OR (c >= 3 AND tov >= 0.67) OR (c >= 2 AND tov >= 0.45 AND lj >= 0.16)),
+ pairs AS (SELECT a, b, least(0.29::DOUBLE * tj + 0.29::DOUBLE * tov + 0.18::DOUBLE * lj + 0.12::DOUBLE * nj + 0.14::DOUBLE * exact::INT, 1.0) AS score FROM q
+  WHERE exact OR (c >= 3 AND tov >= 0.67) OR (c >= 2 AND tov >= 0.45 AND (nc > 0 OR lj >= 0.16))),
  edges AS (SELECT a, b FROM pairs WHERE score >= 0.5), both_ways AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges),
  walk AS (SELECT id AS a, id AS b FROM f UNION SELECT w.a, e.b FROM walk w JOIN both_ways e ON w.b = e.a),
  parts AS (SELECT a AS id, min(b) AS component FROM walk GROUP BY a)"""
@@ -207,12 +205,13 @@ def rolling_window_utc(spark, d):
 
 
 @query("""WITH r AS (SELECT role AS section, (turn * 10000 + conv_id)::BIGINT AS item_index, conv_id % 50 AS cluster_id, count(*) OVER (PARTITION BY role, turn * 10000 + conv_id) AS c FROM conversations),
-  j AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY c, (section <> CASE WHEN cluster_id % 2 = 0 THEN 'user' ELSE 'assistant' END)::INT, section, item_index) AS p FROM r WHERE cluster_id < 40 AND section IN ('user', 'assistant'))
-  SELECT section, item_index, cluster_id FROM j WHERE p = 1""")
+  j AS (SELECT *, row_number() OVER (PARTITION BY cluster_id, section IN ('user', 'assistant') ORDER BY c, (section <> CASE WHEN cluster_id % 2 = 0 THEN 'user' ELSE 'assistant' END)::INT, section, item_index) AS p FROM r)
+  SELECT section, item_index, cluster_id, CASE WHEN cluster_id >= 40 THEN 'unknown-cluster' WHEN section NOT IN ('user', 'assistant') THEN 'section-not-allowed:' || section WHEN p > 1 THEN 'duplicate-reference' END AS reason FROM j""")
 def cluster_reference_keeper(spark, d):
     refs = Tables(spark, d).conversations.select(F.col("role").alias("section"), (F.col("turn") * 10000 + F.col("conv_id")).alias("item_index"), (F.col("conv_id") % 50).alias("cluster_id"))
     clusters = spark.range(40).select(F.col("id").alias("cluster_id"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("target_section"), F.array(F.lit("user"), F.lit("assistant")).alias("allowed_sections"))
-    return ranking.cluster_keepers(refs, clusters)[0].select("section", "item_index", "cluster_id")
+    kept, rejected = ranking.cluster_keepers(refs, clusters)
+    return kept.withColumn("reason", F.lit(None).cast("string")).unionByName(rejected)
 
 
 @query("SELECT lang, source, count(*) AS n, GROUPING(lang) * 2 + GROUPING(source) AS level FROM documents GROUP BY ROLLUP (lang, source)")
@@ -243,9 +242,9 @@ def star_category_rollup(spark, d):
     return rows.rollup("n_name", "o_orderpriority").agg(F.count("*").alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-@query()
+@query("SELECT DISTINCT user_id, event_type FROM events")
 def streaming_incremental(spark, d):
-    """The first event of each user and type, by a stream over the table."""
+    """One event of each user and type, the first to arrive, by a stream over the table: its keys."""
     schema = Tables(spark, d).events.schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    return run_available(first_seen(stream, ["user_id", "event_type"], "ts", "60 days"), "first-seen").select("user_id", "event_type", "event_id")
+    return run_available(first_seen(stream, ["user_id", "event_type"], "ts", "60 days"), "first-seen").select("user_id", "event_type")

@@ -43,9 +43,9 @@ def text_tokens_distinct(spark, d):
     return Tables(spark, d).documents.select("doc_id", found.alias("t")).select("doc_id", F.array_join(F.array_sort("t"), "|").alias("tokens"), F.size("t").alias("n"))
 
 
-@query("SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)?'))), '|') AS numbers FROM documents")
+@query("SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '\\b[0-9]+(?:[.,][0-9]+)?\\b'))), '|') AS numbers FROM documents")
 def text_numbers(spark, d):
-    return Tables(spark, d).documents.select("doc_id", F.array_join(F.array_sort(text.numbers(F.col("text"), bounded=False)), "|").alias("numbers"))
+    return Tables(spark, d).documents.select("doc_id", F.array_join(F.array_sort(text.numbers(F.col("text"))), "|").alias("numbers"))
 
 
 @query("""SELECT doc_id, CASE WHEN length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) > 0 THEN
@@ -112,7 +112,7 @@ _WORDS = lambda expr, terms: f"regexp_matches({expr}, '{_B.format('|'.join(terms
 
 
 @query(f"""SELECT id, CASE WHEN category <> 'en' THEN NULL WHEN {_WORDS("title", ["of", "in"])} AND NOT {_WORDS("title", ["the", "and"])} THEN 'FOREIGN_SECURITY_PRIMARY_TITLE'
-  WHEN NOT {_WORDS("title", ["the", "and"])} AND NOT {_WORDS("left(lead, 200)", ["the", "and"])} THEN 'NO_HOME_EVIDENCE' END AS reason FROM {ARTICLES}""")
+  WHEN NOT {_WORDS("title", ["the", "and"])} AND NOT {_WORDS("left(body, 2200)", ["the", "and"])} THEN 'NO_HOME_EVIDENCE' END AS reason FROM {ARTICLES}""")
 def scope_gate(spark, d):
     gate = rules.scope_gate(F.col("category"), F.col("title"), F.substring("body", 1, 2200), "en", ["the", "and"], ["of", "in"], "")
     return Tables(spark, d).articles().select("id", gate.alias("reason"))

@@ -73,12 +73,13 @@ def best_text(html: Column) -> Column:
     return F.coalesce(decode_entities(F.array_max(ranked)["text"]), F.lit(""))
 
 
-def links(pages: DataFrame, url: str = "url", html: str = "html", least_text: int = 1) -> DataFrame:
-    """(url, pos, href, text, link) of every anchor with so much text; the link is resolved against the page."""
+def links(pages: DataFrame, url: str = "url", html: str = "html", least_text: int = 1, keep: str | None = None) -> DataFrame:
+    """(url, pos, href, text, link, host) of every anchor with so much text, with a column to keep; the link is resolved against the page."""
     anchors = F.regexp_extract_all(html, F.lit("(?is)<a\\s[^>]*href=[\"']([^\"']*)[\"'][^>]*>.*?</a>"), 1)
     texts = F.regexp_extract_all(html, F.lit("(?is)<a\\s[^>]*href=[\"'][^\"']*[\"'][^>]*>(.*?)</a>"), 1)
-    rows = pages.select(F.col(url).alias("url"), F.posexplode(F.arrays_zip(anchors.alias("href"), texts.alias("text"))).alias("pos", "a"))
-    rows = rows.select("url", "pos", F.col("a.href").alias("href"), strip_tags(F.col("a.text")).alias("text")).where(F.length("text") >= least_text)
+    own = [keep] if keep else []
+    rows = pages.select(F.col(url).alias("url"), *own, F.posexplode(F.arrays_zip(anchors.alias("href"), texts.alias("text"))).alias("pos", "a"))
+    rows = rows.select("url", *own, "pos", F.col("a.href").alias("href"), strip_tags(F.col("a.text")).alias("text")).where(F.length("text") >= least_text)
     base = F.regexp_extract("url", "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract("url", "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     folder = F.regexp_extract("url", "^([a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/)", 1)
@@ -105,7 +106,7 @@ def feed_items(feeds: DataFrame, key: str = "feed", xml: str = "xml", most: int
     return rows.select("feed", "pos", trimmed.alias("title"), source.alias("source"), F.coalesce(F.nullif(link, F.lit("")), tag("guid")).alias("link"), published.alias("published_at"), tag("description").alias("description"))
 
 
-_NODE = T.StructType([T.StructField(n, T.StringType()) for n in ("type", "headline", "article_body", "url")])
+_NODE = T.StructType([T.StructField(n, T.StringType()) for n in ("type", "headline", "name", "article_body", "text", "description", "url")])
 
 
 @F.pandas_udf(T.ArrayType(_NODE))
@@ -132,7 +133,9 @@ def json_ld(html: pd.Series) -> pd.Series:
             except ValueError:
                 continue
         text = lambda n, k: n.get(k) if isinstance(n.get(k), str) else None
-        return [{"type": text(n, "@type"), "headline": text(n, "headline"), "article_body": text(n, "articleBody"), "url": text(n, "url")} for n in found]
+        kind = lambda n: " ".join(map(str, n["@type"])) if isinstance(n.get("@type"), list) else text(n, "@type")
+        names = {"headline": "headline", "name": "name", "article_body": "articleBody", "text": "text", "description": "description", "url": "url"}
+        return [{"type": kind(n), **{c: text(n, k) for c, k in names.items()}} for n in found]
 
     return html.map(of)
 

@@ -15,10 +15,10 @@ from tidewire.functions.text import first_filled
 
 
 def read_payload(spark: SparkSession, path: str, articles: T.StructType, required: bool = True) -> DataFrame:
-    """Articles with their position, from either form of the file; a missing file is an error, or empty if not required."""
-    envelope = T.StructType([T.StructField("articles", T.ArrayType(articles)), *(f for f in articles.fields if f.name != "articles")])
+    """Articles with their position, from either form of the file; a missing or broken file is an error, or empty if not required."""
+    envelope = T.StructType([T.StructField("articles", T.ArrayType(articles)), *(f for f in articles.fields if f.name != "articles"), T.StructField("_broken", T.StringType())])
     try:
-        raw = spark.read.schema(envelope).json(path, multiLine=True)
+        raw = spark.read.schema(envelope).json(path, multiLine=True, mode="FAILFAST" if required else "PERMISSIVE", columnNameOfCorruptRecord="_broken").where("_broken is null")
     except AnalysisException:
         if required:
             raise
@@ -50,8 +50,11 @@ def write_version(df: DataFrame, folder: str, version: str) -> str:
 
 def read_latest(spark: SparkSession, folder: str) -> DataFrame:
     """The snapshot of the greatest version; versions are a partition, so only that one is read."""
-    every = spark.read.parquet(folder)
-    return every.where(F.col("version").cast("string") == str(every.agg(F.max("version")).first()[0])).drop("version")
+    every = spark.read.option("basePath", folder).parquet(folder)
+    version = F.col("version").cast("string")
+    # Numbers inside a version compare as numbers: v9 comes before v10.
+    order = F.array_join(F.transform(F.regexp_extract_all(version, F.lit("[0-9]+|[^0-9]+"), 0), lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x)), "")
+    return every.where(version == str(every.select(version.alias("version")).agg(F.max_by("version", order)).first()[0])).drop("version")
 
 
 #: Most articles of a document export.
