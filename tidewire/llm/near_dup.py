@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.shared import slices
 from tidewire.operators.components import connected_components
-from tidewire.sources.shared_folder import written
+from tidewire.sources.shared_folder import discard, written
 
 WORDS, BANDS, ROWS, BITS = 5, 50, 5, 1024
 #: Most members of a small bucket; members in one block of those outside the main component, and of all.
@@ -106,7 +107,7 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """(doc_id, n, set_key, bands, sketch) of every row; the last three are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             sizes, keys, all_bands, sketches = [], [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text or "")
@@ -129,7 +130,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
     """(id, shingles) of the wanted (id, set_key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = [shingles(x) for x in batch.column(1).to_pylist()]
             keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["id", "set_key", "shingles"])
@@ -166,7 +167,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def links(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Confirmed links (a, b) that join every two representatives whose sets are linked through any chain."""
     placed = reps.select("id", F.explode("bands").alias("bucket"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("pivot")).where("size > 1")
+    # A table of its own: the join below may be a broadcast, by its size, or split where a bucket is crowded.
+    shared = written(placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("pivot")).where("size > 1"), "shared")
     members = written(placed.join(shared, "bucket"), "members")
     sets = written(_sets(docs, reps.select("id", "set_key").join(members.select("id").distinct(), "id", "left_semi"), id_col, text_col), "sets")
     stars = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
@@ -175,7 +177,10 @@ def links(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: st
     small = still_open.where(f"size <= {SMALL}")
     left, right = (small.select("bucket", F.col("id").alias(x), F.col("part").alias(f"part_{x}")) for x in "ab")
     pairs = left.join(right, "bucket").where("a < b and part_a <> part_b").select("a", "b")
-    return found.unionAll(written(_confirmed(_sifted(pairs, reps), sets), "links")).unionAll(written(_across(still_open.where(f"size > {SMALL}"), sets), "links"))
+    every = found.unionAll(written(_confirmed(_sifted(pairs, reps), sets), "links")).unionAll(written(_across(still_open.where(f"size > {SMALL}"), sets), "links"))
+    for table in (shared, members, sets, still_open):
+        discard(table)
+    return every
 
 
 def _still_open(members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -201,7 +206,8 @@ def _across(large: DataFrame, sets: DataFrame) -> DataFrame:
     all_ = written(large.groupBy("pivot_part", "id").agg(F.first("part").alias("part")).join(sets, "id").withColumn("class", size), "around")
     outside = all_.where("part <> pivot_part").withColumn("class", F.explode(F.array(*(F.col("class") + i for i in (-1, 0, 1)))))
     counts = lambda df, most, name: df.groupBy("pivot_part", "class").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
-    blocks = counts(outside, OUTSIDE, "n_out").join(counts(all_, ALL, "n_all"), ["pivot_part", "class"])
+    # A table of its own, so that the joins with it may be broadcasts, by its size, or split where a group is crowded.
+    blocks = written(counts(outside, OUTSIDE, "n_out").join(counts(all_, ALL, "n_all"), ["pivot_part", "class"]), "blocks")
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keys = ["pivot_part", "class", "o", "i"]
