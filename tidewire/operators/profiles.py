@@ -59,6 +59,7 @@ STALLED = ["المشاريع المتلكئة", "مشاريع متلكئة", "ا
 AUTHORITY = ["البرلمان", "مجلس النواب", "مجلس الوزراء", "رئيس الوزراء", "وزارة التخطيط", "لجنة الخدمات والاعمار", "لجنة الاقتصاد والاستثمار", "لجنة الاستثمار والتنمية", "의회", "국회", "국무회의", "총리", "기획부"]
 ACTION = ["فتح ملف", "يفتح ملف", "بحث ملف", "مناقشة ملف", "تحقيق", "استضافة", "استجواب", "لجنة تحقيق", "اعداد تقرير", "تقديم تقرير", "توصيات", "معالجة", "حسم", "공식 검토", "조사 착수", "현황 점검", "보고서 제출"]
 NATIONWIDE = ["في العراق", "عموم العراق", "جميع المحافظات", "المشاريع الحكومية", "المشاريع الوطنية", "이라크 전역", "국가 사업", "정부 사업"]
+# Names of the categories in stored data.
 CATEGORY_ALIASES = {
     "bismayah": ["bismayah", "비스마야", "بسماية"],
     "politics": ["politics", "political", "정치", "정국", "정국/정치", "السياسة", "سياسة"],

@@ -13,7 +13,7 @@ from tidewire.plans.registry import Tables, query
 from tidewire.sources import html, payloads
 from tidewire.sources.shared_folder import shared_folder
 
-NOW = F.lit("2026-08-04 00:00:00").cast("timestamp")
+NOW = lambda: F.lit("2026-08-04 00:00:00").cast("timestamp")
 _TS = lambda c: F.try_to_timestamp(F.col(c))
 
 _BLENDS = [
@@ -83,7 +83,7 @@ def export_order(spark, d):
 def export_requests(spark, d):
     rows = _articles(spark)
     some = lambda *keys: rows.where(F.col("id").isin(*keys))
-    many = spark.range(41).select(F.lit(True).alias("exportable"), NOW.alias("published_at"))
+    many = spark.range(41).select(F.lit(True).alias("exportable"), NOW().alias("published_at"))
     asked = {"fine": (some("r1"), "2026-08-01", "2026-08-03"), "empty": (some("gone"), "2026-08-01", "2026-08-03"), "dates": (some("r1"), None, "2026-08-03"), "unfit": (some("r1", "r2"), "2026-08-01", "2026-08-03"),
              "outside": (some("r1", "r7"), "2026-08-01", "2026-08-03"), "many": (many, "2026-08-01", "2026-08-09")}
     out = None
@@ -128,7 +128,7 @@ _CURRENT = [("a", "2026-08-01", None, "new"), ("g", "2026-08-03", None, "new"),
 def retention_by_stamps(spark, d):
     schema = "id string, published string, discovered string, version string"
     base, current = spark.createDataFrame(_BASE, schema), spark.createDataFrame(_CURRENT, schema)
-    return records.kept_base(base, current, "id", ["published", "discovered"], NOW).select("id", "version", "restored")
+    return records.kept_base(base, current, "id", ["published", "discovered"], NOW()).select("id", "version", "restored")
 
 
 _RESOLVED = [("a", "", "FAILED"), ("b", "https://b.example/1", "RESOLVED"), ("c", "", "RESOLVED"), ("d", "", "FAILED"), ("e", None, None)]
@@ -247,7 +247,7 @@ _RECENT = [("", True), (None, True), ("2026-08-01", True), ("2026-07-01", False)
 @query(fixed("stamp VARCHAR, recent BOOLEAN", _RECENT))
 def recent_items(spark, d):
     rows = spark.createDataFrame([r[:1] for r in _RECENT], "stamp string")
-    return rows.select("stamp", discovery.recent(F.col("stamp"), _TS("stamp"), NOW, 14).alias("recent"))
+    return rows.select("stamp", discovery.recent(F.col("stamp"), _TS("stamp"), NOW(), 14).alias("recent"))
 
 
 _FEED = "<rss><item><title>Report number one of the day</title><link>https://a.example/news/1</link><pubDate>Mon</pubDate></item><item><title></title><link>https://a.example/news/2</link></item><item><title>tag page</title><link>https://a.example/tag/2</link></item></rss>"
