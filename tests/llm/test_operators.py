@@ -550,6 +550,59 @@ def test_encoding_equals_the_library(vocabulary):
         assert vocabulary.encode(text).tolist() == model.encode(text)
 
 
+def test_unbroken_runs_are_encoded_as_a_whole_pass_would(vocabulary):
+    """Streamed in windows, and with a window as long as the text: the same ids."""
+    draw = np.random.default_rng(8)
+    for alphabet in ("ab", "theing", "abcdefghijklmnopqrstuvwxyz"):
+        text = "".join(draw.choice(list(alphabet), 3000))
+        streamed, longest = list(vocabulary.viterbi(text)), vocabulary.longest
+        vocabulary.longest = len(text)
+        try:
+            assert list(vocabulary.viterbi(text)) == streamed
+        finally:
+            vocabulary.longest = longest
+
+
+def scored():
+    names = ["a", "b", "ab", "ba", "aab", "abba", "bbb", " a", "c"]
+    ranks = dict(zip(names, [2.0, 2.5, 3.1, 3.0, 4.2, 5.5, 6.0, 2.2, 9.0], strict=True))
+    byte_ids = list(range(100, 356))
+    return pieces.ScoredPieces({p: i for i, p in enumerate(names)}, ranks, byte_ids, [p.encode() for p in names] + [b""] * (100 - len(names)) + [bytes([b]) for b in range(256)])
+
+
+def best_sum(own, text):
+    """Greatest sum of scores over all segmentations, by positions, without a window."""
+    best = [0.0]
+    for end in range(1, len(text) + 1):
+        options = [best[end - len(p)] - own.ranks[p] for p in own.ids if len(p) <= end and text.endswith(p, 0, end)]
+        if text[end - 1] not in own.ids:
+            options.append(best[end - 1] + own.unknown)
+        best.append(max(options))
+    return best[-1]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab cé", max_size=60))
+def test_scored_pieces_take_the_best_sum(text):
+    own = scored()
+    names = {i: p for p, i in own.ids.items()}
+    ids = list(own.viterbi(text))
+    raw = b"".join(own.raw[i] for i in ids)
+    assert raw.decode() == text
+    got, at = 0.0, 0
+    while at < len(ids):
+        if ids[at] in names:
+            got, at = got - own.ranks[names[ids[at]]], at + 1
+        else:
+            got, at = got + own.unknown, at + _width(ids[at] - 100)
+    assert got == pytest.approx(best_sum(own, text))
+    assert own.decode(own.encode(text)) == text
+
+
+def _width(first: int) -> int:
+    return 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
+
+
 def test_encoding_query(docs, texts, empty):
     vocabulary = _vocabulary()
     rows = pieces.encode(docs, vocabulary)

@@ -5,7 +5,9 @@ segmentation of every prefix ends in exactly one piece: the one that stays next
 prefix when the two are encoded together. The pass goes over the characters, keeps for each position of a window that
 piece and where it began (the backpointer), and commits ids as soon as the paths back from all positions that a later
 piece could still begin at have met in one boundary. The window holds positions no further back than that boundary or
-the longest piece. Characters that no longer piece holds are boundaries at once, and so is a space after a word.
+the longest piece: paths are traced back once it has grown by two longest pieces, and what they share is committed.
+Characters that no longer piece holds are boundaries at once, and so is a space after a word. ``ScoredPieces`` is the
+pass for models whose scores are log probabilities: the best sum of scores at each position.
 
 Defined results: a null text counts as empty; an empty text has no ids. One space is put before a text and taken off
 again by decoding, and spaces are kept as they are, so decoding restores every text exactly. The character that stands
@@ -25,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.shared import slices
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words up to so many characters are remembered by a worker, and so many of them.
 REMEMBERED_LENGTH, REMEMBERED = 40, 500_000
@@ -206,6 +210,60 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+class ScoredPieces(Pieces):
+    """A unigram vocabulary: the best segmentation has the greatest sum of scores, the negated ``ranks``.
+
+    A character that is no piece costs ``UNKNOWN`` more than the worst piece and is encoded by its bytes. Of equal sums
+    the one counts whose last piece begins first.
+    """
+
+    UNKNOWN = 10.0
+
+    def __post_init__(self):
+        super().__post_init__()
+        self.scored: dict = {}
+        for p in self.ids:
+            node = self.scored
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = (self.ids[p], -self.ranks[p])
+        self.unknown = -max(self.ranks.values(), default=0.0) - self.UNKNOWN
+
+    def _word(self, word: str) -> bytes:
+        return array("i", self.viterbi(word)).tobytes()
+
+    def viterbi(self, text: str) -> Iterator[int]:
+        """Ids, committed as soon as the paths back from every position that a later piece could begin at have met."""
+        n, longest, done = len(text), max(self.longest, 1), 0
+        last, begin, best = [-1], [0], [0.0]
+        for start in range(n):
+            if start - done >= 2 * longest:
+                ids, meet = self._settled(last, begin, [i for i in range(start - done, min(len(last), start - done + longest)) if last[i] is not None])
+                yield from self._bytes_of(ids)
+                last, begin, best, done = last[meet:], [i - meet for i in begin[meet:]], best[meet:], done + meet
+            at, node = start - done, self.scored
+            grown = at + longest + 1 - len(last)
+            last, begin, best = last + [None] * grown, begin + [0] * grown, best + [-np.inf] * grown
+            options, end = [], start
+            while end < n and (node := node.get(text[end])) is not None:
+                end += 1
+                if "" in node:
+                    options.append((end, *node[""]))
+            if not options or options[0][0] > start + 1:
+                options.append((start + 1, -2 - ord(text[start]), self.unknown))
+            for end, piece, score in options:
+                if best[at] + score > best[end - done]:
+                    last[end - done], begin[end - done], best[end - done] = piece, at, best[at] + score
+        yield from self._bytes_of(self._settled(last, begin, [n - done])[0])
+
+    def _bytes_of(self, ids: list[int]) -> Iterator[int]:
+        for i in ids:
+            if i >= 0:
+                yield i
+            else:
+                yield from (self.byte_ids[b] for b in chr(-2 - i).encode())
+
+
 def encode(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_ids, ids, restored) of every row; restored: decoding gives the text again. The vocabulary is broadcast."""
     held = df.sparkSession.sparkContext.broadcast(pieces)
@@ -213,7 +271,7 @@ def encode(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             ids = [own.encode(x) for x in texts]
             restored = [own.decode(i) == x for i, x in zip(ids, texts, strict=True)]
