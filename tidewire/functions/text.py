@@ -67,6 +67,15 @@ def normalize(text: Column, profile: str | Profile = "lower") -> Column:
     return F.lower(text) if p.lower else text
 
 
+def from_plain(plain: Column, profile: str) -> Column:
+    """A profile from a text that is already under "plain": what they share is done once. Not for those with a folding of their own."""
+    p = PROFILES[profile]
+    if p.nfkc or p.tags or p.deleted or not p.collapse:
+        raise ValueError(f"{profile} is no refinement of plain")
+    text = F.trim(F.regexp_replace(F.regexp_replace(plain, p.blank, " "), BLANKS, " ")) if p.blank else plain
+    return F.lower(text) if p.lower else text
+
+
 def normalize_sql(text: str, profile: str = "lower") -> str:
     """The same in DuckDB's SQL, for profiles without form folding."""
     p = PROFILES[profile]

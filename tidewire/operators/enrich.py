@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.functions.lexicon import glossary_terms
 from tidewire.functions.text import BLANKS
 
 #: Takes the queued rows (id and inputs), gives rows of results by id; runs as a plan, so any source of results will do.
@@ -31,6 +32,13 @@ def model_input(title: Column, body: Column, most: int = 1_800) -> Column:
     return F.to_json(F.struct(F.substring(squeeze(title), 1, 800).alias("title"), F.substring(squeeze(body), 1, most).alias("body")))
 
 
+def report_source(rows: DataFrame, glossary: dict[str, list[str]]) -> DataFrame:
+    """What a report's writer is given of each row: its fields compacted, and the glossary's terms in title and text."""
+    squeeze = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), BLANKS, " "))
+    both = F.concat_ws("\n", "title", "text")
+    return rows.select("id", F.lower("category").alias("category"), squeeze(F.col("source")).alias("source"), F.coalesce("url", F.lit("")).alias("url"), squeeze(F.col("title")).alias("title"), "text", glossary_terms(both, glossary).alias("terms"))
+
+
 def enriched(rows: DataFrame, queue: DataFrame, provider: Provider | None, value: str, key: str = "id") -> DataFrame:
     """``rows`` with the provider's value for the queued ones; answers for ids that weren't asked are ignored."""
     if provider is None:

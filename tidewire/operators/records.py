@@ -258,3 +258,10 @@ def _written(spark, folder: str) -> DataFrame:
     return spark.read.option("basePath", folder).parquet(folder)
 
 
+
+
+def sanitized(rows: DataFrame, forbidden: Column) -> DataFrame:
+    """Rows whose URL is forbidden lose it and are to be resolved again; the others stay as they are."""
+    bad = F.coalesce(forbidden, F.lit(False)) & (F.coalesce("url", F.lit("")) != "")
+    marked = rows.withColumn("_bad", bad)
+    return marked.withColumns({"url": F.when(F.col("_bad"), "").otherwise(F.col("url")), "url_status": F.when(F.col("_bad"), "PENDING").otherwise(F.col("url_status")), "error_code": F.when(F.col("_bad"), "FORBIDDEN_URL")}).drop("_bad")

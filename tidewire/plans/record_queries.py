@@ -484,3 +484,37 @@ _LEVELS = [(95, "URGENT"), (80, "IMPORTANT"), (70, "NOTABLE"), (60, "REFERENCE")
 @query(fixed("score INT, level VARCHAR", _LEVELS))
 def importance_levels(spark, d):
     return spark.createDataFrame([r[:1] for r in _LEVELS], "score int").select("score", arabic_rules.importance_level(F.col("score")).alias("level"))
+
+
+_ANSWERS = [
+    ("named", r'[["wrb.fr","x","[\"garturlres\",\"https://a.example/story?id\\u003d1\",1]"]]', "https://a.example/story?id\\u003d1"), ("first", 'x "https://b.example/1" y', "https://b.example/1"), ("none", "nothing", ""),
+]
+
+
+@query(fixed("id VARCHAR, url VARCHAR", [("named", "https://a.example/story?id=1"), ("first", "https://b.example/1"), ("none", "")]))
+def redirect_answers(spark, d):
+    rows = spark.createDataFrame([r[:2] for r in _ANSWERS], "id string, answer string")
+    return rows.select("id", html.batch_url(F.col("answer")).alias("url"))
+
+
+@query(fixed("id VARCHAR", [("second",)]))
+def alternate_payloads(spark, d):
+    """The first file that is there: the recovered one is missing, the discovered one is read."""
+    from pyspark.sql import types as T
+
+    base = f"{shared_folder(spark)}/tidewire/alternates-{uuid.uuid4().hex}"
+    spark.createDataFrame([('{"articles": [{"id": "second"}]}',)], "value string").coalesce(1).write.text(f"{base}/discovered")
+    return payloads.read_first(spark, [f"{base}/recovered", f"{base}/discovered"], T.StructType([T.StructField("id", T.StringType())])).select("id")
+
+
+@query(fixed("id VARCHAR, category VARCHAR, source VARCHAR, title VARCHAR, terms VARCHAR", [("a", "economy", "b c", "oil ministry", "ministry|oil")]))
+def report_sources(spark, d):
+    rows = spark.createDataFrame([("a", "Economy", " b  c", "oil  ministry", "text", None)], "id string, category string, source string, title string, text string, url string")
+    made = enrich.report_source(rows, {"oil": ["oil"], "ministry": ["ministry"], "gas": ["gas"]})
+    return made.select("id", "category", "source", "title", F.array_join("terms", "|").alias("terms"))
+
+
+@query(fixed("id VARCHAR, url VARCHAR, url_status VARCHAR, error_code VARCHAR", [("bad", "", "PENDING", "FORBIDDEN_URL"), ("fine", "https://a.example/1", "RESOLVED", None), ("empty", "", "FAILED", None)]))
+def sanitized_urls(spark, d):
+    rows = spark.createDataFrame([("bad", "https://news.google.com/x", "RESOLVED"), ("fine", "https://a.example/1", "RESOLVED"), ("empty", "", "FAILED")], "id string, url string, url_status string")
+    return records.sanitized(rows, discovery.no_publisher(F.col("url")))

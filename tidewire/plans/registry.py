@@ -32,9 +32,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table whose rows cost much work: dealt to all tasks where its files can't be split among them."""
+        df, tasks = getattr(self, name), self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
     def articles(self) -> DataFrame:
         """Documents as articles: the title is the text up to the first stop or line end, a minute lies between two."""
-        return self.documents.select(
+        return self.spread("documents").select(
             F.col("doc_id").alias("id"),
             F.trim(F.regexp_extract("text", "^[^.\\n]*", 0)).alias("title"),
             F.col("text").alias("body"),

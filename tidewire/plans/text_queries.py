@@ -26,15 +26,15 @@ def count(expr: str, terms: list[str]) -> str:
 @query(f"""SELECT doc_id, {text.normalize_sql("text", "plain")} AS plain, {text.normalize_sql("text", "lower")} AS lowered,
   {text.normalize_sql("text", "gate")} AS gate, {text.normalize_sql("text", "words")} AS words FROM documents""")
 def text_normalize(spark, d):
-    t = F.col("text")
-    return Tables(spark, d).documents.select("doc_id", text.normalize(t, "plain").alias("plain"), text.normalize(t, "lower").alias("lowered"), text.normalize(t, "gate").alias("gate"), text.normalize(t, "words").alias("words"))
+    docs = Tables(spark, d).spread("documents").select("doc_id", text.normalize(F.col("text"), "plain").alias("plain"))
+    return docs.select("doc_id", "plain", *(text.from_plain(F.col("plain"), p).alias(c) for p, c in (("lower", "lowered"), ("gate", "gate"), ("words", "words"))))
 
 
 @query()
 def text_normalize_forms(spark, d):
     """The profiles with form folding, which DuckDB lacks."""
     t = F.col("text")
-    return Tables(spark, d).documents.select("doc_id", *(text.normalize(t, p).alias(p) for p in ("scope", "routing", "origin", "glossary")))
+    return Tables(spark, d).spread("documents").select("doc_id", *(text.normalize(t, p).alias(p) for p in ("scope", "routing", "origin", "glossary")))
 
 
 @query(f"""SELECT doc_id, array_to_string(list_sort({text.tokens_sql("text", 3)}), '|') AS tokens, len({text.tokens_sql("text", 3)})::INT AS n FROM documents""")

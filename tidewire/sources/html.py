@@ -150,3 +150,13 @@ def redirect_candidates(html: Column) -> Column:
     """URLs a redirect page points to: data attribute, canonical, og:url, meta refresh; distinct, in that order."""
     patterns = ("data-n-au=[\"']([^\"']+)[\"']", "<link[^>]+rel=[\"']canonical[\"'][^>]*href=[\"']([^\"']+)[\"']", "<meta[^>]+property=[\"']og:url[\"'][^>]*content=[\"']([^\"']+)[\"']", "http-equiv=[\"']refresh[\"'][^>]*url=([^\"'>]+)")
     return F.array_distinct(F.concat(*(F.regexp_extract_all(html, F.lit(f"(?is){p}"), 1) for p in patterns)))
+
+
+def batch_url(answer: Column) -> Column:
+    """The URL in a redirect service's answer: the one it names as resolved, else the first there is; "" if there is none."""
+    named = F.regexp_extract(answer, r'\[\\"garturlres\\",\\"(.*?)\\",', 1)
+    first = F.regexp_extract(answer, r'(?i)(https?:\\?/?\\?/[^"\\\s]+)', 1)
+    url = F.coalesce(F.nullif(named, F.lit("")), first)
+    for code, char in (("/", "/"), ("u003d", "="), ("u0026", "&"), ("u003f", "?")):
+        url = F.regexp_replace(url, r"\\+" + code, char)
+    return F.when(url.rlike("(?i)^https?://[^/\\s]"), url).otherwise("")

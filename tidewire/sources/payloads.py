@@ -29,6 +29,15 @@ def read_payload(spark: SparkSession, path: str, articles: T.StructType, require
     return nested.unionByName(bare)
 
 
+def read_first(spark: SparkSession, paths: list[str], articles: T.StructType) -> DataFrame:
+    """The articles of the first file that is there; the last one is required."""
+    for path in paths[:-1]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            return read_payload(spark, path, articles)
+    return read_payload(spark, paths[-1], articles)
+
+
 def flattened(df: DataFrame, nested: str, columns: list[str], nested_first: bool = False) -> DataFrame:
     """Columns that may also stand inside a nested record, each from the first filled place."""
     of = lambda c: (F.col(f"{nested}.{c}"), F.col(c)) if nested_first else (F.col(c), F.col(f"{nested}.{c}"))
