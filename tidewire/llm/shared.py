@@ -35,7 +35,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
     """(text, y) of at most ``rows`` labelled training documents, picked by the hash of the id.
 
     ``rows`` is the documented bound: the ids are at most that many, so they may be broadcast and the texts need no
-    shuffle. Rows of fold 0, null labels and null ids take no part; of several labels of a document the largest counts.
+    shuffle but that of the sample: of rows that repeat an id the least text counts. Rows of fold 0, null labels and
+    null ids take no part; of several labels of a document the largest counts.
     """
     ids = (
         labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
@@ -46,4 +47,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, i
         .limit(rows)
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(ids), "_id").select("_id", "text", "y")
+    return texts.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
