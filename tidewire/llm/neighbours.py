@@ -2,32 +2,34 @@
 
 The centroids and the codebooks are fitted on at most ``SAMPLE_ROWS`` vectors; every vector is indexed: it goes to its
 nearest centroid's cell, its residual to ``PARTS`` codes. A query reads its nearest cells: as many as trials within the
-sample show to be needed, and more until they hold enough candidates. Cells go in blocks of rows against blocks of queries, so neither a crowded cell nor one
-that many queries read is held by one task; a task ranks its rows by the table distance, takes the exact distance of
-the ``RERANKED`` nearest (with all ties) and returns each query's best; these meet in the final ranking.
-
-Nearness is the Euclidean distance in double precision; ties go to the smaller id; a row is no neighbour of its own id.
-Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite parts take no
-part, neither as queries nor as candidates; rows with a null id take no part; without two vectors the result is empty.
-Measured recall at 10 against brute force is in the README.
+sample show to be needed, and more until they hold enough candidates. Only codes are searched: cells are dealt to tasks
+in blocks of rows against blocks of queries, so neither a crowded cell nor one that many queries read is held by one
+task, and a task returns for each query the ``SHORTLIST`` rows nearest by the distance tables. The nearest
+``SHORTLIST`` of all blocks are a query's shortlist; only their vectors are fetched, by row, for the exact distance.
+
+Nearness is the Euclidean distance in double precision; ties go to the smaller id, in the shortlist too: equal vectors
+have equal codes. Defined results: vectors that are null, zero, of another length than most, or hold null or
+non-finite parts take no part, neither as queries nor as candidates; rows with a null id take no part; every row is a
+candidate and, by its id, a query of its own, also where ids repeat, and is no neighbour of itself only; without two
+vectors the result is empty. Measured recall at 10 against brute force is in the README.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.sources.shared_folder import written
 
-SAMPLE_ROWS, MAX_CELLS, PARTS, CODES, LEAST_PROBES, RERANKED = 32_768, 1_024, 16, 256, 16, 128
+SAMPLE_ROWS, MAX_CELLS, PARTS, CODES, LEAST_PROBES, SHORTLIST = 32_768, 1_024, 16, 256, 16, 256
 #: Queries of the sample that set the number of probes, and the share of their true neighbours that the cells must hold.
 TRIALS, HELD = 256, 0.97
-ROWS_IN_BLOCK, QUERIES_IN_BLOCK = 8_192, 1_024
+ROWS_IN_BLOCK, QUERIES_IN_BLOCK = 16_384, 1_024
 
 
 def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -83,11 +85,11 @@ class Index:
         rest = x - self.centres[cells]
         return np.stack([_nearest(rest[:, a:b], book) for a, b, book in zip(self.bounds, self.bounds[1:], self.books, strict=False)], 1).astype(np.uint8)
 
-    def table_distances(self, query: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distances of the query to the decoded rows of a cell, from one table a part."""
-        rest, total = query - self.centres[cell], np.zeros(len(codes))
+    def table_distances(self, queries: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
+        """Squared distances of queries to the decoded rows of a cell, from one table a query and part."""
+        rest, total = queries - self.centres[cell], np.zeros((len(queries), len(codes)), np.float32)
         for i, (a, b, book) in enumerate(zip(self.bounds, self.bounds[1:], self.books, strict=False)):
-            total += ((book - rest[a:b]) ** 2).sum(1)[codes[:, i]]
+            total += _squares(rest[:, a:b], book).astype(np.float32)[:, codes[:, i]]
         return total
 
 
@@ -102,7 +104,7 @@ def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("vec", lambda x: x != 0))
 
 
-def neighbours(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", probes: int | None = None) -> DataFrame:
+def neighbours(df: DataFrame, is_query: Callable[[Column], Column], k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", probes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest found of each row for which ``is_query(vec_id)`` holds."""
     spark = df.sparkSession
     rows = _usable(df, id_col, vec_col)
@@ -121,13 +123,17 @@ def neighbours(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
             x = _matrix(batch.column(1), dims)
             cells = _nearest(x, held.value.centres)
             codes = held.value.codes(x, cells)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], ["vec_id", "vec", "cell", "codes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary())], ["vec_id", "vec", "row", "cell", "codes"])
 
-    indexed = written(rows.mapInArrow(put, "vec_id bigint, vec array<double>, cell int, codes binary"), "indexed")
-    # One number a cell, of MAX_CELLS at most.
+    numbered = rows.select("vec_id", "vec", F.monotonically_increasing_id().alias("row"))
+    indexed = written(numbered.mapInArrow(put, "vec_id bigint, vec array<double>, row bigint, cell int, codes binary"), "indexed")
+    # One number a cell, of MAX_CELLS at most. Cells go to groups of about ROWS_IN_BLOCK rows, a crowded one to several.
     filled = np.zeros(len(index.centres), np.int64)
     for r in indexed.groupBy("cell").count().collect():
         filled[r["cell"]] = r["count"]
+    group = ((np.cumsum(filled) - filled) // ROWS_IN_BLOCK).astype(int)
+    parts = np.maximum(-(-filled // ROWS_IN_BLOCK), 1).astype(int)
+    placed = F.broadcast(spark.createDataFrame([(c, int(group[c]), int(parts[c])) for c in range(len(filled))], "cell int, group int, parts int"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,43 +141,62 @@ def neighbours(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
             at, cells = [], []
             for i in range(len(x)):
                 order = np.argsort(_squares(x[i : i + 1], held.value.centres)[0], kind="stable")
-                enough = int(np.searchsorted(np.cumsum(filled[order]), 4 * k + 1)) + 1
+                enough = int(np.searchsorted(np.cumsum(filled[order]), SHORTLIST + 1)) + 1
                 near = order[: max(probes or held.value.probes, enough)]
                 near = near[filled[near] > 0]
-                at.append(np.full(len(near), i))
-                cells.append(near)
-            taken = batch.take(pa.array(np.concatenate(at))) if at else batch.slice(0, 0)
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(np.concatenate(cells) if cells else [], pa.int32())], ["query_id", "query", "cell"])
-
-    asked = indexed.where(is_query(F.col("vec_id"))).select("vec_id", "vec").mapInArrow(probe, "query_id bigint, query array<double>, cell int")
-    asked = written(asked, "asked")
-    count = lambda df, most, name: df.groupBy("cell").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
-    blocks = F.broadcast(count(indexed, ROWS_IN_BLOCK, "n_row").join(count(asked, QUERIES_IN_BLOCK, "n_query"), "cell"))  # a row a cell
+                for g in np.unique(group[near]):
+                    at.append(i)
+                    cells.append(near[group[near] == g].astype(np.int32))
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells, pa.list_(pa.int32())), pa.array([group[c[0]] for c in cells], pa.int32()), pa.array([parts[c].max() for c in cells], pa.int32())], ["query_row", "query", "cells", "group", "parts"])
+
+    queries = indexed.where(is_query(F.col("vec_id")))
+    asked = written(queries.select("row", "vec").mapInArrow(probe, "query_row bigint, query array<double>, cells array<int>, group int, parts int"), "asked")
+    in_group = asked.groupBy("group").agg(F.ceil(F.count("*") / QUERIES_IN_BLOCK).cast("int").alias("n_query"))
     own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    keys = ["cell", "r", "q"]
-    left = indexed.join(blocks, "cell").withColumn("r", own("vec_id", "n_row")).withColumn("q", each("n_query"))
-    right = asked.join(blocks, "cell").withColumn("q", own("query_id", "n_query")).withColumn("r", each("n_row"))
-    left = left.select(*(F.col(c).alias(c) for c in (*keys, "vec_id", "vec", "codes")))
-    right = right.select(*(F.col(c).alias(c) for c in (*keys, "query_id", "query")))
+    keys = ["group", "r", "q"]
+    left = indexed.join(placed, "cell").withColumn("r", own("row", "parts")).join(F.broadcast(in_group), "group").withColumn("q", each("n_query"))
+    right = asked.join(F.broadcast(in_group), "group").withColumn("q", own("query_row", "n_query")).withColumn("r", each("parts"))
+    left = left.select(*(F.col(c).alias(c) for c in (*keys, "cell", "vec_id", "row", "codes")))
+    right = right.select(*(F.col(c).alias(c) for c in (*keys, "query_row", "query", "cells")))
 
     def search(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if rows.num_rows and queries.num_rows:
-            ids = rows["vec_id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, x = ids[order], _matrix(rows["vec"].combine_chunks(), dims)[order]
+            ids, row, cell = (rows[c].to_numpy() for c in ("vec_id", "row", "cell"))
+            order = np.lexsort((row, ids, cell))
+            ids, row, cell = ids[order], row[order], cell[order]
             codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint8).reshape(len(ids), -1)[order]
-            for one, query in zip(queries["query_id"].to_pylist(), _matrix(queries["query"].combine_chunks(), dims), strict=True):
-                rough = held.value.table_distances(query, key[0].as_py(), codes)
-                near = np.flatnonzero(rough <= np.partition(rough, RERANKED)[RERANKED] * (1 + 1e-12)) if len(ids) > RERANKED else np.arange(len(ids))
-                near = near[ids[near] != one]
-                exact = np.sqrt(((x[near] - query) ** 2).sum(1))
-                best = np.lexsort((ids[near], exact))[:k]
-                out.append((np.full(len(best), one), ids[near][best], exact[best]))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 3
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
-
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            asking, wanted = queries["query_row"].to_numpy(), [set(c) for c in queries["cells"].to_pylist()]
+            x = _matrix(queries["query"].combine_chunks(), dims)
+            near = [[] for _ in asking]
+            for c in np.unique(cell):
+                a, b = np.searchsorted(cell, [c, c + 1])
+                of = np.flatnonzero([c in w for w in wanted])
+                for i in range(0, len(of), 64):
+                    rough = held.value.table_distances(x[of[i : i + 64]], c, codes[a:b])
+                    for q, distances in zip(of[i : i + 64], rough, strict=True):
+                        near[q].append((a, distances))
+            for q, found in enumerate(near):
+                if found:
+                    rough = np.concatenate([d for _, d in found])
+                    at = np.concatenate([np.arange(a, a + len(d)) for a, d in found])
+                    if len(rough) > SHORTLIST + 1:
+                        kept = rough <= np.partition(rough, SHORTLIST)[SHORTLIST]
+                        rough, at = rough[kept], at[kept]
+                    other = row[at] != asking[q]
+                    rough, at = rough[other], at[other]
+                    best = np.lexsort((row[at], ids[at], rough))[:SHORTLIST]
+                    out.append((np.full(len(best), asking[q]), row[at[best]], ids[at[best]], rough[best].astype(np.float64)))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_row", "row", "vec_id", "rough"])
+
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_row bigint, row bigint, vec_id bigint, rough double")
+    place = lambda *order: F.row_number().over(Window.partitionBy("query_row").orderBy(*order))
+    short = found.withColumn("place", place("rough", "vec_id", "row")).where(F.col("place") <= SHORTLIST).select("query_row", "row", "vec_id")
+    vectors = indexed.select("row", "vec")
+    asking = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("vec").alias("query"))
+    exact = F.sqrt(F.aggregate(F.zip_with("vec", "query", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x))
+    scored = short.join(vectors, "row").join(asking, "query_row").select("query_row", "query_id", "row", "vec_id", exact.alias("score"))
+    return scored.withColumn("rank", place("score", "vec_id", "row")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
