@@ -14,9 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.llm.shared import slices
+
 K, WINDOW = 16, 32
 _BASE, _SPREAD, _LOW = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFFFFFFFF)
 _32 = np.uint64(32)
@@ -78,7 +80,7 @@ def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             chosen = [picks(x, k, window) for x in texts]
             yield pa.RecordBatch.from_arrays(
@@ -106,7 +108,20 @@ def _buckets(ids: DataFrame, n: int) -> tuple[list[int], list[tuple[int, int, in
 
 
 def _range_of(key, bounds: list[int]):
-    return F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda b: b <= key)) if bounds else F.lit(0)
+    """How many bounds are at most ``key``: every so many of them are counted first, then those from there on."""
+    if not bounds:
+        return F.lit(0)
+    step = int(len(bounds) ** 0.5) + 1
+    held = F.lit(bounds).cast("array<bigint>")
+    coarse = F.size(F.filter(F.lit(bounds[step - 1 :: step] or [2**63 - 1]).cast("array<bigint>"), lambda b: b <= key)) * step
+    return coarse + F.size(F.filter(F.slice(held, coarse + 1, F.lit(step)), lambda b: b <= key))
+
+
+def _labels(spark: SparkSession, n: int) -> list[int]:
+    """For each of ``n`` partitions a number that hashes there, so that every bucket has a task of its own."""
+    rows = spark.range(32 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("task")).groupBy("task").agg(F.min("id").alias("id")).collect()
+    found = {r["task"]: r["id"] for r in rows}
+    return [found.get(task, -task) for task in range(n)]
 
 
 def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
@@ -127,13 +142,14 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
     bounds, ranges = _buckets(rows.select("key"), n)
+    labels = F.lit(_labels(spark, n)).cast("array<bigint>")
     before = F.create_map(*[x for _, key, prev in ranges for x in (F.lit(key).cast("bigint"), F.lit(prev))]) if ranges else F.lit(None).cast("map<bigint,int>")
     own = F.struct(_range_of(F.col("key"), bounds).alias("bucket"), F.lit(False).alias("follows"))
     head = F.struct(F.element_at(before, F.col("key")).alias("bucket"), F.lit(True).alias("follows"))
     places = F.explode(F.filter(F.array(own, head), lambda p: p["bucket"].isNotNull()))
     dealt = (
         rows.withColumn("place", places)
-        .select("id", "key", "text", "place.bucket", "place.follows")
+        .select("id", "key", "text", F.element_at(labels, F.col("place.bucket") + 1).alias("bucket"), "place.follows")
         .repartition(n, "bucket")
         .sortWithinPartitions("bucket", "follows", "key", "text")
         .select("bucket", "follows", "id", "text")
@@ -151,7 +167,7 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket_held, closed = None, None, False
-        for batch in batches:
+        for batch in slices(batches, 3):
             out = []
             for bucket, follows, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket == bucket_held and closed:
