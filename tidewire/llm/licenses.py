@@ -8,8 +8,8 @@ shingles meet with probability 1 - (1 - J ** ROWS) ** BANDS: equal ones always,
 
 That is enough for every match: a template with at least ``LEAST`` of its shingles in a text by changes of words has
 four shingles in a row unchanged there (one changed word takes three), hence an equal window. Windows of the text that
-hold a shingle of no template can't be equal to one and aren't hashed; a bit mask of the templates' shingles, of
-``MASK_BITS`` bits a shingle and ``MOST_BITS`` at most, tells most of them.
+hold a shingle of no template can't be equal to one and aren't hashed; a bit mask of the templates' shingles tells them:
+each has ``MARKS`` bits in it of ``MASK_BITS``, so one in 60,000 others passes (more only if ``MOST_BITS`` are too few).
 
 A template is found if its exact containment, the share of its distinct shingles in the stretch of three of its lengths
 around a window that met, is at least ``LEAST``. Only rows and places go through the join of bands; texts join again
@@ -20,6 +20,7 @@ repeat or are null; a template without words is never found.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tidewire.sources.shared_folder import written
 
 WIDE, BANDS, ROWS, LEAST = 4, 4, 2, 0.8
-MASK_BITS, MOST_BITS = 64, 1 << 24
+MASK_BITS, MOST_BITS, MARKS = 64, 1 << 24, 4
 
 # Texts by which well-known licenses are declared or granted.
 TEMPLATES = {
@@ -95,11 +96,16 @@ def _mask(known: DataFrame) -> tuple[Column, int]:
     """Bits of the templates' shingles as an array of 64-bit words, and their number; ``MOST_BITS`` bound what the driver gets."""
     total = known.agg(F.sum(F.size("t_shingles"))).first()[0]
     bits = min(MOST_BITS, 1 << max(10, math.ceil(math.log2(MASK_BITS * total))))
-    found = known.select(F.explode("t_shingles").alias("x")).select(F.pmod("x", F.lit(bits)).alias("bit")).distinct().collect()
-    words = np.zeros(bits // 64, np.uint64)
-    for r in found:
-        words[r["bit"] >> 6] |= np.uint64(1) << np.uint64(r["bit"] & 63)
-    return F.lit(words.view(np.int64)), bits
+    marked = known.select(F.explode("t_shingles").alias("x")).select(F.explode(F.array(*_marks(F.col("x"), bits))).alias("bit"))
+    words = np.zeros(bits // 64, np.int64)
+    for r in marked.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("set")).collect():
+        words[r["word"]] = r["set"]
+    return F.lit(words), bits
+
+
+def _marks(shingle: Column, bits: int) -> list[Column]:
+    """The bits of a shingle in the mask, from different parts of its hash."""
+    return [F.pmod(F.shiftright(shingle, 13 * i), F.lit(bits)) for i in range(MARKS)]
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
@@ -122,8 +128,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, i
     mask, bits = _mask(known)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = shingled(texts, F.col("text"), "s").select("doc_id", "s")
-    bit = lambda x: F.pmod(x, F.lit(bits))
-    known_bit = lambda x: F.bit_get(F.get(mask, F.shiftright(bit(x), 6).cast("int")), (bit(x) % 64).cast("int")) == 1
+    is_set = lambda bit: F.bit_get(F.get(mask, F.shiftright(bit, 6).cast("int")), (bit % 64).cast("int")) == 1
+    known_bit = lambda x: reduce(lambda a, b: a & b, map(is_set, _marks(x, bits)))
     # The row's number keeps filters, and with them the work above, from being repeated below this point.
     hits = texts.select("doc_id", "s", F.array_compact(F.transform("s", lambda x, i: F.when(known_bit(x), i))).alias("hits"), F.monotonically_increasing_id().alias("row"))
     whole = lambda w: F.filter("hits", lambda p, i: F.coalesce(F.get("hits", i + w - 1) == p + w - 1, F.lit(False)))
