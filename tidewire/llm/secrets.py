@@ -56,6 +56,9 @@ _BREAK = re.compile(r"[\r\n\x20\t]+")
 # First characters of gzip, bzip2, xz and Zstandard files and of zlib streams at the usual levels.
 _MAGIC = re.compile(r"(\x1f\x8b\x08)|(BZh[1-9]1AY&SY)|(\xfd7zXZ\x00)|(\x28\xb5\x2f\xfd)|(\x78[\x01\x5e\x9c\xda])")
 _MAGIC_BYTES = re.compile(_MAGIC.pattern.encode("latin-1"), re.DOTALL)
+_STARTS = ("\x1f\x8b", "BZh", "\xfd7zXZ", "\x28\xb5", "x\x01", "x^", "x\x9c", "x\xda")
+#: Signs of an encoded layer in a text.
+_SIGNS, _RUN = ("%", "\\", "\x00", "&#"), re.compile(r"[A-Za-z0-9+/_-]{16}")
 #: One of these stands in every layer that holds a match or can be decoded further.
 _HINT = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|\x00|[A-Za-z0-9+/_-]{16}|" + _MAGIC.pattern)
 #: Characters that no match and no encoded run holds.
@@ -84,6 +87,10 @@ def listed(spans: Spans) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
+def _may_hold_stream(text: str) -> bool:
+    return any(start in text for start in _STARTS)
+
+
 class Layer:
     """A decoded string and the span of the original text behind each of its characters; without places, its own."""
 
@@ -151,7 +158,7 @@ class Layer:
     def packed(self) -> Spans:
         """The secrets inside compressed layers, each at the place of all of its layer."""
         found: Spans = []
-        starts = [(m.start(), m.lastindex) for m in _MAGIC.finditer(self.text)]
+        starts = [(m.start(), m.lastindex) for m in _MAGIC.finditer(self.text)] if _may_hold_stream(self.text) else []
         if self.text[:3].isascii() and _zlib_header(self.text[:2].encode("latin-1", "ignore")) and not (starts and starts[0][0] == 0):
             starts.insert(0, (0, 5))
         upto = 0
@@ -352,14 +359,12 @@ def walk(text: str, packed: bool = True) -> tuple[set[tuple[str, int, int]], int
 def all_spans(text: str) -> tuple[Spans, Spans, int]:
     """(spans of the text itself, spans of all layers, number of layers)."""
     base = base_spans(text)
-    if not _FURTHER.search(text):
+    if not (any(sign in text for sign in _SIGNS) or _may_hold_stream(text) or _RUN.search(text)):
         return base, base, 1
     found, layers = walk(text)
     return base, ordered(list(found)), layers
 
 
-_FURTHER = re.compile(r"[%\\\x00]|&#|[A-Za-z0-9+/_-]{16}|" + _MAGIC.pattern)
-
 
 def redacted(text: str, spans: Spans, mark: str = "<secret>") -> str:
     """The text with each span, overlapping ones together, replaced by ``mark``."""
