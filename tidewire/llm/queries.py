@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewire.llm import fingerprints, licenses, mixing, near_dup, neighbours, pieces, quality, secrets, substrings, toxicity
+from tidewire.llm import clusters, conversations, extraction, fingerprints, licenses, mixing, near_dup, neighbours, pieces, quality, secrets, substrings, toxicity
 from tidewire.llm.shared import table
 
 
@@ -50,9 +50,25 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.report(*clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_secrets, op3_substrings, op4_mixing, op5_neighbours, op6_toxicity, op7_quality, op8_pieces, op9_near_dup, op10_licenses)}
+    made = (
+        op1_fingerprints, op2_secrets, op3_substrings, op4_mixing, op5_neighbours, op6_toxicity, op7_quality, op8_pieces, op9_near_dup, op10_licenses, op11_extraction, op12_clusters,
+        op13_conversations,
+    )
+    return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.SQL, "op9_near_dup": near_dup.SQL}
+    return {"op4_mixing": mixing.SQL, "op9_near_dup": near_dup.SQL, "op12_clusters": clusters.SQL, "op13_conversations": conversations.SQL}
