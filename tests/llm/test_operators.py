@@ -1,6 +1,8 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import time
 import zlib
@@ -10,6 +12,7 @@ from urllib.parse import quote
 import numpy as np
 import pytest
 import regex
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -140,6 +143,10 @@ def test_secrets_in_awkward_layers(hidden):
     assert not base and any(k == "assign" and 4 <= a < b <= 4 + len(hidden) for k, a, b in spans)
 
 
+NAIVE_STREAMS = {bytes([a, c]): [zlib.decompressobj] for a in range(8, 256, 16) if a < 128 for c in range(256) if (a << 8 | c) % 31 == 0 and not c & 32}
+NAIVE_STREAMS |= {b"\x1f\x8b": [lambda: zlib.decompressobj(31)], b"BZ": [bz2.BZ2Decompressor], b"\xfd7": [lzma.LZMADecompressor], b"\x28\xb5": [lambda: zstandard.ZstdDecompressor().decompressobj()]}
+
+
 def naive_spans(text):
     """Every layer as a list of (character, start, end), every decoder on all of it at once."""
     patterns = {"access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24), "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6)}
@@ -153,6 +160,12 @@ def naive_spans(text):
         s = "".join(c for c, _, _ in layer)
         for kind, (pattern, group, least) in patterns.items():
             found |= {(kind, *place(layer[m.start() : m.end()])) for m in re.finditer(pattern, s) if len(m[group]) >= least}
+        wide, i = [], 0
+        for m in re.finditer(r"(?:[\t\n\r\x20-\x7e]\x00){6,}|(?:\x00[\t\n\r\x20-\x7e]){6,}", s):
+            wide += layer[i : m.start()]
+            wide += [(s[j : j + 2].replace("\x00", ""), *place(layer[j : j + 2])) for j in range(m.start(), m.end(), 2)]
+            i = m.end()
+        work.append([*wide, *layer[i:]])
         for pattern, size, code in ((r"%[0-9a-fA-F]{2}", 3, 1), (r"\\u[0-9a-fA-F]{4}", 6, 2), (r"\\x[0-9a-fA-F]{2}", 4, 2)):
             out, i = [], 0
             while i < len(s):
@@ -182,13 +195,15 @@ def naive_spans(text):
                 body = body[:-1] if len(body) % 4 == 1 else body
                 raw = base64.b64decode(body + "=" * (-len(body) % 4))
                 made = [(chr(c), *place([layer[m.start() + skip + j] for j in (8 * k // 6, (8 * k + 7) // 6)])) for k, c in enumerate(raw)]
-                for gz in re.finditer(b"\x1f\x8b\x08", raw):
-                    stream = zlib.decompressobj(31)
-                    try:
-                        inner = naive_spans(stream.decompress(raw[gz.start() :]).decode("latin-1"))
-                    except zlib.error:
-                        continue
-                    found |= {(k, *place(made[gz.start() : len(raw) - len(stream.unused_data)])) for k, _, _ in inner}
+                for begin in range(len(raw)):
+                    for opened in NAIVE_STREAMS.get(raw[begin : begin + 2], ()) if begin + 2 <= len(raw) else ():
+                        stream = opened()
+                        try:
+                            inner = naive_spans(stream.decompress(raw[begin:]).decode("latin-1"))
+                        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+                            continue
+                        if stream.eof:
+                            found |= {(k, *place(made[begin : len(raw) - len(stream.unused_data)])) for k, _, _ in inner}
         work.append([*replaced, *layer[at:]])
     return found
 
@@ -197,6 +212,9 @@ _ENCODERS = [
     lambda t: quote(t, safe=""), lambda t: "".join(f"%{c:02x}" for c in t.encode()), lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"\\x{c:02x}" for c in t.encode()),
     lambda t: base64.b64encode(t.encode()).decode().rstrip("="), lambda t: base64.urlsafe_b64encode((t + " " * (-len(t) % 3)).encode()).decode(),
     lambda t: base64.b64encode(gzip.compress((t + ";").encode(), mtime=0)).decode().rstrip("="),
+    lambda t: base64.b64encode(zlib.compress(t.encode(), 6, 9)).decode().rstrip("="), lambda t: base64.b64encode(bz2.compress(t.encode())).decode().rstrip("="),
+    lambda t: base64.b64encode(lzma.compress(t.encode())).decode().rstrip("="), lambda t: base64.b64encode(zstandard.compress(t.encode())).decode().rstrip("="),
+    lambda t: base64.b64encode(t.encode("utf-16-le")).decode().rstrip("="),
 ]
 
 
@@ -212,6 +230,34 @@ def test_scan_equals_a_naive_worklist(parts, between):
     assert set(secrets.all_spans(text)[1]) == naive_spans(text)
 
 
+@pytest.mark.parametrize("level", [0, 1, 6, 9])
+@pytest.mark.parametrize("window", [9, 10, 12, 14, 15])
+def test_deflate_at_every_window_and_level(level, window):
+    made = zlib.compressobj(level, zlib.DEFLATED, window)
+    packed = made.compress(f"{prose(77, 60)} token=abcdef123456 {prose(78, 60)}".encode()) + made.flush()
+    for text in (base64.b64encode(packed).decode(), "x/" + base64.b64encode(b"\x00\xff" + packed + b"tail").decode(), quote(packed)):
+        assert any(k == "assign" for k, _, _ in secrets.all_spans(f"see {text} end")[1])
+
+
+def test_other_streams_at_large_windows():
+    text = f"{prose(77, 60)} token=abcdef123456".encode()
+    largest = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(window_log=27, enable_ldm=True)).compress(text)
+    for packed in (largest, lzma.compress(text, preset=9 | lzma.PRESET_EXTREME), bz2.compress(text, 9), zstandard.ZstdCompressor(level=22).compress(text)):
+        assert secrets.all_spans(base64.b64encode(packed).decode())[1]
+
+
+def test_time_grows_with_the_length():
+    noise = np.random.default_rng(1).bytes(1_500_000)
+    for piece, most in (("so x^2 + 3 = 0 and h\x01 ", 3_000_000), (base64.b64encode(noise).decode(), 2_000_000), ("x\x01\x9c(\xb5", 600_000)):
+        took = []
+        for n in (most // 2, most):
+            text = (piece * (n // len(piece) + 1))[:n]
+            began = time.time()
+            secrets.all_spans(text)
+            took.append(time.time() - began)
+        assert took[1] < 20 and took[1] < 3.5 * took[0] + 1, (piece[:10], took)
+
+
 def test_secret_query(docs, texts, empty):
     rows = secrets.digest(secrets.scan(docs)).collect()
     assert len(rows) == len(texts) and all(r.n_assign == 0 and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in rows if r.doc_id in (4, 5, 6))
@@ -644,6 +690,16 @@ def test_near_duplicates_on_odd_rows(docs, texts, empty):
     assert near_dup.near_duplicates(empty).count() == 0 and near_dup.keep_one(docs).columns == docs.columns
 
 
+def test_texts_of_one_id_are_judged_one_by_one(spark):
+    a, b, c = (prose(810 + i, 40) for i in range(3))
+    rows = [(3, a), (5, a), (5, b), (5, c), (9, b + " more"), (5, b), (2, c + " end"), (11, a + " tail")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, rep string").repartition(3)
+    told = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(df).collect())
+    assert told == sorted([(3, 36, 3, True), (5, 36, 3, False), (5, 36, 5, True), (5, 36, 2, False), (9, 37, 5, False), (5, 36, 5, True), (2, 37, 2, True), (11, 37, 3, False)])
+    kept = near_dup.keep_one(df)
+    assert kept.columns == df.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(3, a), (5, b), (5, b), (2, c + " end")])
+
+
 def test_large_groups_lose_no_link(spark):
     draw = np.random.default_rng(3)
     base, rows = prose(11, 150).split(), []

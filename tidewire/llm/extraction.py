@@ -36,6 +36,8 @@ from tidewire.llm.shared import slices
 from tidewire.sources.shared_folder import written
 
 FEW, FEW_INSIDE, SALTS, DEEPEST = 3, 5, 16, 512
+#: Up to so many pages (numbers only, no texts) with a recurring subtree are broadcast to the texts; beyond, both are shuffled.
+BROADCAST_ROWS = 200_000
 
 _words = lambda s: frozenset(s.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
@@ -351,7 +353,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     nodes = parsed.where("host is not null").select("row", "host", salt.alias("salt"), F.explode("nodes").alias("node")).select("row", "host", "salt", "node.*")
     # A menu may be on all pages of a host with a third of all pages: each template is met under several salts.
     known = templates(parsed).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    hits = nodes.join(known, ["host", "hash", "salt"]).where("kind > 0 or inside").groupBy("row").agg(F.collect_set(F.struct("first", "end", "kind")).alias("gone"))
+    found = nodes.join(known, ["host", "hash", "salt"]).where("kind > 0 or inside").groupBy("row").agg(F.collect_set(F.struct("first", "end", "kind")).alias("gone"))
+    hits = written(found, "hits")
+    known_rows = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits.hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -374,6 +378,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 ["page_id", "url", "text", "n_chars", "n_blocks", "n_marked", "n_template"],
             )
 
-    joined = parsed.join(hits, "row", "left").select("page_id", "url", "blocks", "n_marked", "gone")
+    joined = parsed.join(known_rows, "row", "left").select("page_id", "url", "blocks", "n_marked", "gone")
     kind = pages.schema[id_col].dataType.simpleString()
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint, n_blocks bigint, n_marked bigint, n_template bigint")

@@ -13,7 +13,8 @@ linked if 100 * intersection >= 75 * union, counted on the full sets of 64-bit s
   component with all others, block by block inside tasks that return links only. Nothing is capped or left out.
 
 Defined results: a null text counts as empty; a row with a null id is linked with nothing and kept, its component
-null; rows that repeat an id are one document (all its rows are kept or none).
+null; an id that stands on several rows with different texts: each text is linked, kept or dropped by itself, so that a
+text goes only if it resembles one that stays. Ids are whole numbers (others are cast, which fails for text that is none).
 """
 
 from __future__ import annotations
@@ -104,12 +105,12 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
 
 
 def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, set_key, bands, sketch) of every row; the last three are null for an empty set."""
+    """(doc_id, text_key, n, set_key, bands, sketch) of every row; the last three are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, "text"):
             sizes, keys, all_bands, sketches = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column("text").to_pylist():
                 found = shingles(text or "")
                 sizes.append(len(found))
                 least = min_hashes(found) if len(found) else None
@@ -118,26 +119,32 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 sketches.append(None if least is None else odd_sketch(least).view(np.int64))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(all_bands, longs), pa.array(sketches, longs)], ["doc_id", "n", "set_key", "bands", "sketch"]
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(all_bands, longs), pa.array(sketches, longs)],
+                ["doc_id", "text_key", "n", "set_key", "bands", "sketch"],
             )
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id bigint, n bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _text_key(text_col).alias("text_key")).mapInArrow(
+        run, "doc_id bigint, text_key bigint, n bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
     )
 
 
+def _text_key(text_col: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles) of the wanted (id, set_key)."""
+    """(id, shingles) of the wanted (id, rep, set_key): the set is that of a text of document ``rep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             found = [shingles(x) for x in batch.column(1).to_pylist()]
             keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["id", "set_key", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["rep", "set_key", "shingles"])
 
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    made = texts.join(wanted.select("id"), "id", "left_semi").mapInArrow(run, "id bigint, set_key binary, shingles array<bigint>")
-    return made.join(wanted, ["id", "set_key"], "left_semi").dropDuplicates(["id", "set_key"]).select("id", "shingles")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("rep"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    made = texts.join(wanted.select("rep"), "rep", "left_semi").mapInArrow(run, "rep bigint, set_key binary, shingles array<bigint>")
+    return made.join(wanted, ["rep", "set_key"]).dropDuplicates(["id"]).select("id", "shingles")
 
 
 def _differing(a: Column, b: Column) -> Column:
@@ -170,7 +177,7 @@ def links(docs: DataFrame, reps: DataFrame, id_col: str = "doc_id", text_col: st
     # A table of its own: the join below may be a broadcast, by its size, or split where a bucket is crowded.
     shared = written(placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("pivot")).where("size > 1"), "shared")
     members = written(placed.join(shared, "bucket"), "members")
-    sets = written(_sets(docs, reps.select("id", "set_key").join(members.select("id").distinct(), "id", "left_semi"), id_col, text_col), "sets")
+    sets = written(_sets(docs, reps.select("id", "rep", "set_key").join(members.select("id").distinct(), "id", "left_semi"), id_col, text_col), "sets")
     stars = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     found = written(_confirmed(_sifted(stars, reps), sets), "links")
     still_open = _still_open(members, connected_components(found))
@@ -236,24 +243,35 @@ def _across(large: DataFrame, sets: DataFrame) -> DataFrame:
     return outer.groupBy(*keys).cogroup(inner.groupBy(*keys)).applyInArrow(linked, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept) of every row."""
     made = written(prints(docs, id_col, text_col), "prints")
     classes = written(made.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = written(
-        made.join(classes, (made["doc_id"] == classes["rep"]) & (made["set_key"] == classes["set_key"])).select(F.col("rep").alias("id"), made["set_key"], "n", "bands", "sketch").dropDuplicates(["set_key"]), "reps"
-    )
-    parts = connected_components(links(docs, reps, id_col, text_col)).select(F.col("id").alias("rep"), "component")
-    of_class = classes.join(parts, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    joined = made.select("doc_id", "n", "set_key").join(of_class, "set_key", "left")
+    # The number of a class is its least document's; where that is the least of several classes, all but one have a hash.
+    own = classes.groupBy("rep").agg(F.min("set_key").alias("own_key"))
+    named = F.when(F.col("set_key") == F.col("own_key"), F.col("rep")).otherwise(F.xxhash64("rep", "set_key"))
+    numbered = written(classes.join(own, "rep").select("set_key", "rep", named.alias("id")), "numbered")
+    mine = (made["doc_id"] == numbered["rep"]) & (made["set_key"] == numbered["set_key"])
+    reps = written(made.join(numbered, mine).select("id", "rep", made["set_key"], "n", "bands", "sketch").dropDuplicates(["id"]), "reps")
+    parts = connected_components(links(docs, reps, id_col, text_col)).select("id", F.col("component").alias("part"))
+    linked = numbered.join(parts, "id").select("set_key", "rep", "part")
+    least = linked.groupBy("part").agg(F.min("rep").alias("component"))
+    of_class = classes.join(linked.join(least, "part").select("set_key", "component"), "set_key", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    joined = made.select("doc_id", "text_key", "n", "set_key").join(of_class, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return joined.select("doc_id", "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row."""
+    return _judged(docs, id_col, text_col).drop("text_key")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that are their component's least id."""
-    gone = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+    """The rows of ``docs``, all columns, whose id is their component's least one, and those without an id."""
+    gone = _judged(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_text")).distinct()
+    same = (docs[id_col].cast("bigint") == F.col("_gone_id")) & (_text_key(text_col) == F.col("_gone_text"))
+    return docs.join(gone, same, "left_anti").select(*(docs[c] for c in docs.columns))
 
 
 #: ``near_duplicates`` in DuckDB's SQL, by counting common shingles.

@@ -17,6 +17,10 @@ within are streams of their own that go on from piece to piece. Only where ``LON
 are pieces cut anyway, with ``OVERLAP`` characters in common: secrets of up to that length are found there too, but of
 a compressed layer in a base64 run of that length, itself inside a compressed layer, only the first ``LONGEST``
 characters are unpacked. Streams nested over ``DEEPEST`` deep, or for the third time with one beginning, are not followed.
+Zstandard windows over 128 MiB (no level but the long mode asks for more) and xz dictionaries that need over 256 MiB (its
+highest preset needs 65) are refused, as a task's memory is bounded. Deflate streams are found at every window and level:
+wherever their two header bytes and the head of the first block are valid, a stream is tried, a little of it first, so
+the work grows with the length of the layer.
 
 Defined results: a null text counts as empty and has no spans. Spans are in code points, end exclusive, without
 repeats, by start, then kind as in ``KINDS``, then end.
@@ -53,10 +57,10 @@ _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-
 _WIDE = re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){6,}|(?:\x00[\t\n\r\x20-\x7e]){6,}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]{4,})*")
 _BREAK = re.compile(r"[\r\n\x20\t]+")
-# First characters of gzip, bzip2, xz and Zstandard files and of zlib streams at the usual levels.
-_MAGIC = re.compile(r"(\x1f\x8b\x08)|(BZh[1-9]1AY&SY)|(\xfd7zXZ\x00)|(\x28\xb5\x2f\xfd)|(\x78[\x01\x5e\x9c\xda])")
+# First characters of gzip, bzip2, xz and Zstandard files.
+_MAGIC = re.compile(r"(\x1f\x8b\x08)|(BZh[1-9]1AY&SY)|(\xfd7zXZ\x00)|(\x28\xb5\x2f\xfd)")
 _MAGIC_BYTES = re.compile(_MAGIC.pattern.encode("latin-1"), re.DOTALL)
-_STARTS = ("\x1f\x8b", "BZh", "\xfd7zXZ", "\x28\xb5", "x\x01", "x^", "x\x9c", "x\xda")
+_STARTS, ZLIB, TRIAL = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ", b"\x28\xb5"), 5, 1 << 10
 #: Signs of an encoded layer in a text.
 _SIGNS, _RUN = ("%", "\\", "\x00", "&#"), re.compile(r"[A-Za-z0-9+/_-]{16}")
 #: One of these stands in every layer that holds a match or can be decoded further.
@@ -87,8 +91,27 @@ def listed(spans: Spans) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def _may_hold_stream(text: str) -> bool:
-    return any(start in text for start in _STARTS)
+def _one_byte(text: str) -> bytes:
+    """A byte for each character, "?" for those that are no byte."""
+    return text.encode("latin-1", "replace")
+
+
+def stream_starts(raw: bytes) -> list[tuple[int, int]]:
+    """(place, kind) of all that looks like the beginning of a compressed stream."""
+    starts = [(m.start(), m.lastindex) for m in _MAGIC_BYTES.finditer(raw)] if any(start in raw for start in _STARTS) else []
+    b = np.frombuffer(raw, np.uint8)
+    # Method 8, no preset dictionary, a valid check.
+    at = np.flatnonzero(((b[:-1] & 0x8F) == 8) & ((b[1:] & 0x20) == 0)) if len(b) > 2 else np.zeros(0, np.int64)
+    at = at[(b[at].astype(np.uint16) * 256 + b[at + 1]) % 31 == 0]
+    at = at[at + 2 < len(b)]
+    # The head of the first block: stored with its length and complement, or with fixed or with dynamic codes in range.
+    head, wide = b[at + 2], np.r_[b, np.zeros(8, np.uint8)].astype(np.int64) if len(at) else b
+    kind = head >> 1 & 3
+    stored = kind == 0
+    stored[stored] = (wide[at[stored] + 3] ^ wide[at[stored] + 5]) & (wide[at[stored] + 4] ^ wide[at[stored] + 6]) == 255
+    dynamic = (kind == 2) & (head >> 3 <= 29) & ((wide[at + 3] & 31) <= 29)
+    at = at[stored | (kind == 1) | dynamic]
+    return sorted([*starts, *((i, ZLIB) for i in at.tolist())])
 
 
 class Layer:
@@ -134,7 +157,7 @@ class Layer:
             for skip in range(min(4, len(run) - 3)):
                 raw = _from_base64(run[skip:])
                 text = raw.decode("latin-1")
-                if _HINT.search(text) or _zlib_header(raw):
+                if _HINT.search(text) or stream_starts(raw):
                     byte = np.arange(len(raw))
                     yield Layer(text, *self.places(at[skip + byte * 4 // 3], at[np.minimum(skip + ((byte + 1) * 4 + 2) // 3 - 1, len(at) - 1)]))
 
@@ -158,19 +181,17 @@ class Layer:
     def packed(self) -> Spans:
         """The secrets inside compressed layers, each at the place of all of its layer."""
         found: Spans = []
-        starts = [(m.start(), m.lastindex) for m in _MAGIC.finditer(self.text)] if _may_hold_stream(self.text) else []
-        if self.text[:3].isascii() and _zlib_header(self.text[:2].encode("latin-1", "ignore")) and not (starts and starts[0][0] == 0):
-            starts.insert(0, (0, 5))
-        upto = 0
+        raw = _one_byte(self.text)
+        starts = stream_starts(raw)
+        if not starts:
+            return found
+        wide = np.array([m.start() for m in re.finditer("[^\x00-\xff]", self.text)] + [len(raw)])
+        view, upto = memoryview(raw), 0
         for at, kind in starts:
             if at < upto:
                 continue  # inside a stream that was read to its end: what is stored there came out of it
-            wide = re.compile("[^\x00-\xff]").search(self.text, at)
-            raw = self.text[at : wide.start() if wide else None].encode("latin-1")
             stream = Stream(kind, set(), ())
-            for i in range(0, len(raw), PIECE):
-                if not stream.feed(raw[i : i + PIECE]):
-                    break
+            stream.feed_all(view[at : wide[np.searchsorted(wide, at)]])
             stream.close()
             upto = at + stream.read if stream.whole else upto
             if stream.kinds:
@@ -234,10 +255,6 @@ def _from_base64(run: str) -> bytes:
     return binascii.a2b_base64(run + "=" * (-len(run) % 4))
 
 
-def _zlib_header(raw: bytes) -> bool:
-    return len(raw) >= 2 and raw[0] & 0x8F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0
-
-
 class Content:
     """Decompressed bytes as they come: ``kinds`` gathers the kinds of secrets found in them and in what they hold."""
 
@@ -268,23 +285,22 @@ class Content:
             stream.close()
 
     def _piece(self, piece: bytes) -> None:
-        packed = list(_MAGIC_BYTES.finditer(piece))
         key = hashlib.blake2b(piece, digest_size=16).digest()
         if key not in self.seen:
             self.seen.add(key)
             self.kinds.update(kind for kind, _, _ in walk(piece.decode("latin-1"), packed=False)[0])
-        upto = 0
-        for m in packed:
-            if m.start() < upto:
+        # What is held comes after a piece that ended apart, and overlaps with one that did not.
+        rest = memoryview(self.held if piece[-OVERLAP:] != self.held[:OVERLAP] else self.held[OVERLAP:])
+        view, upto = memoryview(piece), 0
+        for at, kind in stream_starts(piece):
+            if at < upto:
                 continue
-            stream = Stream(m.lastindex, self.kinds, self.outer)
-            # What is held comes after a piece that ended apart, and overlaps with one that did not.
-            rest = self.held if piece[-OVERLAP:] != self.held[:OVERLAP] else self.held[OVERLAP:]
-            if stream.feed(piece[m.start() :]) and (not rest or stream.feed(rest)):
+            stream = Stream(kind, self.kinds, self.outer)
+            if stream.feed_all(view[at:]) and (not len(rest) or stream.feed(rest)):
                 self.open.append(stream)
             else:
                 stream.close()
-                upto = m.start() + stream.read if stream.whole else upto
+                upto = at + stream.read if stream.whole else upto
 
 
 class Stream:
@@ -295,12 +311,18 @@ class Stream:
         self.kind, self.kinds, self.outer, self.read, self.done, self.whole, self.content = kind, kinds, outer, 0, False, False, None
         self.decompressor = zstandard.ZstdDecompressor(max_window_size=1 << 27).decompressobj() if kind == 4 else made[kind]()
 
-    def feed(self, data: bytes) -> bool:
+    def feed_all(self, data: memoryview) -> bool:
+        """``feed`` in pieces. Deflated data that breaks in its first ``TRIAL`` bytes only looked like a stream."""
+        self.head = data[:OVERLAP]
+        if self.kind == ZLIB:
+            try:
+                zlib.decompressobj().decompress(data[:TRIAL], PIECE)
+            except zlib.error:
+                self.done = True
+        return not self.done and all(self.feed(data[i : i + PIECE]) for i in range(0, len(data), PIECE))
+
+    def feed(self, data: memoryview | bytes) -> bool:
         """Whether the stream goes on."""
-        if self.content is None:
-            key = hashlib.blake2b(data[:OVERLAP], digest_size=16).digest()
-            self.done = self.outer.count(key) >= 2 or len(self.outer) >= DEEPEST
-            self.content = Content(self.kinds, (*self.outer, key))
         self.read += len(data)
         while not self.done:
             try:
@@ -308,12 +330,18 @@ class Stream:
             except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError, zstandard.ZstdError):
                 self.done = True
                 break
+            if out and self.content is None:
+                key = hashlib.blake2b(self.head, digest_size=16).digest()
+                if self.outer.count(key) >= 2 or len(self.outer) >= DEEPEST:
+                    self.done = True
+                    break
+                self.content = Content(self.kinds, (*self.outer, key))
             self.done = bool(out) and not self.content.feed(out) or self._ended()
-            if not out and not data or self.done:
+            if not out and not len(data) or self.done:
                 break
         return not self.done
 
-    def _next(self, data: bytes) -> tuple[bytes, bytes]:
+    def _next(self, data: memoryview | bytes) -> tuple[bytes, memoryview | bytes]:
         """At most a piece of what comes out, and what is still to go in."""
         d = self.decompressor
         if self.kind in (1, 5):
@@ -359,7 +387,7 @@ def walk(text: str, packed: bool = True) -> tuple[set[tuple[str, int, int]], int
 def all_spans(text: str) -> tuple[Spans, Spans, int]:
     """(spans of the text itself, spans of all layers, number of layers)."""
     base = base_spans(text)
-    if not (any(sign in text for sign in _SIGNS) or _may_hold_stream(text) or _RUN.search(text)):
+    if not (any(sign in text for sign in _SIGNS) or _RUN.search(text) or stream_starts(_one_byte(text))):
         return base, base, 1
     found, layers = walk(text)
     return base, ordered(list(found)), layers
