@@ -5,27 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewire.functions.automaton import Scanned
 
-def any_of(text: Column, terms: list[str]) -> Column:
+
+def any_of(text: Column | Scanned, terms: list[str]) -> Column:
     """Whether the (normalised) text contains any term as a substring; a null text has none."""
+    if isinstance(text, Scanned):
+        return text.any_of(terms)
     found = F.lit(False)
     for term in terms:
         found = found | F.coalesce(F.contains(text, F.lit(term)), F.lit(False))
     return found
 
 
-def all_of(text: Column, terms: Column) -> Column:
+def all_of(text: Column | Scanned, terms: Column) -> Column:
     """Whether the text contains every term of an array column; an empty array is met."""
-    return F.coalesce(F.forall(terms, lambda t: F.contains(text, t)), F.lit(True))
+    return F.coalesce(F.forall(terms, lambda t: F.contains(_plain(text), t)), F.lit(True))
 
 
-def count_of(text: Column, terms: list[str]) -> Column:
-    """How many different terms occur; overlapping terms count each."""
+def count_of(text: Column | Scanned, terms: list[str]) -> Column:
+    """How many terms occur; overlapping terms count each."""
+    if isinstance(text, Scanned):
+        return text.count_of(terms)
     return sum((F.coalesce(F.contains(text, F.lit(t)), F.lit(False)).cast("int") for t in terms), F.lit(0))
 
 
-def evidence(text: Column, terms: list[str], most: int = 12) -> Column:
+def evidence(text: Column | Scanned, terms: list[str], most: int = 12) -> Column:
     """Which terms occur, in the lexicon's order."""
+    if isinstance(text, Scanned):
+        return text.evidence(terms, most)
     return F.slice(F.filter(F.array(*map(F.lit, terms)), lambda t: F.contains(text, t)), 1, most)
 
 
@@ -33,13 +41,17 @@ def weighted_score(title: Column, opening: Column, body: Column, terms: list[str
     return 5 * count_of(title, terms) + 2 * count_of(opening, terms) + count_of(body, terms)
 
 
-def exact_token(text: Column, token: str, script: str = "\\x{0600}-\\x{06FF}") -> Column:
+def _plain(text: Column | Scanned) -> Column:
+    return text.text if isinstance(text, Scanned) else text
+
+
+def exact_token(text: Column | Scanned, token: str, script: str = "\\x{0600}-\\x{06FF}") -> Column:
     """The token with no character of the script on either side."""
-    return text.rlike(f"(^|[^{script}]){token}([^{script}]|$)")
+    return _plain(text).rlike(f"(^|[^{script}]){token}([^{script}]|$)")
 
 
-def acronym(text: Column, name: str) -> Column:
-    return text.rlike(f"(?i)(^|[^a-z0-9]){name}([^a-z0-9]|$)")
+def acronym(text: Column | Scanned, name: str) -> Column:
+    return _plain(text).rlike(f"(?i)(^|[^a-z0-9]){name}([^a-z0-9]|$)")
 
 
 def phrase_pattern(words: str, proclitics: str) -> str:
@@ -61,8 +73,9 @@ def alias_signals(text: Column, aliases: dict[str, list[str]]) -> Column:
     return F.array_compact(F.array(*(F.when(any_of(padded, [f" {a} " for a in names]), F.lit(signal)) for signal, names in aliases.items())))
 
 
-def glossary_terms(text: Column, entries: dict[str, list[str]], most: int = 16) -> Column:
-    """Preferred terms whose source term or alias occurs, the longest match first, then by name."""
+def glossary_terms(text: Column, entries: dict[str, list[str]], most: int = 16, locale: str = "ko") -> Column:
+    """Preferred terms whose source term or alias occurs, the longest match first, then by name as the locale collates."""
     longest = lambda names: F.array_max(F.array(F.lit(0), *(F.when(F.contains(text, F.lit(n)), F.lit(len(n))).otherwise(0) for n in names)))
-    found = F.filter(F.array(*(F.struct((-longest(names)).alias("rank"), F.lit(term).alias("term")) for term, names in entries.items())), lambda s: s["rank"] < 0)
+    ranked = (F.struct((-longest(names)).alias("rank"), F.collate(F.lit(term), locale).alias("name"), F.lit(term).alias("term")) for term, names in entries.items())
+    found = F.filter(F.array(*ranked), lambda s: s["rank"] < 0)
     return F.slice(F.transform(F.array_sort(found), lambda s: s["term"]), 1, most)

@@ -15,8 +15,10 @@ def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 def keep_highest(df: DataFrame, keys: list[str], priority: str, pos: str) -> DataFrame:
     """The highest priority, the first among equals; ``first_pos`` is where the key first stood."""
-    seen = F.min(pos).over(Window.partitionBy(*keys))
-    return first_by(df.withColumn("first_pos", seen), keys, F.col(priority).desc_nulls_last(), F.col(pos).asc())
+    held = df.where(" and ".join(f"{k} is not null" for k in keys))
+    # Combined before the shuffle, so a key of many rows brings one row of each task.
+    best = F.min_by(F.struct(*df.columns), F.struct(F.col(priority).isNull(), -F.col(priority), F.col(pos)))
+    return held.groupBy(*keys).agg(best.alias("_best"), F.min(pos).alias("first_pos")).select("_best.*", "first_pos")
 
 
 def keep_last(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
@@ -54,6 +56,12 @@ def by_importance(score: Column, ts: Column, ascending: bool = False) -> list[Co
     return [score.asc_nulls_last() if ascending else score.desc_nulls_last(), ts.desc_nulls_last()]
 
 
+def by_time(ts: Column, title: Column, locale: str = "ar", oldest: bool = False) -> list[Column]:
+    """The list of reports as readers order it: by time, those without one last and by title as the locale collates."""
+    timed = ts.asc_nulls_last() if oldest else ts.desc_nulls_last()
+    return [timed, F.when(ts.isNull(), F.collate(title, locale)).asc_nulls_last()]
+
+
 def cluster_keepers(refs: DataFrame, clusters: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the references (section, item_index, cluster_id) one is kept for each cluster; the others are logged with a reason.
 

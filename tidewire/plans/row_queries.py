@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import tokens, tokens_sql
@@ -70,6 +71,21 @@ def sort_nulls_last(spark, d):
     return rows.orderBy(F.col("quality").desc_nulls_last(), "title", "id")
 
 
+_TOP = f"""(SELECT a.id, category, CASE WHEN quality IS NOT NULL THEN published_at END AS at_time, title FROM {ARTICLES} a LEFT JOIN labels l ON a.id = l.doc_id)"""
+
+
+@query(f"""SELECT id, category, place, listed FROM (
+  SELECT id, category, 'newest' AS listed, row_number() OVER (PARTITION BY category ORDER BY at_time DESC NULLS LAST, CASE WHEN at_time IS NULL THEN title END COLLATE ar, id) AS place FROM {_TOP} WHERE at_time IS NULL OR id % 3 = 0
+  UNION ALL SELECT id, category, 'untimed', row_number() OVER (PARTITION BY category ORDER BY title COLLATE ar, id) FROM {_TOP} WHERE at_time IS NULL) WHERE place <= 60""")
+def sort_collated(spark, d):
+    """The first 60 reports of each category as listed, newest first and those without a time by title in the locale's order; and the latter alone."""
+    t = Tables(spark, d)
+    rows = t.articles().join(t.labels.select(F.col("doc_id").alias("id"), "quality"), "id", "left").withColumn("at_time", F.when(F.col("quality").isNotNull(), F.col("published_at")))
+    place = F.row_number().over(Window.partitionBy("category").orderBy(*ranking.by_time(F.col("at_time"), F.col("title")), "id"))
+    first = lambda df, name: df.withColumn("place", place).where("place <= 60").select("id", "category", "place", F.lit(name).alias("listed"))
+    return first(rows.where("at_time is null or id % 3 = 0"), "newest").unionAll(first(rows.where("at_time is null"), "untimed"))
+
+
 _SETS = f"SELECT id, list_sort({tokens_sql("body", 3)}) AS s FROM {ARTICLES}"
 _REPS = f"SELECT min(id) AS id, s FROM ({_SETS}) WHERE len(s) > 0 GROUP BY s"
 
