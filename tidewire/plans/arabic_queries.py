@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import lexicon, text
 from tidewire.operators import arabic_rules, discovery, events, profiles, records, rules, similarity, titles
-from tidewire.plans.fixed import fixed
+from tidewire.plans.fixed import dealt, per_document
+from tidewire.plans.fixed import values as fixed
 from tidewire.plans.registry import query
 
 FILL = " تفاصيل متكررة عن الموضوع نفسه" * 20
@@ -30,18 +31,18 @@ _GATE = [
 ]
 
 
-@query(fixed("id VARCHAR, action VARCHAR, category VARCHAR, reason VARCHAR", [(r[0], *r[4:]) for r in _GATE]))
+@query(per_document("id VARCHAR, action VARCHAR, category VARCHAR, reason VARCHAR", [(r[0], *r[4:]) for r in _GATE]))
 def arabic_strict_gate(spark, d):
-    return arabic_rules.strict_gate(spark.createDataFrame([r[:4] for r in _GATE], REPORT)).select("id", "gate.action", "gate.category", "gate.reason")
+    return arabic_rules.strict_gate(dealt(spark, d, [r[:4] for r in _GATE], REPORT)).select("doc_id", "id", "gate.action", "gate.category", "gate.reason")
 
 
 _GATE_KEYWORD = [("kept", "economy", "خبر موجز عن المدينة", "نص", "bismayah-001", None, "PRIORITY_SUBJECT"), ("read", "economy", "خبر موجز عن المدينة", "نص", "bismayah-001", "FULL_TEXT", "NO_HOME_EVIDENCE")]
 
 
-@query(fixed("id VARCHAR, reason VARCHAR", [(r[0], r[6]) for r in _GATE_KEYWORD]))
+@query(per_document("id VARCHAR, reason VARCHAR", [(r[0], r[6]) for r in _GATE_KEYWORD]))
 def arabic_gate_by_keyword(spark, d):
-    rows = spark.createDataFrame([r[:6] for r in _GATE_KEYWORD], REPORT + ", keyword_id string, content_status string")
-    return arabic_rules.strict_gate(rows).select("id", "gate.reason")
+    rows = dealt(spark, d, [r[:6] for r in _GATE_KEYWORD], REPORT + ", keyword_id string, content_status string")
+    return arabic_rules.strict_gate(rows).select("doc_id", "id", "gate.reason")
 
 
 _ROUTE = [
@@ -54,10 +55,10 @@ _ROUTE = [
 ]
 
 
-@query(fixed("id VARCHAR, category VARCHAR, direct BOOLEAN, reason VARCHAR, label VARCHAR, section VARCHAR", [
+@query(per_document("id VARCHAR, category VARCHAR, direct BOOLEAN, reason VARCHAR, label VARCHAR, section VARCHAR", [
     (*(r[0], *r[4:]), records.ROUTE_LABELS.get(r[6], r[6]), records.SECTIONS.get(r[4], "politicsItems")) for r in _ROUTE]))
 def arabic_direct_route(spark, d):
-    routed = arabic_rules.direct_route(spark.createDataFrame([r[:4] for r in _ROUTE], REPORT)).select("id", "route.category", "route.direct", "route.reason")
+    routed = arabic_rules.direct_route(dealt(spark, d, [r[:4] for r in _ROUTE], REPORT)).select("doc_id", "id", "route.category", "route.direct", "route.reason")
     return routed.withColumns({"label": records.route_label(F.col("reason")), "section": records.section_of(F.col("category"))})
 
 
@@ -69,9 +70,9 @@ _OVERRIDE = [
 ]
 
 
-@query(fixed("id VARCHAR, category VARCHAR, rule VARCHAR", [(r[0], *r[4:]) for r in _OVERRIDE]))
+@query(per_document("id VARCHAR, category VARCHAR, rule VARCHAR", [(r[0], *r[4:]) for r in _OVERRIDE]))
 def arabic_category_override(spark, d):
-    return arabic_rules.category_override(spark.createDataFrame([r[:4] for r in _OVERRIDE], REPORT)).select("id", "override.category", "override.rule")
+    return arabic_rules.category_override(dealt(spark, d, [r[:4] for r in _OVERRIDE], REPORT)).select("doc_id", "id", "override.category", "override.rule")
 
 
 _VALID = [
@@ -84,12 +85,12 @@ _VALID = [
 ]
 
 
-@query(fixed("id VARCHAR, error_code VARCHAR, status VARCHAR", [(r[0], r[4], "FAILED" if r[4] else "FULL_TEXT") for r in _VALID]))
+@query(per_document("id VARCHAR, error_code VARCHAR, status VARCHAR", [(r[0], r[4], "FAILED" if r[4] else "FULL_TEXT") for r in _VALID]))
 def arabic_validation(spark, d):
     """What fetched reports must show, and the content status that follows for a long enough Arabic text with a URL."""
-    checked = arabic_rules.validated(spark.createDataFrame([r[:4] for r in _VALID], REPORT))
+    checked = arabic_rules.validated(dealt(spark, d, [r[:4] for r in _VALID], REPORT))
     status = rules.hydration(F.lit("https://a.example/1"), F.lit(400), F.lit(0.9), F.col("error_code").isNull())
-    return checked.select("id", "error_code", status.alias("status"))
+    return checked.select("doc_id", "id", "error_code", status.alias("status"))
 
 
 _SCORED = [
@@ -100,19 +101,19 @@ _SCORED = [
 ]
 
 
-@query(fixed("id VARCHAR, score INT, level VARCHAR, reliability INT", [(r[0], *r[7:]) for r in _SCORED]))
+@query(per_document("id VARCHAR, score INT, level VARCHAR, reliability INT", [(r[0], *r[7:]) for r in _SCORED]))
 def arabic_importance(spark, d):
-    rows = spark.createDataFrame([r[:7] for r in _SCORED], REPORT + ", url string, source string, is_representative boolean")
-    return arabic_rules.importance(rows).select("id", "importance.score", "importance.level", F.element_at("importance.breakdown", F.lit("source_reliability")).alias("reliability"))
+    rows = dealt(spark, d, [r[:7] for r in _SCORED], REPORT + ", url string, source string, is_representative boolean")
+    return arabic_rules.importance(rows).select("doc_id", "id", "importance.score", "importance.level", F.element_at("importance.breakdown", F.lit("source_reliability")).alias("reliability"))
 
 
 _PROMOTED = [("a", "economy", 5, True, "bismayah", 100), ("b", "economy", 120, True, "bismayah", 120), ("c", "economy", 7, None, "economy", 7)]
 
 
-@query(fixed("id VARCHAR, category VARCHAR, priority INT", [(r[0], *r[4:]) for r in _PROMOTED]))
+@query(per_document("id VARCHAR, category VARCHAR, priority INT", [(r[0], *r[4:]) for r in _PROMOTED]))
 def arabic_promotion(spark, d):
-    rows = spark.createDataFrame([r[:4] for r in _PROMOTED], "id string, category string, priority int, priority_match boolean")
-    return arabic_rules.promoted(rows).select("id", "category", "priority")
+    rows = dealt(spark, d, [r[:4] for r in _PROMOTED], "id string, category string, priority int, priority_match boolean")
+    return arabic_rules.promoted(rows).select("doc_id", "id", "category", "priority")
 
 
 _FLOORS = [
@@ -126,12 +127,12 @@ _FLOORS = [
 ]
 
 
-@query(fixed("id VARCHAR, score INT, rule VARCHAR", [(r[0], *r[3:]) for r in _FLOORS]))
+@query(per_document("id VARCHAR, score INT, rule VARCHAR", [(r[0], *r[3:]) for r in _FLOORS]))
 def arabic_floors(spark, d):
-    rows = spark.createDataFrame([r[:3] for r in _FLOORS], "id string, text string, category string")
-    made = rows.select("id", "category", profiles.business_floor(F.col("text"), F.col("text")).alias("b"), profiles.category_floor(F.col("category"), F.col("text")).alias("c"))
+    rows = dealt(spark, d, [r[:3] for r in _FLOORS], "id string, text string, category string")
+    made = rows.select("doc_id", "id", "category", profiles.business_floor(F.col("text"), F.col("text")).alias("b"), profiles.category_floor(F.col("category"), F.col("text")).alias("c"))
     best = F.when(F.col("c.score") > F.col("b.score"), F.col("c")).otherwise(F.col("b"))
-    return made.select("id", best["score"].alias("score"), best["rule"].alias("rule"))
+    return made.select("doc_id", "id", best["score"].alias("score"), best["rule"].alias("rule"))
 
 
 _SCOPE = [
@@ -141,19 +142,19 @@ _SCOPE = [
 ]
 
 
-@query(fixed("id VARCHAR, reason VARCHAR", [(r[0], r[4]) for r in _SCOPE]))
+@query(per_document("id VARCHAR, reason VARCHAR", [(r[0], r[4]) for r in _SCOPE]))
 def arabic_scope(spark, d):
-    rows = spark.createDataFrame([r[:4] for r in _SCOPE], REPORT)
-    return rows.select("id", profiles.scope(F.col("category"), F.col("title"), F.col("body")).alias("reason"))
+    rows = dealt(spark, d, [r[:4] for r in _SCOPE], REPORT)
+    return rows.select("doc_id", "id", profiles.scope(F.col("category"), F.col("title"), F.col("body")).alias("reason"))
 
 
 _AUDIT = [("leak", "انفجار في دمشق", "بيان", "SUSPECT"), ("linked", "انفجار في دمشق", "قال مصدر في بغداد", "REVIEWED"), ("home", "انفجار في البصرة", "بيان", None)]
 
 
-@query(fixed("id VARCHAR, audit VARCHAR", [(r[0], r[3]) for r in _AUDIT]))
+@query(per_document("id VARCHAR, audit VARCHAR", [(r[0], r[3]) for r in _AUDIT]))
 def arabic_audit(spark, d):
-    rows = spark.createDataFrame([r[:3] for r in _AUDIT], "id string, title string, body string")
-    return rows.select("id", profiles.audit(F.col("title"), F.col("body")).alias("audit"))
+    rows = dealt(spark, d, [r[:3] for r in _AUDIT], "id string, title string, body string")
+    return rows.select("doc_id", "id", profiles.audit(F.col("title"), F.col("body")).alias("audit"))
 
 
 _TALKS = "ناقش التمثيل التجاري المصري والهيئة الوطنية للاستثمار سبل التعاون الاستثماري بين مصر والعراق"
@@ -200,26 +201,26 @@ def arabic_normalize(spark, d):
 _RATIO = [("ab", 0.0), ("نفط", 1.0), ("نفط abc", 0.5), ("", 0.0)]
 
 
-@query(fixed("text VARCHAR, ratio DOUBLE", _RATIO))
+@query(per_document("text VARCHAR, ratio DOUBLE", _RATIO))
 def arabic_ratio(spark, d):
-    return spark.createDataFrame([r[:1] for r in _RATIO], "text string").select("text", text.script_ratio(F.col("text")).alias("ratio"))
+    return dealt(spark, d, [r[:1] for r in _RATIO], "text string").select("doc_id", "text", text.script_ratio(F.col("text")).alias("ratio"))
 
 
 _WORDS = [("بالعراق", "عراق"), ("للنفط", "نفط"), ("والنفط", "نفط"), ("العراق", "عراق"), ("نفط", "نفط")]
 
 
-@query(fixed("word VARCHAR, bare VARCHAR", _WORDS))
+@query(per_document("word VARCHAR, bare VARCHAR", _WORDS))
 def arabic_canonical_words(spark, d):
-    return spark.createDataFrame([r[:1] for r in _WORDS], "word string").select("word", text.canonical_token(F.col("word")).alias("bare"))
+    return dealt(spark, d, [r[:1] for r in _WORDS], "word string").select("doc_id", "word", text.canonical_token(F.col("word")).alias("bare"))
 
 
 _SUBJECT = [("في بسماية", "x", True), ("هانوا في العراق", "x", True), ("هانوا في كوريا", "x", False), ("الهيئة الوطنية للاستثمار", "nic", True), ("الهيئة الوطنية للاستثمار", "x", False), ("خبر", "nic", False)]
 
 
-@query(fixed("text VARCHAR, source_id VARCHAR, priority BOOLEAN", _SUBJECT))
+@query(per_document("text VARCHAR, source_id VARCHAR, priority BOOLEAN", _SUBJECT))
 def arabic_priority_subject(spark, d):
-    rows = spark.createDataFrame([r[:2] for r in _SUBJECT], "text string, source_id string")
-    return rows.select("text", "source_id", arabic_rules.priority_subject(F.col("text"), F.col("source_id")).alias("priority"))
+    rows = dealt(spark, d, [r[:2] for r in _SUBJECT], "text string, source_id string")
+    return rows.select("doc_id", "text", "source_id", arabic_rules.priority_subject(F.col("text"), F.col("source_id")).alias("priority"))
 
 
 _FOUND = [
@@ -228,10 +229,10 @@ _FOUND = [
 ]
 
 
-@query(fixed("id VARCHAR, ceremonial BOOLEAN, social BOOLEAN", [(r[0], *r[6:]) for r in _FOUND]))
+@query(per_document("id VARCHAR, ceremonial BOOLEAN, social BOOLEAN", [(r[0], *r[6:]) for r in _FOUND]))
 def discovery_rejects(spark, d):
-    rows = spark.createDataFrame([r[:6] for r in _FOUND], "id string, title string, description string, excluded array<string>, homepage string, source string")
-    return rows.select("id", discovery.ceremonial(F.col("title"), F.col("description"), F.col("excluded")).alias("ceremonial"), discovery.social(F.col("homepage"), F.col("source")).alias("social"))
+    rows = dealt(spark, d, [r[:6] for r in _FOUND], "id string, title string, description string, excluded array<string>, homepage string, source string")
+    return rows.select("doc_id", "id", discovery.ceremonial(F.col("title"), F.col("description"), F.col("excluded")).alias("ceremonial"), discovery.social(F.col("homepage"), F.col("source")).alias("social"))
 
 
 _TITLES = [
@@ -242,10 +243,10 @@ _TITLES = [
 ]
 
 
-@query(fixed("id VARCHAR, usable BOOLEAN, cleaned VARCHAR", [(r[0], *r[3:]) for r in _TITLES]))
+@query(per_document("id VARCHAR, usable BOOLEAN, cleaned VARCHAR", [(r[0], *r[3:]) for r in _TITLES]))
 def title_usable(spark, d):
-    rows = spark.createDataFrame([r[:3] for r in _TITLES], "id string, title string, url string")
-    return rows.select("id", titles.usable(F.col("title")).alias("usable"), titles.cleaned(F.col("title"), F.col("url")).alias("cleaned"))
+    rows = dealt(spark, d, [r[:3] for r in _TITLES], "id string, title string, url string")
+    return rows.select("doc_id", "id", titles.usable(F.col("title")).alias("usable"), titles.cleaned(F.col("title"), F.col("url")).alias("cleaned"))
 
 
 _LD = '<script type="application/ld+json">{}</script>'
@@ -260,12 +261,12 @@ _REPAIRS = [
 ]
 
 
-@query(fixed("id VARCHAR, title VARCHAR, method VARCHAR, elected VARCHAR", [(r[0], *r[3:]) for r in _REPAIRS]))
+@query(per_document("id VARCHAR, title VARCHAR, method VARCHAR, elected VARCHAR", [(r[0], *r[3:]) for r in _REPAIRS]))
 def title_repair(spark, d):
     """Unusable titles from their own pages, and the title a first extraction elects."""
-    rows = spark.createDataFrame([r[:3] for r in _REPAIRS], "id string, title string, html string")
-    elected = rows.select("id", titles.elected(F.coalesce("html", F.lit("")), F.col("title"), F.lit("")).alias("elected"))
-    return titles.repaired(rows).select("id", "title", "method").join(elected, "id")
+    rows = dealt(spark, d, [r[:3] for r in _REPAIRS], "id string, title string, html string")
+    found = rows.withColumn("elected", titles.elected(F.coalesce("html", F.lit("")), F.col("title"), F.lit("")))
+    return titles.repaired(found).select("doc_id", "id", "title", "method", "elected")
 
 
 _LONG = "هذا نص أطول من غيره في هذه الصفحة"
@@ -276,9 +277,9 @@ _BODIES = [
 ]
 
 
-@query(fixed("id VARCHAR, body VARCHAR", [(r[0], r[2]) for r in _BODIES]))
+@query(per_document("id VARCHAR, body VARCHAR", [(r[0], r[2]) for r in _BODIES]))
 def best_body(spark, d):
-    return spark.createDataFrame([r[:2] for r in _BODIES], "id string, html string").select("id", titles.best_body(F.col("html")).alias("body"))
+    return dealt(spark, d, [r[:2] for r in _BODIES], "id string, html string").select("doc_id", "id", titles.best_body(F.col("html")).alias("body"))
 
 
 _LD_PAGES = [("one", _LD.format(_NEWS)), ("bad", _LD.format("{") + _LD.format('[{"@type":"Article","headline":"h"}]')), ("none", "<p></p>")]
@@ -299,10 +300,10 @@ _SEEDS = [
 ]
 
 
-@query(fixed("id VARCHAR, valid BOOLEAN", [(r[0], r[7]) for r in _SEEDS]))
+@query(per_document("id VARCHAR, valid BOOLEAN", [(r[0], r[7]) for r in _SEEDS]))
 def seed_validity(spark, d):
-    rows = spark.createDataFrame([r[:7] for r in _SEEDS], "id string, enabled boolean, allowed boolean, category string, url string, title string, text string")
-    return rows.select("id", records.seed_valid(*(F.col(c) for c in ("enabled", "allowed", "category", "url", "title", "text"))).alias("valid"))
+    rows = dealt(spark, d, [r[:7] for r in _SEEDS], "id string, enabled boolean, allowed boolean, category string, url string, title string, text string")
+    return rows.select("doc_id", "id", records.seed_valid(*(F.col(c) for c in ("enabled", "allowed", "category", "url", "title", "text"))).alias("valid"))
 
 
 _KEYWORDS = [("k1", "نفط"), ("k1", "غاز"), ("k2", "oil"), ("k3", None), ("k4", "سكن")]
@@ -316,10 +317,10 @@ def config_problems(spark, d):
 _GLOSSARY = [("a", "رئيس الوزراء العراقي يزور بغداد", True, False), ("b", "وزراء", False, False), ("c", "the nic said", False, True), ("d", "picnic", False, False)]
 
 
-@query(fixed("id VARCHAR, token BOOLEAN, acronym BOOLEAN", [(r[0], *r[2:]) for r in _GLOSSARY]))
+@query(per_document("id VARCHAR, token BOOLEAN, acronym BOOLEAN", [(r[0], *r[2:]) for r in _GLOSSARY]))
 def arabic_tokens_and_acronyms(spark, d):
-    rows = spark.createDataFrame([r[:2] for r in _GLOSSARY], "id string, text string")
-    return rows.select("id", lexicon.exact_token(F.col("text"), "بغداد").alias("token"), lexicon.acronym(F.col("text"), "nic").alias("acronym"))
+    rows = dealt(spark, d, [r[:2] for r in _GLOSSARY], "id string, text string")
+    return rows.select("doc_id", "id", lexicon.exact_token(F.col("text"), "بغداد").alias("token"), lexicon.acronym(F.col("text"), "nic").alias("acronym"))
 
 
 _MATCHES = [("i1", "https://news.a.example/", "وكالة", "وزارة النفط تعلن خطة جديدة للإنتاج"), ("i2", "", "صحيفة الشرق", "وزارة النفط تعلن خطة جديدة للإنتاج"), ("i3", "https://c.example", "أخرى", "وزارة النفط تعلن خطة جديدة للإنتاج"), ("i4", "https://a.example", "", "شيء مختلف تماما")]

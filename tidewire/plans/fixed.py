@@ -1,7 +1,16 @@
-"""Queries over a few fixed rows: the rows they must give, as SQL."""
+"""Queries whose cases are stated as rows: every document is dealt one case, and the SQL says what each must give.
+
+The driver's tables hold no Arabic reports and no stored records, so the cases stand for them: case ``doc_id % n`` goes
+to each document, and the rules run over all documents. The tests hold the same rules to the cases one by one.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewire.plans.registry import Tables
+
 
 def _value(v) -> str:
     if v is None:
@@ -13,9 +22,27 @@ def _value(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
-def fixed(columns: str, rows: list[tuple]) -> str:
-    """SQL of the rows, with columns given as "name type, ..."."""
+def values(columns: str, rows: list[tuple], first: int | None = None) -> str:
+    """SQL of the rows, with columns given as "name type, ..."; numbered from ``first`` as ``case_no`` if that is given."""
     named = [c.strip().split(" ", 1) for c in columns.split(",")]
+    own = [f"c{i}" for i in range(len(named))]
     casts = ", ".join(f"CAST(c{i} AS {kind}) AS {name}" for i, (name, kind) in enumerate(named))
-    values = ", ".join("(" + ", ".join(map(_value, row)) + ")" for row in rows)
-    return f"SELECT {casts} FROM (VALUES {values}) t({', '.join(f'c{i}' for i in range(len(named)))})"
+    if first is None:
+        return f"SELECT {casts} FROM (VALUES {', '.join('(' + ', '.join(map(_value, row)) + ')' for row in rows)}) t({', '.join(own)})"
+    told = ", ".join("(" + ", ".join(map(_value, (first + i, *row))) + ")" for i, row in enumerate(rows))
+    return f"SELECT case_no, {casts} FROM (VALUES {told}) t({', '.join(['case_no', *own])})"
+
+
+def per_document(columns: str, rows: list[tuple | None]) -> str:
+    """SQL of (doc_id, columns): what the case of every document gives; None where it gives no row."""
+    n = len(rows)
+    blocks = " UNION ALL ".join(values(columns, [r], i) for i, r in enumerate(rows) if r is not None)
+    names = ", ".join("cases." + c.strip().split(" ", 1)[0] for c in columns.split(","))
+    return f"SELECT doc_id, {names} FROM documents JOIN ({blocks}) cases ON doc_id % {n} = case_no"
+
+
+def dealt(spark: SparkSession, d: str, rows: list[tuple], schema: str) -> DataFrame:
+    """The cases, one for each document, with its doc_id: a broadcast of the cases, no shuffle."""
+    cases = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "_n int, " + schema)
+    docs = Tables(spark, d).documents.select("doc_id", (F.col("doc_id") % len(rows)).cast("int").alias("_n"))
+    return docs.join(F.broadcast(cases), "_n").drop("_n")

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import ids, text, urls
 from tidewire.operators import arabic_rules, discovery, enrich, events, incremental, ranking, records, rules, views
-from tidewire.plans.fixed import fixed
-from tidewire.plans.registry import Tables, query
+from tidewire.plans.fixed import dealt, per_document
+from tidewire.plans.fixed import values as fixed
+from tidewire.plans.registry import ARTICLES, Tables, query
 from tidewire.sources import html, payloads
 from tidewire.sources.shared_folder import shared_folder
 
@@ -23,20 +24,20 @@ _BLENDS = [
 ]
 
 
-@query(fixed("id VARCHAR, score INT, floor INT, floor_rule VARCHAR, relevance VARCHAR, priority VARCHAR, rule_weight DOUBLE", [(r[0], *r[8:]) for r in _BLENDS]))
+@query(per_document("id VARCHAR, score INT, floor INT, floor_rule VARCHAR, relevance VARCHAR, priority VARCHAR, rule_weight DOUBLE", [(r[0], *r[8:]) for r in _BLENDS]))
 def importance_outcome(spark, d):
-    rows = spark.createDataFrame([r[:8] for r in _BLENDS], "id string, rule int, model int, model_priority string, b int, b_rule string, c int, c_rule string")
+    rows = dealt(spark, d, [r[:8] for r in _BLENDS], "id string, rule int, model int, model_priority string, b int, b_rule string, c int, c_rule string")
     floor = lambda x: F.struct(F.col(x).alias("score"), F.col(f"{x}_rule").alias("rule"))
     made = records.outcome(F.col("rule"), F.col("model"), F.col("model_priority"), floor("b"), floor("c"), F.lit("DEFAULT"))
-    return rows.select("id", made.alias("o")).select("id", "o.*")
+    return rows.select("doc_id", "id", made.alias("o")).select("doc_id", "id", "o.*")
 
 
 _STORED = [("first", "71.5", "10", 72), ("second", None, "33", 33), ("high", "140", None, 100), ("low", "-3", None, 0), ("text", "many", "50", None), ("none", None, None, None), ("nan", "NaN", None, None)]
 
 
-@query(fixed("id VARCHAR, score INT, bucket VARCHAR", [(r[0], r[3], {72: "70-79", 33: "0-59", 100: "90+", 0: "0-59", None: "pending"}[r[3]]) for r in _STORED]))
+@query(per_document("id VARCHAR, score INT, bucket VARCHAR", [(r[0], r[3], {72: "70-79", 33: "0-59", 100: "90+", 0: "0-59", None: "pending"}[r[3]]) for r in _STORED]))
 def stored_scores(spark, d):
-    rows = spark.createDataFrame([r[:3] for r in _STORED], "id string, a string, b string").select("id", records.stored_score(F.col("a"), F.col("b")).alias("score"))
+    rows = dealt(spark, d, [r[:3] for r in _STORED], "id string, a string, b string").select("doc_id", "id", records.stored_score(F.col("a"), F.col("b")).alias("score"))
     return rows.withColumn("bucket", views.score_bucket(F.col("score")))
 
 
@@ -99,13 +100,13 @@ _TRANSLATED = [
 ]
 
 
-@query(fixed("id VARCHAR, errors VARCHAR, status VARCHAR, reset VARCHAR", [(r[0], r[6], "PENDING" if r[2] == "V0" else r[1], "LEGACY_TRANSLATION_HIDDEN_IN_BROWSER" if r[2] == "V0" else None) for r in _TRANSLATED]))
+@query(per_document("id VARCHAR, errors VARCHAR, status VARCHAR, reset VARCHAR", [(r[0], r[6], "PENDING" if r[2] == "V0" else r[1], "LEGACY_TRANSLATION_HIDDEN_IN_BROWSER" if r[2] == "V0" else None) for r in _TRANSLATED]))
 def translation_validity(spark, d):
     """What is wrong with stored translations, and how those of another pipeline are hidden."""
-    rows = spark.createDataFrame([r[:6] for r in _TRANSLATED], "id string, status string, version string, current boolean, full boolean, summary string")
+    rows = dealt(spark, d, [r[:6] for r in _TRANSLATED], "id string, status string, version string, current boolean, full boolean, summary string")
     errors = records.translation_errors(F.col("status"), F.col("version"), "V1", F.col("current"), F.col("full"), F.col("summary"))
     shown = records.guarded(F.col("status"), F.col("version"), F.lit("t"), F.lit("x"), "V1")
-    return rows.select("id", F.array_join(errors, "|").alias("errors"), shown["status"].alias("status"), shown["reset_reason"].alias("reset"))
+    return rows.select("doc_id", "id", F.array_join(errors, "|").alias("errors"), shown["status"].alias("status"), shown["reset_reason"].alias("reset"))
 
 
 _CARDS = [("fine", "COMPLETED", True, "COMPLETED", True, False, None, ""), ("stale", "COMPLETED", None, "COMPLETED", False, False, None, "STALE_FACTS|STALE_CARD"), ("claims", None, None, "COMPLETED", True, None, "t", "CLAIMS_FULL_TRANSLATION|FULL_TEXT_IN_CARD"), ("none", None, None, None, None, None, "t", "")]
@@ -166,30 +167,30 @@ def report_section_dates(spark, d):
     return records.section_dates(Tables(spark, d).events.select(F.col("event_type").alias("section"), F.to_date("ts").alias("day"), F.col("user_id").alias("cluster_id")))
 
 
-@query(fixed("day DATE, first DATE, last DATE", [("2026-08-05", "2026-07-29", "2026-08-04"), ("2026-03-01", "2026-02-22", "2026-02-28")]))
+@query(per_document("day DATE, first DATE, last DATE", [("2026-08-05", "2026-07-29", "2026-08-04"), ("2026-03-01", "2026-02-22", "2026-02-28")]))
 def report_ranges(spark, d):
-    rows = spark.createDataFrame([("2026-08-05",), ("2026-03-01",)], "s string").select(F.to_date("s").alias("day"))
-    return rows.select("day", records.report_range(F.col("day")).alias("r")).select("day", F.col("r.start").alias("first"), F.col("r.end").alias("last"))
+    rows = dealt(spark, d, [("2026-08-05",), ("2026-03-01",)], "s string").select("doc_id", F.to_date("s").alias("day"))
+    return rows.select("doc_id", "day", records.report_range(F.col("day")).alias("r")).select("doc_id", "day", F.col("r.start").alias("first"), F.col("r.end").alias("last"))
 
 
 _STATES = [("new", "text", None, None, True, True), ("failed", "text", "FAILED", None, False, True), ("empty", " ", None, None, False, False), ("other", "text", None, False, True, False), ("done", "text", "FULL_TEXT", True, True, False)]
 
 
-@query(fixed("id VARCHAR, has_text BOOLEAN, work BOOLEAN", [(r[0], *r[4:]) for r in _STATES]))
+@query(per_document("id VARCHAR, has_text BOOLEAN, work BOOLEAN", [(r[0], *r[4:]) for r in _STATES]))
 def work_states(spark, d):
-    rows = spark.createDataFrame([r[:4] for r in _STATES], "id string, text string, status string, representative boolean")
+    rows = dealt(spark, d, [r[:4] for r in _STATES], "id string, text string, status string, representative boolean")
     done = F.col("id") == "done"
-    return rows.select("id", records.has_full_text(F.col("text"), F.col("status")).alias("has_text"), records.needs_work(F.col("representative"), F.col("text"), done, 2).alias("work"))
+    return rows.select("doc_id", "id", records.has_full_text(F.col("text"), F.col("status")).alias("has_text"), records.needs_work(F.col("representative"), F.col("text"), done, 2).alias("work"))
 
 
 _CURRENT_ROWS = [("same", "COMPLETED", "V1", "h", "g", True, "COMPLETED"), ("version", "COMPLETED", "V0", "h", "g", False, "PENDING"), ("source", "COMPLETED", "V1", "x", "g", False, "PENDING"), ("terms", "COMPLETED", "V1", "h", "y", False, "PENDING"), ("untold", "COMPLETED", "V1", "h", None, True, "COMPLETED"), ("pending", "PENDING", "V1", "h", "g", False, "PENDING")]
 
 
-@query(fixed("id VARCHAR, is_current BOOLEAN, status VARCHAR", [(r[0], *r[5:]) for r in _CURRENT_ROWS]))
+@query(per_document("id VARCHAR, is_current BOOLEAN, status VARCHAR", [(r[0], *r[5:]) for r in _CURRENT_ROWS]))
 def derived_is_current(spark, d):
-    rows = spark.createDataFrame([r[:5] for r in _CURRENT_ROWS], "id string, status string, version string, hash string, terms string")
+    rows = dealt(spark, d, [r[:5] for r in _CURRENT_ROWS], "id string, status string, version string, hash string, terms string")
     now = rows.withColumn("is_current", incremental.is_current(F.col("status"), F.col("version"), "V1", F.col("hash"), F.lit("h"), F.col("terms"), F.lit("g")))
-    return now.select("id", "is_current", incremental.reconcile(F.col("status"), F.col("is_current")).alias("status"))
+    return now.select("doc_id", "id", "is_current", incremental.reconcile(F.col("status"), F.col("is_current")).alias("status"))
 
 
 @query(fixed("n INT, target BIGINT", [(1, 10), (3, 11), (4, None), (5, None), (6, None)]))
@@ -207,47 +208,47 @@ _URLS = [
 ]
 
 
-@query(fixed("url VARCHAR, recover BOOLEAN, resolve BOOLEAN, priority BOOLEAN, no_publisher BOOLEAN", _URLS))
+@query(per_document("url VARCHAR, recover BOOLEAN, resolve BOOLEAN, priority BOOLEAN, no_publisher BOOLEAN", _URLS))
 def url_article_like(spark, d):
-    rows, u = spark.createDataFrame([r[:1] for r in _URLS], "url string"), F.col("url")
-    return rows.select("url", *(discovery.article_like(u, k).alias(k) for k in ("recover", "resolve", "priority")), discovery.no_publisher(u).alias("no_publisher"))
+    rows, u = dealt(spark, d, [r[:1] for r in _URLS], "url string"), F.col("url")
+    return rows.select("doc_id", "url", *(discovery.article_like(u, k).alias(k) for k in ("recover", "resolve", "priority")), discovery.no_publisher(u).alias("no_publisher"))
 
 
 _OWN = [("https://a.example/ar/1", "", True), ("https://m.a.example/ar/1", "/ar/", True), ("https://a.example/en/1", "/ar/", False), ("https://nota.example/1", "", False), ("", "", False)]
 
 
-@query(fixed("url VARCHAR, prefix VARCHAR, own BOOLEAN", _OWN))
+@query(per_document("url VARCHAR, prefix VARCHAR, own BOOLEAN", _OWN))
 def url_own_domain(spark, d):
-    rows = spark.createDataFrame([r[:2] for r in _OWN], "url string, prefix string")
-    return rows.select("url", "prefix", discovery.own(F.col("url"), F.array(F.lit("a.example")), F.col("prefix")).alias("own"))
+    rows = dealt(spark, d, [r[:2] for r in _OWN], "url string, prefix string")
+    return rows.select("doc_id", "url", "prefix", discovery.own(F.col("url"), F.array(F.lit("a.example")), F.col("prefix")).alias("own"))
 
 
 _SCORES = [("https://a.example/story/12345", 45.48), ("https://a.example/stories/12345", 30.56), ("https://a.example/newsletter", 0.44), ("https://a.example/iraq/x", 25.28)]
 
 
-@query(fixed("url VARCHAR, score DOUBLE, best VARCHAR", [(u, s, "https://a.example/story/12345") for u, s in _SCORES]))
+@query(per_document("url VARCHAR, score DOUBLE, best VARCHAR", [(u, s, "https://a.example/story/12345") for u, s in _SCORES]))
 def url_candidate_score(spark, d):
-    rows = spark.createDataFrame([r[:1] for r in _SCORES], "url string")
+    rows = dealt(spark, d, [r[:1] for r in _SCORES], "url string")
     best = urls.best_candidate(F.array(*(F.lit(u) for u, _ in _SCORES)))
-    return rows.select("url", F.round(urls.candidate_score(F.col("url")), 2).alias("score"), best.alias("best"))
+    return rows.select("doc_id", "url", F.round(urls.candidate_score(F.col("url")), 2).alias("score"), best.alias("best"))
 
 
 _CANONICAL = [("https://A.example:443/p?utm_source=x&id=1&mc_cid=2#top", "https://a.example/p?id=1", "https://a.example/p?id=1&mc_cid=2", "https://a.example/p?utm_source=x&id=1&mc_cid=2"), ("no url", "", "", "")]
 
 
-@query(fixed("url VARCHAR, every VARCHAR, priority VARCHAR, fragment VARCHAR", _CANONICAL))
+@query(per_document("url VARCHAR, every VARCHAR, priority VARCHAR, fragment VARCHAR", _CANONICAL))
 def url_canonical_variants(spark, d):
-    rows, u = spark.createDataFrame([r[:1] for r in _CANONICAL], "url string"), F.col("url")
-    return rows.select("url", urls.canonical(u).alias("every"), urls.canonical(u, urls.TRACKING[:3]).alias("priority"), urls.canonical(u, ()).alias("fragment"))
+    rows, u = dealt(spark, d, [r[:1] for r in _CANONICAL], "url string"), F.col("url")
+    return rows.select("doc_id", "url", urls.canonical(u).alias("every"), urls.canonical(u, urls.TRACKING[:3]).alias("priority"), urls.canonical(u, ()).alias("fragment"))
 
 
 _RECENT = [("", True), (None, True), ("2026-08-01", True), ("2026-07-01", False), ("soon", False)]
 
 
-@query(fixed("stamp VARCHAR, recent BOOLEAN", _RECENT))
+@query(per_document("stamp VARCHAR, recent BOOLEAN", _RECENT))
 def recent_items(spark, d):
-    rows = spark.createDataFrame([r[:1] for r in _RECENT], "stamp string")
-    return rows.select("stamp", discovery.recent(F.col("stamp"), _TS("stamp"), NOW(), 14).alias("recent"))
+    rows = dealt(spark, d, [r[:1] for r in _RECENT], "stamp string")
+    return rows.select("doc_id", "stamp", discovery.recent(F.col("stamp"), _TS("stamp"), NOW(), 14).alias("recent"))
 
 
 _FEED = "<rss><item><title>Report number one of the day</title><link>https://a.example/news/1</link><pubDate>Mon</pubDate></item><item><title></title><link>https://a.example/news/2</link></item><item><title>tag page</title><link>https://a.example/tag/2</link></item></rss>"
@@ -305,18 +306,18 @@ def redirect_pages(spark, d):
 _ERRORS = [("The operation was aborted", "FETCH_TIMEOUT"), ("HTTP 404", "ARTICLE_REMOVED"), ("HTTP 403", "ACCESS_BLOCKED"), ("odd", "CONTENT_EXTRACTION_FAILED")]
 
 
-@query(fixed("message VARCHAR, code VARCHAR", _ERRORS))
+@query(per_document("message VARCHAR, code VARCHAR", _ERRORS))
 def fetch_errors(spark, d):
-    return spark.createDataFrame([r[:1] for r in _ERRORS], "message string").select("message", rules.error_code(F.col("message")).alias("code"))
+    return dealt(spark, d, [r[:1] for r in _ERRORS], "message string").select("doc_id", "message", rules.error_code(F.col("message")).alias("code"))
 
 
 _LADDER = [("r", True, True, True, True, "RECOVERED_URL"), ("d", False, True, True, True, "DECODED_REDIRECT"), ("h", False, False, True, True, "HTTP_REDIRECT"), ("p", False, False, False, True, "PAGE_METADATA"), ("f", False, False, False, False, "FAILED")]
 
 
-@query(fixed("id VARCHAR, method VARCHAR", [(r[0], r[5]) for r in _LADDER]))
+@query(per_document("id VARCHAR, method VARCHAR", [(r[0], r[5]) for r in _LADDER]))
 def url_resolution(spark, d):
-    rows = spark.createDataFrame([r[:5] for r in _LADDER], "id string, a boolean, b boolean, c boolean, e boolean")
-    return rows.select("id", enrich.resolution(*(F.col(c) for c in "abce")).alias("method"))
+    rows = dealt(spark, d, [r[:5] for r in _LADDER], "id string, a boolean, b boolean, c boolean, e boolean")
+    return rows.select("doc_id", "id", enrich.resolution(*(F.col(c) for c in "abce")).alias("method"))
 
 
 @query(fixed("clean VARCHAR, joined VARCHAR, preview VARCHAR, input VARCHAR, decoded VARCHAR, blocks VARCHAR, united VARCHAR", [("a b|cde", "x\ny", "abc…", '{"title":"T t","body":"a b"}', "é A", "one\ntwo", "a|b|c")]))
@@ -418,19 +419,19 @@ def configured_keywords(spark, d):
     return payloads.enabled_rules(configured, built_in, "bismayah", ["economy", "bismayah"]).select("id", "category", F.lit(True).alias("kept"))
 
 
-@query(fixed("id VARCHAR, title VARCHAR, url VARCHAR", [("a", "outer", "inner url"), ("b", "inner", None)]))
+@query(per_document("id VARCHAR, title VARCHAR, url VARCHAR", [("a", "outer", "inner url"), ("b", "inner", None)]))
 def flattened_records(spark, d):
-    rows = spark.createDataFrame([("a", ("inner", "inner url"), "outer", ""), ("b", ("inner", None), "", None)], "id string, article struct<title:string,url:string>, title string, url string")
-    return payloads.flattened(rows, "article", ["title", "url"]).select("id", "title", "url")
+    rows = dealt(spark, d, [("a", ("inner", "inner url"), "outer", ""), ("b", ("inner", None), "", None)], "id string, article struct<title:string,url:string>, title string, url string")
+    return payloads.flattened(rows, "article", ["title", "url"]).select("doc_id", "id", "title", "url")
 
 
 _SOURCE_RANKS = [("a", 1, 500, 4, False, 100900), ("b", 3, 0, 0, True, 305000)]
 
 
-@query(fixed("id VARCHAR, score INT", [(r[0], r[5]) for r in _SOURCE_RANKS]))
+@query(per_document("id VARCHAR, score INT", [(r[0], r[5]) for r in _SOURCE_RANKS]))
 def representative_scores(spark, d):
-    rows = spark.createDataFrame([r[:5] for r in _SOURCE_RANKS], "id string, rank int, chars int, tokens int, translated boolean")
-    return rows.select("id", events.representative_score(*(F.col(c) for c in ("rank", "chars", "tokens", "translated"))).alias("score"))
+    rows = dealt(spark, d, [r[:5] for r in _SOURCE_RANKS], "id string, rank int, chars int, tokens int, translated boolean")
+    return rows.select("doc_id", "id", events.representative_score(*(F.col(c) for c in ("rank", "chars", "tokens", "translated"))).alias("score"))
 
 
 @query("SELECT event_id, ts, value FROM events ORDER BY coalesce(ts, TIMESTAMP '1970-01-01') DESC, value DESC NULLS LAST, event_id")
@@ -462,13 +463,13 @@ def related_members(spark, d):
 _BLOCKED = [("https://hathalyoum.net/articles/123", True, "hathalyoum", "priority-source-index", False), ("https://hathalyoum.net/articles/123", None, "hathalyoum", "priority-source-index", True), ("https://a.example/1", None, None, None, False)]
 
 
-@query(fixed("n BIGINT, forbidden BOOLEAN", [(i, r[4]) for i, r in enumerate(_BLOCKED)]))
+@query(per_document("n BIGINT, forbidden BOOLEAN", [(i, r[4]) for i, r in enumerate(_BLOCKED)]))
 def url_aggregator_policy(spark, d):
     from tidewire.operators.profiles import AGGREGATOR
 
-    rows = spark.createDataFrame([(i, *r[:4]) for i, r in enumerate(_BLOCKED)], "n bigint, url string, flag boolean, source string, method string")
+    rows = dealt(spark, d, [(i, *r[:4]) for i, r in enumerate(_BLOCKED)], "n bigint, url string, flag boolean, source string, method string")
     exempt = urls.aggregator_exempt(*(F.col(c) for c in ("url", "flag", "source", "method")), *AGGREGATOR)
-    return rows.select("n", urls.forbidden(F.col("url"), [AGGREGATOR[0]], exempt).alias("forbidden"))
+    return rows.select("doc_id", "n", urls.forbidden(F.col("url"), [AGGREGATOR[0]], exempt).alias("forbidden"))
 
 
 @query(fixed("id VARCHAR, value VARCHAR", [("a", "by url"), ("b", "by title"), ("c", None)]))
@@ -481,9 +482,9 @@ def matched_by_key(spark, d):
 _LEVELS = [(95, "URGENT"), (80, "IMPORTANT"), (70, "NOTABLE"), (60, "REFERENCE"), (40, "GENERAL"), (39, "LOW")]
 
 
-@query(fixed("score INT, level VARCHAR", _LEVELS))
+@query(per_document("score INT, level VARCHAR", _LEVELS))
 def importance_levels(spark, d):
-    return spark.createDataFrame([r[:1] for r in _LEVELS], "score int").select("score", arabic_rules.importance_level(F.col("score")).alias("level"))
+    return dealt(spark, d, [r[:1] for r in _LEVELS], "score int").select("doc_id", "score", arabic_rules.importance_level(F.col("score")).alias("level"))
 
 
 _ANSWERS = [
@@ -491,10 +492,10 @@ _ANSWERS = [
 ]
 
 
-@query(fixed("id VARCHAR, url VARCHAR", [("named", "https://a.example/story?id=1"), ("first", "https://b.example/1"), ("none", "")]))
+@query(per_document("id VARCHAR, url VARCHAR", [("named", "https://a.example/story?id=1"), ("first", "https://b.example/1"), ("none", "")]))
 def redirect_answers(spark, d):
-    rows = spark.createDataFrame([r[:2] for r in _ANSWERS], "id string, answer string")
-    return rows.select("id", html.batch_url(F.col("answer")).alias("url"))
+    rows = dealt(spark, d, [r[:2] for r in _ANSWERS], "id string, answer string")
+    return rows.select("doc_id", "id", html.batch_url(F.col("answer")).alias("url"))
 
 
 @query(fixed("id VARCHAR", [("second",)]))
@@ -507,14 +508,20 @@ def alternate_payloads(spark, d):
     return payloads.read_first(spark, [f"{base}/recovered", f"{base}/discovered"], T.StructType([T.StructField("id", T.StringType())])).select("id")
 
 
-@query(fixed("id VARCHAR, category VARCHAR, source VARCHAR, title VARCHAR, terms VARCHAR", [("a", "economy", "b c", "oil ministry", "ministry|oil")]))
+_GLOSSARY = {"council": ["council", "que"], "project": ["keit", "lichkeit"], "city": ["tion"]}
+_SQUEEZED = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
+_OF = ", ".join("{'r': -greatest(" + ", ".join(f"CASE WHEN contains(both_, '{n}') THEN {len(n)} ELSE 0 END" for n in names) + f"), 't': '{t}'}}" for t, names in _GLOSSARY.items())
+
+
+@query(f"""SELECT id, lower(category) AS category, {_SQUEEZED.format("source")} AS source, {_SQUEEZED.format("title")} AS title,
+  array_to_string(list_transform(list_sort(list_filter([{_OF}], lambda s: s.r < 0)), lambda s: s.t), '|') AS terms FROM (SELECT *, title || chr(10) || body AS both_ FROM {ARTICLES})""")
 def report_sources(spark, d):
-    rows = spark.createDataFrame([("a", "Economy", " b  c", "oil  ministry", "text", None)], "id string, category string, source string, title string, text string, url string")
-    made = enrich.report_source(rows, {"oil": ["oil"], "ministry": ["ministry"], "gas": ["gas"]})
-    return made.select("id", "category", "source", "title", F.array_join("terms", "|").alias("terms"))
+    """What a report's writer is given of every article, with the glossary's terms in its title and text."""
+    rows = Tables(spark, d).articles().select("id", "category", "source", "title", F.col("body").alias("text"), F.lit(None).cast("string").alias("url"))
+    return enrich.report_source(rows, _GLOSSARY).select("id", "category", "source", "title", F.array_join("terms", "|").alias("terms"))
 
 
-@query(fixed("id VARCHAR, url VARCHAR, url_status VARCHAR, error_code VARCHAR", [("bad", "", "PENDING", "FORBIDDEN_URL"), ("fine", "https://a.example/1", "RESOLVED", None), ("empty", "", "FAILED", None)]))
+@query(per_document("id VARCHAR, url VARCHAR, url_status VARCHAR, error_code VARCHAR", [("bad", "", "PENDING", "FORBIDDEN_URL"), ("fine", "https://a.example/1", "RESOLVED", None), ("empty", "", "FAILED", None)]))
 def sanitized_urls(spark, d):
-    rows = spark.createDataFrame([("bad", "https://news.google.com/x", "RESOLVED"), ("fine", "https://a.example/1", "RESOLVED"), ("empty", "", "FAILED")], "id string, url string, url_status string")
+    rows = dealt(spark, d, [("bad", "https://news.google.com/x", "RESOLVED"), ("fine", "https://a.example/1", "RESOLVED"), ("empty", "", "FAILED")], "id string, url string, url_status string")
     return records.sanitized(rows, discovery.no_publisher(F.col("url")))
