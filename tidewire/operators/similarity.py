@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.operators.components import connected_components
@@ -30,28 +30,57 @@ def title_similarity(a: Column, b: Column) -> Column:
 
 def set_classes(df: DataFrame, id_col: str, set_col: str) -> tuple[DataFrame, DataFrame]:
     """(representatives, membership): rows of equal sets are one class under its least id, so copies never form pairs."""
-    keyed = df.where(F.size(set_col) > 0).select(F.col(id_col).alias("id"), F.array_sort(set_col).alias("set"))
-    keyed = keyed.withColumn("key", F.sha2(F.array_join("set", "\x1f"), 256))
-    members = written(keyed.select("id", F.min("id").over(Window.partitionBy("key")).alias("rep")), "members")
-    return keyed.join(members.where("id = rep").select("id"), "id").select("id", "set"), members
+    sets = df.where(F.size(set_col) > 0).select(F.col(id_col).alias("id"), F.array_sort(set_col).alias("set"))
+    keyed = written(sets.withColumn("key", F.sha2(F.array_join("set", "\x1f"), 256)), "keyed")
+    least = keyed.groupBy("key").agg(F.min("id").alias("rep"))
+    members = written(keyed.select("id", "key").join(least, "key"), "members")
+    reps = keyed.join(members.where("id = rep").select("id", "key").distinct(), ["id", "key"]).select("id", "set")
+    return reps, members.select("id", "rep")
+
+
+#: Longs in the bitmap of a set.
+_BITMAP = 16
+
+
+def _bitmap(hashes: Column) -> Column:
+    """A bit for every element; sets differ in at least as many elements as their bitmaps do in bits."""
+    own = lambda w: F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 6), F.lit(_BITMAP)) == w)
+    return F.transform(F.sequence(F.lit(0), F.lit(_BITMAP - 1)), lambda w: F.aggregate(own(w), F.lit(0).cast("bigint"), lambda bits, h: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int")))))
+
+
+def _differing(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
 def similar_pairs(reps: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of all pairs of distinct sets with a Jaccard similarity of at least ``threshold``.
 
-    Prefix filter: sorted from the rarest element, two sets that similar share one of their first
-    size - ceil(threshold * size) + 1 elements; frequent elements are hardly ever among those.
+    Elements are 64-bit hashes. Sorted from the rarest, two sets that similar share one of their first
+    size - ceil(threshold * size) + 1 elements; frequent ones are hardly ever among those, and elements of one set only
+    need not meet. Pairs are kept while sizes, places and then bitmaps allow enough common elements: what these filters
+    drop is under the threshold for certain. Whole sets meet only for the few pairs left.
     """
-    reps = written(reps, "reps")
-    counts = reps.select(F.explode("set").alias("e")).groupBy("e").agg(F.count("*").alias("n"))
-    ranked = reps.select("id", F.size("set").alias("size"), F.explode("set").alias("e")).join(counts, "e")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("n", "e"))
+    hashed = written(reps.select("id", F.array_distinct(F.transform("set", lambda e: F.xxhash64(e))).alias("set")), "hashed")
+    each = hashed.select("id", F.explode("set").alias("e"))
+    counts = each.groupBy("e").agg(F.count("*").alias("n"))
+    ranked = each.join(counts, "e").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "e"))).alias("s"))
+    sets = ranked.select("id", F.size("s").alias("size"), F.transform("s", lambda x: x["e"]).alias("set"), F.filter("s", lambda x: x["n"] > 1).alias("shared"), F.size(F.filter("s", lambda x: x["n"] == 1)).alias("alone"))
+    sets = written(sets.withColumn("bits", _bitmap(F.col("set"))), "sets")
     prefix = F.col("size") - F.ceil(F.col("size") * threshold) + 1
-    first = written(ranked.withColumn("place", place).where(F.col("place") <= prefix).select("e", "id", "size"), "prefixes")
-    a, b = first.select("e", F.col("id").alias("a"), F.col("size").alias("size_a")), first.select("e", F.col("id").alias("b"), F.col("size").alias("size_b"))
-    met = a.join(b, "e").where((F.col("a") < F.col("b")) & (F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b"))).select("a", "b").distinct()
-    side = lambda x: reps.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
-    scored = met.join(side("a"), "a").join(side("b"), "b").select("a", "b", jaccard(F.col("set_a"), F.col("set_b")).alias("similarity"))
+    # Elements of one set only come first in its order; they take places of the prefix but meet nothing.
+    shared = F.slice("shared", 1, F.greatest(prefix - F.col("alone"), F.lit(0)).cast("int"))
+    first = written(sets.select("id", "size", "alone", F.posexplode(shared).alias("p", "x")).select("id", "size", (F.col("p") + F.col("alone")).alias("p"), F.col("x.e").alias("e")), "prefixes")
+    a, b = (first.select("e", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "size", "p"))) for x in "ab")
+    need = F.ceil(threshold / (1 + threshold) * (F.col("size_a") + F.col("size_b")) - 1e-6)
+    met = a.join(b, "e").where((F.col("id_a") < F.col("id_b")) & (F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")))
+    # Common elements before the first that meets are none; from the last that meets on, at most the shorter rest.
+    found = met.groupBy("id_a", "id_b").agg(F.count("*").alias("hits"), F.max("p_a").alias("p_a"), F.max("p_b").alias("p_b"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
+    fit = found.where(F.col("hits") + F.least(F.col("size_a") - F.col("p_a"), F.col("size_b") - F.col("p_b")) - 1 >= need).select("id_a", "id_b", "size_a", "size_b")
+    bits = lambda x: sets.select(F.col("id").alias(f"id_{x}"), F.col("bits").alias(f"bits_{x}"))
+    sifted = fit.join(bits("a"), "id_a").join(bits("b"), "id_b").where(F.col("size_a") + F.col("size_b") - _differing(F.col("bits_a"), F.col("bits_b")) >= 2 * need)
+    left = written(sifted.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "candidates")
+    side = lambda x: sets.select(F.col("id").alias(x), F.col("set").alias(f"set_{x}"))
+    scored = left.join(side("a"), "a").join(side("b"), "b").select("a", "b", jaccard(F.col("set_a"), F.col("set_b")).alias("similarity"))
     return scored.where(F.col("similarity") >= threshold)
 
 
