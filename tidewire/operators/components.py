@@ -41,3 +41,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         last = now
     found = stars.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return found.unionAll(found.select(F.col("component").alias("id"), "component")).unionAll(loops).groupBy("id").agg(F.min("component").alias("component"))
+
+
+def extended(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(id, component) after new edges came to a graph of which only the labels are kept.
+
+    Every old component is contracted to its label: components are computed over the new edges between labels, and the
+    labels that moved are replaced. Equal to a run over all edges, without the old ones; ids that no edge ever named
+    need no row before they meet one.
+    """
+    known = labels.select(F.col("id"), "component")
+    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
+    of = lambda x: known.select(F.col("id").alias(x), F.col("component").alias(f"_{x}"))
+    contracted = ends.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    moved = written(connected_components(contracted).select(F.col("id").alias("component"), F.col("component").alias("_to")), "moved")
+    old = known.join(moved, "component", "left").select("id", F.coalesce("_to", "component").alias("component"))
+    # Ends that had no label are their own label in the contracted graph.
+    fresh = moved.select(F.col("component").alias("id"), F.col("_to").alias("component")).join(known.select("id"), "id", "left_anti")
+    return old.unionByName(fresh)

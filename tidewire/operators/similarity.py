@@ -30,8 +30,9 @@ def title_similarity(a: Column, b: Column) -> Column:
 
 def set_classes(df: DataFrame, id_col: str, set_col: str) -> tuple[DataFrame, DataFrame]:
     """(representatives, membership): rows of equal sets are one class under its least id, so copies never form pairs."""
-    sets = df.where(F.size(set_col) > 0).select(F.col(id_col).alias("id"), F.array_sort(set_col).alias("set"))
-    keyed = written(sets.withColumn("key", F.sha2(F.array_join("set", "\x1f"), 256)), "keyed")
+    sets = df.select(F.col(id_col).alias("id"), F.array_sort(set_col).alias("set"))
+    # Empty sets go after the table is written: a filter before would be computed from the text a second time.
+    keyed = written(sets.withColumn("key", F.sha2(F.array_join("set", "\x1f"), 256)), "keyed").where(F.size("set") > 0)
     least = keyed.groupBy("key").agg(F.min("id").alias("rep"))
     members = written(keyed.select("id", "key").join(least, "key"), "members")
     reps = keyed.join(members.where("id = rep").select("id", "key").distinct(), ["id", "key"]).select("id", "set")
