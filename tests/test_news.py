@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tidewire.functions import ids, lexicon, text, urls
-from tidewire.operators import events, incremental, profiles, ranking, rules, similarity, views
+from tidewire.operators import discovery, events, incremental, profiles, ranking, rules, similarity, views
 from tidewire.operators.components import connected_components
 from tidewire.plans import SQL
 from tidewire.sources import html
@@ -110,18 +110,34 @@ def test_html(spark):
     assert one(spark, html.decode_entities(F.col("p"), numeric=True), p="&#65;&amp;&#x42;") == "A&B"
 
 
-def test_json_ld_query_returns_the_nodes(spark, tmp_path):
-    script = lambda x: f'<script type="application/ld+json">{x}</script>'
-    pages = [
-        (1, script('{"@graph":[{"@type":"NewsArticle","headline":"H","articleBody":"B","url":"u"}]}') + "<p>x</p>" + script('[{"@type":"Person","name":{"@type":"Name"}}]')),
-        (2, script("{bad") + script('{"@type":"WebPage","url":"v"}')), (3, "<p>ld+json</p>"), (4, None),
-    ]
-    spark.createDataFrame([(i, f"https://a.b/{i}", h) for i, h in pages], "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
-    got = {tuple(r) for r in __spark_entry__.queries()["json_ld_nodes"](spark, str(tmp_path)).collect()}
-    assert got == {
-        (1, 0, None, None, None, None), (1, 1, "NewsArticle", "H", "B", "u"), (1, 2, "Person", None, None, None), (1, 3, "Name", None, None, None),
-        (2, 0, "WebPage", None, None, "v"), (3, None, None, None, None, None), (4, None, None, None, None, None),
-    }
+def test_json_ld_nodes_at_any_depth(spark):
+    script = lambda body: f'<script async type="application/ld+json">{body}</script>'
+    pages = spark.createDataFrame([
+        (1, script('{"@graph":[{"@type":["NewsArticle","Article"],"headline":"H","author":[{"name":"N"}]},[{"x":{"y":{"url":"u","name":5}}}]]}') + script("{broken") + script('"text"')),
+        (2, "<p></p>"), (3, None), (4, script("[]") + script("{}") + script('{"@type":"A","articleBody":"b"}')),
+    ], "page_id bigint, html string")
+    got = sorted(tuple(r) for r in html.json_ld_nodes(pages).select("page_id", "script", "path", "type", "headline", "name", "article_body", "url").collect())
+    assert got == sorted([
+        (1, 0, "$", None, None, None, None, None), (1, 0, "$.@graph[0]", "NewsArticle Article", "H", None, None, None), (1, 0, "$.@graph[0].author[0]", None, None, "N", None, None),
+        (1, 0, "$.@graph[1][0]", None, None, None, None, None), (1, 0, "$.@graph[1][0].x", None, None, None, None, None), (1, 0, "$.@graph[1][0].x.y", None, None, None, None, "u"),
+        (4, 1, "$", None, None, None, None, None), (4, 2, "$", "A", None, None, "b", None),
+    ])
+
+
+def test_page_metadata_and_publishers_links(spark):
+    pages = spark.createDataFrame([
+        ("https://a.example/1", '<h1>Heading</h1><meta property="og:title" content="Other"><meta property="article:published_time" content="2026-08-01T10:00:00Z"><link rel="canonical" href="https://a.example/c?fbclid=1">'),
+        ("https://a.example/2", '<meta name="twitter:title" content="By metadata"><time datetime="2026-08-02T00:00:00Z"></time><meta property="og:url" content="https://a.example/o">'),
+        ("https://a.example/3", "<p></p>"),
+    ], "url string, html string")
+    info = discovery.page_info(F.col("html"), F.col("url"))
+    got = [(r.title, r.date and str(r.date), r.canonical) for r in pages.select("url", *(info[c].alias(c) for c in ("title", "date", "canonical"))).orderBy("url").collect()]
+    assert got == [("Heading", "2026-08-01 10:00:00", "https://a.example/c"), ("By metadata", "2026-08-02 00:00:00", "https://a.example/o"), (None, None, "https://a.example/3")]
+    aggregated = spark.createDataFrame([
+        ("https://agg.example/1", '<a href="https://b.example/news/1">شاهد</a><a href="https://c.example/news/2">المصدر</a><a href="https://facebook.com/a/1234">المصدر</a><a href="/own/page/1">المصدر</a>'),
+        ("https://agg.example/2", '<a href="https://b.example/">x</a><a href="https://b.example/news/1?gclid=2">x</a><a href="https://c.example/news/2">x</a>'), ("https://agg.example/3", "<p></p>"),
+    ], "url string, html string")
+    assert {tuple(r) for r in discovery.publisher_link(aggregated).collect()} == {("https://agg.example/1", "https://c.example/news/2"), ("https://agg.example/2", "https://b.example/news/1")}
 
 
 def test_glossary_and_signature(spark):

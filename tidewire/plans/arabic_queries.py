@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import lexicon, text
 from tidewire.operators import arabic_rules, discovery, events, profiles, records, rules, similarity, titles
-from tidewire.plans.fixed import dealt, per_document
+from tidewire.plans.fixed import copied, dealt, per_copy, per_document
 from tidewire.plans.fixed import values as fixed
 from tidewire.plans.registry import query
 
@@ -122,7 +122,7 @@ _FLOORS = [
     ("payment", "هانوا تطالب بتسديد مستحقات", "", 95, "BISMAYAH_CONTRACT_PAYMENT_EXECUTION"),
     ("chair", "تعيين رئيس الهيئة الوطنية للاستثمار", "", 90, "NIC_CHAIR_PERSONNEL_CHANGE"), ("plain", "سكان بسماية", "", 90, "DIRECT_BISMAYAH"),
     ("policy", "الهيئة الوطنية للاستثمار تعدل قانون الاستثمار", "", 80, "NIC_POLICY_ORGANIZATION"), ("housing", "مشروع سكني في بغداد", "", 65, "IRAQ_HOUSING_GENERAL"),
-    ("stalled", "البرلمان يفتح ملف المشاريع المتلكئة", "economy", 72, "ECONOMY_STALLED_PROJECT_OVERSIGHT"), ("everywhere", "البرلمان يفتح ملف المشاريع المتلكئة في العراق", "economy", 78, "ECONOMY_NATIONAL_STALLED_PROJECT_OVERSIGHT"),
+    ("stalled", "مجلس النواب يرفع توصيات عن مشاريع متوقفة", "economy", 72, "ECONOMY_STALLED_PROJECT_OVERSIGHT"), ("everywhere", "مجلس النواب يرفع توصيات عن مشاريع متوقفة في جميع المحافظات", "economy", 78, "ECONOMY_NATIONAL_STALLED_PROJECT_OVERSIGHT"),
     ("none", "طقس معتدل", "", 0, "NONE"),
 ]
 
@@ -166,21 +166,22 @@ _EVENTS = [
 ]
 
 
-def _features(spark):
-    rows = spark.createDataFrame(_EVENTS, "id bigint, t string, title string, body string, incident string")
-    articles = rows.select("id", F.lit("x").alias("category"), F.to_timestamp(F.concat(F.lit("2024-01-01 "), "t")).alias("published_at"), "title", "body", "incident")
+def _features(spark, d):
+    """Every document's copy of the reports, a category of its own."""
+    rows = copied(spark, d, _EVENTS, "id bigint, t string, title string, body string, incident string", "id")
+    articles = rows.select("id", F.floor(F.col("id") / 1000).cast("string").alias("category"), F.to_timestamp(F.concat(F.lit("2024-01-01 "), "t")).alias("published_at"), "title", "body", "incident")
     return articles, events.features(articles, arabic_rules.EVENT_LANGUAGE)
 
 
-@query(fixed("a BIGINT, b BIGINT, score DOUBLE", [(1, 2, 0.93), (5, 6, 0.96), (10, 11, 0.5646), (11, 12, 0.5851)]))
+@query(per_copy("a BIGINT, b BIGINT, score DOUBLE", [(1, 2, 0.93), (5, 6, 0.96), (10, 11, 0.5646), (11, 12, 0.5851)], "a", "b"))
 def arabic_event_pairs(spark, d):
     """Pairs by signals, actions, numbers and incident: sure matches, a conflict of acts (5, 7), a shared number (10, 11)."""
-    return events.match_edges(_features(spark)[1], sure=arabic_rules.EVENT_SURE).select("a", "b", F.round("score", 4).alias("score"))
+    return events.match_edges(_features(spark, d)[1], sure=arabic_rules.EVENT_SURE).select("a", "b", F.round("score", 4).alias("score"))
 
 
-@query(fixed("id BIGINT, component BIGINT", [(1, 1), (2, 1), (4, 4), (5, 5), (6, 5), (7, 7), (10, 10), (11, 10), (12, 10)]))
+@query(per_copy("id BIGINT, component BIGINT", [(1, 1), (2, 1), (4, 4), (5, 5), (6, 5), (7, 7), (10, 10), (11, 10), (12, 10)], "id", "component"))
 def arabic_event_groups(spark, d):
-    articles, feats = _features(spark)
+    articles, feats = _features(spark, d)
     return similarity.grouped(articles.select("id"), events.group_edges(feats, sure=arabic_rules.EVENT_SURE))
 
 
@@ -191,11 +192,11 @@ _NORMAL = [
 ]
 
 
-@query(fixed("profile VARCHAR, text VARCHAR", _NORMAL))
+@query("SELECT doc_id, cases.* FROM documents, (" + fixed("profile VARCHAR, text VARCHAR", _NORMAL) + ") cases")
 def arabic_normalize(spark, d):
-    rows = spark.createDataFrame([(_PROFILES,)], "t string")
+    rows = dealt(spark, d, [(_PROFILES,)], "t string")
     every = F.array(*(F.struct(F.lit(p).alias("profile"), text.normalize(F.col("t"), p).alias("text")) for p, _ in _NORMAL))
-    return rows.select(F.explode(every).alias("p")).select("p.profile", "p.text")
+    return rows.select("doc_id", F.explode(every).alias("p")).select("doc_id", "p.profile", "p.text")
 
 
 _RATIO = [("ab", 0.0), ("نفط", 1.0), ("نفط abc", 0.5), ("", 0.0)]
@@ -285,15 +286,16 @@ def best_body(spark, d):
 _LD_PAGES = [("one", _LD.format(_NEWS)), ("bad", _LD.format("{") + _LD.format('[{"@type":"Article","headline":"h"}]')), ("none", "<p></p>")]
 
 
-@query(fixed("page VARCHAR, pos INT, type VARCHAR, headline VARCHAR, name VARCHAR", [
-    ("one", 0, None, None, None), ("one", 1, "WebPage", None, "صفحة من صفحات الموقع"), ("one", 2, "NewsArticle", "وزارة النفط تعلن خطة جديدة", None), ("bad", 0, "Article", "h", None)]))
+@query(per_copy("page VARCHAR, pos INT, type VARCHAR, headline VARCHAR, name VARCHAR", [
+    ("one", 0, None, None, None), ("one", 1, "WebPage", None, "صفحة من صفحات الموقع"), ("one", 2, "NewsArticle", "وزارة النفط تعلن خطة جديدة", None), ("bad", 0, "Article", "h", None)], "page"))
 def json_ld_fixed_pages(spark, d):
     from tidewire.sources import html
 
-    rows = spark.createDataFrame(_LD_PAGES, "page string, html string")
+    rows = copied(spark, d, _LD_PAGES, "page string, html string", "page")
     return rows.select("page", F.posexplode(html.json_ld(F.col("html"))).alias("pos", "n")).select("page", "pos", "n.type", "n.headline", "n.name")
 
 
+
 _SEEDS = [
     ("fine", None, True, "bismayah", "u", "بسماية", "نص عربي " * 50, True), ("off", False, True, "bismayah", "u", "بسماية", "نص عربي " * 50, False), ("not allowed", True, None, "bismayah", "u", "بسماية", "نص عربي " * 50, False),
     ("category", True, True, "economy", "u", "بسماية", "نص عربي " * 50, False), ("short", True, True, "bismayah", "u", "بسماية", "نص", False), ("latin", True, True, "bismayah", "u", "x", "latin text " * 50, False), ("no url", True, True, "bismayah", None, "بسماية", "نص عربي " * 50, False),
@@ -309,9 +311,9 @@ def seed_validity(spark, d):
 _KEYWORDS = [("k1", "نفط"), ("k1", "غاز"), ("k2", "oil"), ("k3", None), ("k4", "سكن")]
 
 
-@query(fixed("rule VARCHAR, id VARCHAR", [("DUPLICATE_ID", "k1"), ("NO_ARABIC_QUERY", "k2"), ("NO_ARABIC_QUERY", "k3")]))
+@query(per_copy("rule VARCHAR, id VARCHAR", [("DUPLICATE_ID", "k1"), ("NO_ARABIC_QUERY", "k2"), ("NO_ARABIC_QUERY", "k3")], "id"))
 def config_problems(spark, d):
-    return records.keyword_problems(spark.createDataFrame(_KEYWORDS, "keyword_id string, query string"))
+    return records.keyword_problems(copied(spark, d, _KEYWORDS, "keyword_id string, query string", "keyword_id"))
 
 
 _GLOSSARY = [("a", "رئيس الوزراء العراقي يزور بغداد", True, False), ("b", "وزراء", False, False), ("c", "the nic said", False, True), ("d", "picnic", False, False)]
@@ -328,9 +330,9 @@ _SOURCES = [("a", ["a.example"], ["الوكالة الأولى"]), ("b", ["b.exa
 _INDEX = [("a", 1, "https://a.example/1", "خطة جديدة لوزارة النفط"), ("a", 2, "https://a.example/2", "وزارة النفط تعلن خطة جديدة للإنتاج النفطي"), ("b", 1, "https://b.example/9", "وزارة النفط تعلن خطة جديدة للإنتاج")]
 
 
-@query(fixed("item_id VARCHAR, source_id VARCHAR, url VARCHAR, similarity DOUBLE", [("i1", "a", "https://a.example/2", 0.9571), ("i2", "b", "https://b.example/9", 1.0)]))
+@query(per_copy("item_id VARCHAR, source_id VARCHAR, url VARCHAR, similarity DOUBLE", [("i1", "a", "https://a.example/2", 0.9571), ("i2", "b", "https://b.example/9", 1.0)], "item_id"))
 def source_recovery(spark, d):
     """Title recovery at 0.54 among the index entries of the sources that an item belongs to."""
-    items = spark.createDataFrame(_MATCHES, "item_id string, homepage string, source string, title string")
+    items = copied(spark, d, _MATCHES, "item_id string, homepage string, source string, title string", "item_id")
     sources = spark.createDataFrame(_SOURCES, "source_id string, hosts array<string>, names array<string>")
     return discovery.recovered(items, sources, spark.createDataFrame(_INDEX, "source_id string, place int, url string, title string"))

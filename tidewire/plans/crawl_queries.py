@@ -6,12 +6,10 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import urls
 from tidewire.operators import crawl, discovery
-from tidewire.plans.page_queries import _HOST, _KEPT, _PATH
+from tidewire.plans.page_queries import _CANONICAL, _HOST
 from tidewire.plans.registry import Tables, query
 
 _MAPS, _LEAF, _INNER = 4, 40, 1_600
-_CANONICAL = f"""regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*)://', 1) || '://' || regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)
-  || CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END || CASE WHEN {_KEPT} <> '' THEN '?' || {_KEPT} ELSE '' END"""
 
 
 def fetched_maps(pages):

@@ -46,3 +46,20 @@ def dealt(spark: SparkSession, d: str, rows: list[tuple], schema: str) -> DataFr
     cases = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "_n int, " + schema)
     docs = Tables(spark, d).documents.select("doc_id", (F.col("doc_id") % len(rows)).cast("int").alias("_n"))
     return docs.join(F.broadcast(cases), "_n").drop("_n")
+
+
+def copied(spark: SparkSession, d: str, rows: list[tuple], schema: str, *keys: str) -> DataFrame:
+    """Every document has its own copy of all cases, for operators over several rows: keys carry the document's id, so copies never meet."""
+    cases = spark.createDataFrame(rows, schema)
+    told = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, cases.schema.fields, strict=True))) for row in rows]
+    each = Tables(spark, d).documents.select("doc_id", F.inline(F.array(*told)))
+    own = lambda f: F.col(f.name) + F.col("doc_id") * 1000 if f.dataType.simpleString() in ("bigint", "int") else F.when(F.col(f.name) != "", F.concat(F.col(f.name), F.lit(":"), F.col("doc_id").cast("string"))).otherwise(F.col(f.name))
+    return each.select(*(own(f).cast("bigint" if f.dataType.simpleString() == "int" else f.dataType).alias(f.name) if f.name in keys else F.col(f.name) for f in cases.schema.fields))
+
+
+def per_copy(columns: str, rows: list[tuple], *keys: str) -> str:
+    """SQL of what all copies together give."""
+    names = [c.strip().split(" ", 1) for c in columns.split(",")]
+    own = lambda name, kind: f"cases.{name} + doc_id * 1000" if kind in ("BIGINT", "INT") else f"CASE WHEN cases.{name} <> '' THEN cases.{name} || ':' || doc_id ELSE cases.{name} END"
+    picked = ", ".join(f"{own(n, k)} AS {n}" if n in keys else f"cases.{n}" for n, k in names)
+    return f"SELECT {picked} FROM documents, ({values(columns, rows)}) cases"

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import ids, text, urls
 from tidewire.operators import arabic_rules, discovery, enrich, events, incremental, ranking, records, rules, views
-from tidewire.plans.fixed import dealt, per_document
+from tidewire.plans.fixed import copied, dealt, per_copy, per_document
 from tidewire.plans.fixed import values as fixed
+from tidewire.plans.page_queries import _CANONICAL
 from tidewire.plans.registry import ARTICLES, Tables, query
 from tidewire.sources import html, payloads
 from tidewire.sources.shared_folder import shared_folder
@@ -50,21 +51,27 @@ _ARTICLES = [
 ]
 
 
+_ARTICLE = "id string, status string, title string, text string, source_text string, is_representative boolean, category string, stamp string"
+
+
 def _articles(spark):
-    rows = spark.createDataFrame(_ARTICLES, "id string, status string, title string, text string, source_text string, is_representative boolean, category string, stamp string")
+    return _readiness(spark.createDataFrame(_ARTICLES, _ARTICLE))
+
+
+def _readiness(rows):
     rows = rows.withColumn("ready", records.ready(F.col("status"), F.col("title"), F.col("text"))).withColumn("published_at", _TS("stamp"))
     return rows.withColumn("exportable", records.exportable(F.col("ready"), F.col("source_text"), F.col("id")))
 
 
-@query(fixed("id VARCHAR, ready BOOLEAN, exportable BOOLEAN", [("r1", True, True), ("r2", True, False), ("r3", False, False), ("r4", False, False), ("r5", False, False), ("r6", True, True), ("r7", True, True), ("", True, False)]))
+@query(per_document("id VARCHAR, ready BOOLEAN, exportable BOOLEAN", [("r1", True, True), ("r2", True, False), ("r3", False, False), ("r4", False, False), ("r5", False, False), ("r6", True, True), ("r7", True, True), ("", True, False)]))
 def export_readiness(spark, d):
-    return _articles(spark).select("id", "ready", "exportable")
+    return _readiness(dealt(spark, d, _ARTICLES, _ARTICLE)).select("doc_id", "id", "ready", "exportable")
 
 
-@query(fixed("id VARCHAR", [("r1",), ("r7",)]))
+@query(per_copy("id VARCHAR", [("r1",), ("r7",)], "id"))
 def selection_pruned(spark, d):
     """Of five selected keys those that may still be exported: not r2 (source too short), r6 (no representative) or a lost one."""
-    return records.still_selected(spark.createDataFrame([(k,) for k in ("r1", "r2", "r6", "r7", "gone")], "id string"), _articles(spark), "id", F.col("exportable"))
+    return records.still_selected(copied(spark, d, [(k,) for k in ("r1", "r2", "r6", "r7", "gone")], "id string", "id"), _readiness(copied(spark, d, _ARTICLES, _ARTICLE, "id")), "id", F.col("exportable"))
 
 
 _ORDERED = [("e", "economy", "2026-08-01"), ("s", "security", "2026-08-03"), ("p2", "politics", "2026-08-02"), ("p1", "Politics", "2026-08-01"), ("x", "sport", "2026-07-01"), ("b", "bismayah", None)]
@@ -112,23 +119,23 @@ def translation_validity(spark, d):
 _CARDS = [("fine", "COMPLETED", True, "COMPLETED", True, False, None, ""), ("stale", "COMPLETED", None, "COMPLETED", False, False, None, "STALE_FACTS|STALE_CARD"), ("claims", None, None, "COMPLETED", True, None, "t", "CLAIMS_FULL_TRANSLATION|FULL_TEXT_IN_CARD"), ("none", None, None, None, None, None, "t", "")]
 
 
-@query(fixed("id VARCHAR, errors VARCHAR", [(r[0], r[7]) for r in _CARDS] + [("input", "full_text")]))
+@query(per_document("id VARCHAR, errors VARCHAR", [(r[0], r[7]) for r in _CARDS]) + " UNION ALL SELECT NULL, 'input', 'full_text'")
 def card_validity(spark, d):
     """What is wrong with stored cards; and which columns the input of the card stage must not have."""
-    rows = spark.createDataFrame([r[:7] for r in _CARDS], "id string, fs string, fc boolean, cs string, cc boolean, full boolean, full_text string")
+    rows = dealt(spark, d, [r[:7] for r in _CARDS], "id string, fs string, fc boolean, cs string, cc boolean, full boolean, full_text string")
     errors = records.card_errors(*(F.col(c) for c in ("fs", "fc", "cs", "cc", "full", "full_text")))
-    leaked = spark.createDataFrame([("input", "|".join(records.leaked_columns(rows, ("full_text", "body"))))], "id string, errors string")
-    return rows.select("id", F.array_join(errors, "|").alias("errors")).unionByName(leaked)
+    leaked = spark.createDataFrame([("input", "|".join(records.leaked_columns(rows, ("full_text", "body"))), None)], "id string, errors string, doc_id bigint")
+    return rows.select("doc_id", "id", F.array_join(errors, "|").alias("errors")).unionByName(leaked)
 
 
 _BASE = [("a", "2026-08-01", None, "old"), ("b", "", "2026-07-30", "old"), ("c", "2026-06-01", "2026-08-01", "old"), ("d", None, None, "old"), ("", "2026-08-01", None, "old"), ("e", "1960-01-01", "2026-08-02", "old"), ("f", "not a date", "2026-08-02", "old")]
 _CURRENT = [("a", "2026-08-01", None, "new"), ("g", "2026-08-03", None, "new"), ("h", "2026-01-01", None, "new")]
 
 
-@query(fixed("id VARCHAR, version VARCHAR, restored BOOLEAN", [("a", "new", False), ("g", "new", False), ("b", "old", True), ("e", "old", True), ("f", "old", True)]))
+@query(per_copy("id VARCHAR, version VARCHAR, restored BOOLEAN", [("a", "new", False), ("g", "new", False), ("b", "old", True), ("e", "old", True), ("f", "old", True)], "id"))
 def retention_by_stamps(spark, d):
     schema = "id string, published string, discovered string, version string"
-    base, current = spark.createDataFrame(_BASE, schema), spark.createDataFrame(_CURRENT, schema)
+    base, current = copied(spark, d, _BASE, schema, "id"), copied(spark, d, _CURRENT, schema, "id")
     return records.kept_base(base, current, "id", ["published", "discovered"], NOW()).select("id", "version", "restored")
 
 
@@ -136,25 +143,26 @@ _RESOLVED = [("a", "", "FAILED"), ("b", "https://b.example/1", "RESOLVED"), ("c"
 _OFFERS = [("a", "https://x.example/1", True), ("b", "https://x.example/2", True), ("c", "https://x.example/3", True), ("d", "https://x.example/4", None), ("e", "", True), ("e", "https://x.example/5", True)]
 
 
-@query(fixed("id VARCHAR, url VARCHAR, url_status VARCHAR, method VARCHAR", [
+@query(per_copy("id VARCHAR, url VARCHAR, url_status VARCHAR, method VARCHAR", [
     ("a", "https://x.example/1", "RESOLVED", "PRIORITY_AGGREGATOR_FALLBACK"), ("b", "https://b.example/1", "RESOLVED", None), ("c", "https://x.example/3", "RESOLVED", "PRIORITY_AGGREGATOR_FALLBACK"),
-    ("d", "", "FAILED", None), ("e", "https://x.example/5", "RESOLVED", "PRIORITY_AGGREGATOR_FALLBACK")]))
+    ("d", "", "FAILED", None), ("e", "https://x.example/5", "RESOLVED", "PRIORITY_AGGREGATOR_FALLBACK")], "id"))
 def aggregator_fallback(spark, d):
-    return records.with_fallback(spark.createDataFrame(_RESOLVED, "id string, url string, url_status string"), spark.createDataFrame(_OFFERS, "id string, fallback_url string, allow_fallback boolean"))
+    return records.with_fallback(copied(spark, d, _RESOLVED, "id string, url string, url_status string", "id"), copied(spark, d, _OFFERS, "id string, fallback_url string, allow_fallback boolean", "id"))
 
 
-@query(fixed("id VARCHAR, origin VARCHAR, restored BOOLEAN", [("1", "seed", True), ("2", "index", True), ("3", "feed", False), ("4", "same", False)]))
+@query(per_copy("id VARCHAR, origin VARCHAR, restored BOOLEAN", [("1", "seed", True), ("2", "index", True), ("3", "feed", False), ("4", "same", False)], "id"))
 def snapshot_origins(spark, d):
     """Origins restored from a snapshot by id, else by title."""
-    rows = spark.createDataFrame([("1", "t1", "feed"), ("2", "t2", None), ("3", "t3", "feed"), ("4", "", "same")], "id string, title_key string, origin string")
-    origins = spark.createDataFrame([("1", "other", "seed"), (None, "t2", "index"), ("9", "", "x"), ("4", "t4", "same")], "id string, title_key string, origin string")
+    rows = copied(spark, d, [("1", "t1", "feed"), ("2", "t2", None), ("3", "t3", "feed"), ("4", "", "same")], "id string, title_key string, origin string", "id", "title_key")
+    origins = copied(spark, d, [("1", "other", "seed"), (None, "t2", "index"), ("9", "", "x"), ("4", "t4", "same")], "id string, title_key string, origin string", "id", "title_key")
     return records.origin_restored(rows, origins).select("id", "origin", "restored")
 
 
-@query(fixed("url VARCHAR, n INT", [("https://a.example/1", 3), ("https://a.example/2", 2)]))
+@query(f"""SELECT url, max(page_id) AS page_id FROM (SELECT page_id, {_CANONICAL} AS url FROM pages) GROUP BY url""")
 def last_item_by_url(spark, d):
-    items = spark.createDataFrame([(1, "https://A.example/1#x", "2026-08-01", 1), (2, "https://a.example/2", None, 2), (3, "https://a.example/1?utm_source=z", None, 3)], "pos int, url string, stamp string, n int")
-    return records.last_by_url(items.withColumn("published_at", _TS("stamp"))).select("url", "n")
+    """The last page of each canonical URL."""
+    items = Tables(spark, d).pages.select(F.col("page_id").alias("pos"), "url", F.col("page_id"), F.timestamp_seconds(F.col("page_id")).alias("published_at"))
+    return records.last_by_url(items).select("url", "page_id")
 
 
 @query("SELECT count(*) AS groups, count(*) FILTER (WHERE n > 1) AS merged, coalesce(sum(n - 1), 0)::BIGINT AS duplicates FROM (SELECT count(*) AS n FROM events GROUP BY user_id, event_type)")
@@ -193,11 +201,11 @@ def derived_is_current(spark, d):
     return now.select("doc_id", "id", "is_current", incremental.reconcile(F.col("status"), F.col("is_current")).alias("status"))
 
 
-@query(fixed("n INT, target BIGINT", [(1, 10), (3, 11), (4, None), (5, None), (6, None)]))
+@query(per_copy("n INT, target BIGINT", [(1, 10), (3, 11), (4, None), (5, None), (6, None)], "n", "target"))
 def priority_upsert(spark, d):
     """Candidates by URL, else by title, of the existing; one a URL and a title, those without a title apart."""
-    existing = spark.createDataFrame([(10, "u1", "t1"), (11, "u9", "t3")], "id bigint, url string, title string")
-    found = spark.createDataFrame([(1, "u1", "other"), (2, "u1", "again"), (3, "u3", "t3"), (4, "u4", None), (5, "u5", None), (6, "u6", "t6"), (7, "u7", "t6")], "n int, url string, title string")
+    existing = copied(spark, d, [(10, "u1", "t1"), (11, "u9", "t3")], "id bigint, url string, title string", "id", "url", "title")
+    found = copied(spark, d, [(1, "u1", "other"), (2, "u1", "again"), (3, "u3", "t3"), (4, "u4", None), (5, "u5", None), (6, "u6", "t6"), (7, "u7", "t6")], "n int, url string, title string", "n", "url", "title")
     return incremental.upsert(existing, found, "url", "title", [F.col("n")]).select("n", "target")
 
 
@@ -257,50 +265,25 @@ _SITEMAP = "<urlset><url><loc>https://a.example/news/4</loc><news:title>From a m
 _LISTING = '<a href="/news/5">A title of more than eighteen characters</a><a href="/news/6">short</a><a href="https://b.example/news/7">A title of more than eighteen characters</a>'
 
 
-@query(fixed("source_id VARCHAR, place INT, url VARCHAR, title VARCHAR, method VARCHAR", [
-    ("a", 1, "https://a.example/news/1", "Report number one of the day", "feed"), ("a", 2, "https://a.example/news/4", "From a map", "sitemap"), ("a", 3, "https://a.example/news/5", "A title of more than eighteen characters", "listing")]))
+@query(per_copy("source_id VARCHAR, place INT, url VARCHAR, title VARCHAR, method VARCHAR", [
+    ("a", 1, "https://a.example/news/1", "Report number one of the day", "feed"), ("a", 2, "https://a.example/news/4", "From a map", "sitemap"), ("a", 3, "https://a.example/news/5", "A title of more than eighteen characters", "listing")], "source_id"))
 def source_indexes(spark, d):
     """The index of a source from its feed, an Atom feed that repeats an item, its sitemap and a listing; a seventh endpoint is not read."""
     bodies = [("a", i, "https://a.example/", b, ["a.example"]) for i, b in enumerate((_FEED, _ATOM, _SITEMAP, _LISTING))] + [("a", 6, "https://a.example/", _FEED.replace("/news/1", "/news/9"), ["a.example"])]
-    items = discovery.index_items(spark.createDataFrame(bodies, "source_id string, endpoint int, url string, body string, hosts array<string>"))
+    items = discovery.index_items(copied(spark, d, bodies, "source_id string, endpoint int, url string, body string, hosts array<string>", "source_id"))
     return discovery.source_index(items)
 
 
-_PAGES = [
-    ("https://a.example/1", '<h1>Heading</h1><meta property="og:title" content="Other"><meta property="article:published_time" content="2026-08-01T10:00:00Z"><link rel="canonical" href="https://a.example/c?fbclid=1">', "Heading", "2026-08-01 10:00:00", "https://a.example/c"),
-    ("https://a.example/2", '<meta name="twitter:title" content="By metadata"><time datetime="2026-08-02T00:00:00Z"></time><meta property="og:url" content="https://a.example/o">', "By metadata", "2026-08-02 00:00:00", "https://a.example/o"),
-    ("https://a.example/3", "<p></p>", None, None, "https://a.example/3"),
-]
-
-
-@query(fixed("url VARCHAR, title VARCHAR, date TIMESTAMP, canonical VARCHAR", [(r[0], *r[2:]) for r in _PAGES]))
-def page_infos(spark, d):
-    rows = spark.createDataFrame([r[:2] for r in _PAGES], "url string, html string")
-    info = discovery.page_info(F.col("html"), F.col("url"))
-    return rows.select("url", *(info[c].alias(c) for c in ("title", "date", "canonical")))
-
-
-_AGGREGATED = [
-    ("https://agg.example/1", '<a href="https://b.example/news/1">شاهد</a><a href="https://c.example/news/2">المصدر</a><a href="https://facebook.com/a/1234">المصدر</a><a href="/own/page/1">المصدر</a>', "https://c.example/news/2"),
-    ("https://agg.example/2", '<a href="https://b.example/">x</a><a href="https://b.example/news/1?gclid=2">x</a><a href="https://c.example/news/2">x</a>', "https://b.example/news/1"), ("https://agg.example/3", "<p></p>", None),
-]
-
-
-@query(fixed("url VARCHAR, link VARCHAR", [(r[0], r[2]) for r in _AGGREGATED if r[2]]))
-def publisher_links(spark, d):
-    return discovery.publisher_link(spark.createDataFrame([r[:2] for r in _AGGREGATED], "url string, html string"))
-
-
 _REDIRECT = '<c-wiz data-n-au="https://a.example/1"></c-wiz><link rel="canonical" href="https://a.example/1"><meta property="og:url" content="https://a.example/2"><meta http-equiv="refresh" content="0;url=https://a.example/3">'
 
 
-@query(fixed("candidates VARCHAR, embedded VARCHAR", [("https://a.example/1|https://a.example/2|https://a.example/3", "https://a.example/story")]))
+@query(per_document("candidates VARCHAR, embedded VARCHAR", [("https://a.example/1|https://a.example/2|https://a.example/3", "https://a.example/story")]))
 def redirect_pages(spark, d):
     import base64
 
     token = base64.urlsafe_b64encode(b'\x08\x13"\x17https://a.example/story\xd2\x01\x00').decode().rstrip("=")
-    rows = spark.createDataFrame([(_REDIRECT, token)], "html string, token string")
-    return rows.select(F.array_join(html.redirect_candidates(F.col("html")), "|").alias("candidates"), html.embedded_url(F.col("token")).alias("embedded"))
+    rows = dealt(spark, d, [(_REDIRECT, token)], "html string, token string")
+    return rows.select("doc_id", F.array_join(html.redirect_candidates(F.col("html")), "|").alias("candidates"), html.embedded_url(F.col("token")).alias("embedded"))
 
 
 _ERRORS = [("The operation was aborted", "FETCH_TIMEOUT"), ("HTTP 404", "ARTICLE_REMOVED"), ("HTTP 403", "ACCESS_BLOCKED"), ("odd", "CONTENT_EXTRACTION_FAILED")]
@@ -320,12 +303,13 @@ def url_resolution(spark, d):
     return rows.select("doc_id", "id", enrich.resolution(*(F.col(c) for c in "abce")).alias("method"))
 
 
-@query(fixed("clean VARCHAR, joined VARCHAR, preview VARCHAR, input VARCHAR, decoded VARCHAR, blocks VARCHAR, united VARCHAR", [("a b|cde", "x\ny", "abc…", '{"title":"T t","body":"a b"}', "é A", "one\ntwo", "a|b|c")]))
+@query(per_document("clean VARCHAR, joined VARCHAR, preview VARCHAR, input VARCHAR, decoded VARCHAR, blocks VARCHAR, united VARCHAR", [("a b|cde", "x\ny", "abc…", '{"title":"T t","body":"a b"}', "é A", "one\ntwo", "a|b|c")]))
 def text_helpers(spark, d):
     """Lists cleaned, fields joined, previews, a model's input, numbered entities, blocks as lines, arrays united."""
-    rows = spark.range(1)
+    rows = Tables(spark, d).documents
     items, a, b = F.array(F.lit(" a  b "), F.lit(""), F.lit("cdef"), F.lit("g")), F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("c"))
     return rows.select(
+        "doc_id",
         F.array_join(text.clean_list(items, 2, 3), "|").alias("clean"), text.join_fields(F.lit("x"), F.lit(""), F.lit("y")).alias("joined"), text.preview(F.lit("abc def"), 3).alias("preview"),
         enrich.model_input(F.lit(" T  t "), F.lit("a\n b  c"), 3).alias("input"), html.decode_entities(F.lit("&#233; &#x41;"), numeric=True).alias("decoded"), html.strip_blocks(F.lit("<p>one</p><p>two</p>")).alias("blocks"),
         F.array_join(F.array_union(a, b), "|").alias("united"),
@@ -368,19 +352,19 @@ def batched_answers(spark, d):
     return records.in_batches(queue, folder, 2, never).select("id", "answer")
 
 
-@query(fixed("id BIGINT, reason VARCHAR", [(1, None), (1, "OLDER"), (2, "SOURCE_CHANGED"), (3, "UNKNOWN_ID")]))
+@query(per_copy("id BIGINT, reason VARCHAR", [(1, None), (1, "OLDER"), (2, "SOURCE_CHANGED"), (3, "UNKNOWN_ID")], "id"))
 def generated_still_current(spark, d):
-    latest = spark.createDataFrame([(1, "h"), (2, "new")], "id bigint, hash string")
-    generated = spark.createDataFrame([(1, "h", 1), (1, "h", 2), (2, "old", 1), (3, "x", 1)], "id bigint, hash string, ts int")
+    latest = copied(spark, d, [(1, "h"), (2, "new")], "id bigint, hash string", "id")
+    generated = copied(spark, d, [(1, "h", 1), (1, "h", 2), (2, "old", 1), (3, "x", 1)], "id bigint, hash string, ts int", "id")
     return enrich.newest_current(latest, generated, "id", "hash", "ts").select("id", "reason")
 
 
-@query(fixed("title VARCHAR, chars INT, full BOOLEAN, model VARCHAR, category VARCHAR, locked BOOLEAN, keyed VARCHAR", [("t" * 300, 4, True, "m", "economy", True, "u")]))
+@query(per_document("title VARCHAR, chars INT, full BOOLEAN, model VARCHAR, category VARCHAR, locked BOOLEAN, keyed VARCHAR", [("t" * 300, 4, True, "m", "economy", True, "u")]))
 def stored_records(spark, d):
     """A translation as it is stored; a nested record with its category locked; an article's key; legacy columns dropped."""
-    rows = spark.range(1).select(F.lit("t" * 400).alias("t"), F.lit(" abcd ").alias("x"), F.struct(F.lit("politics").alias("category"), F.lit(False).alias("locked")).alias("analysis"), F.lit(1).alias("legacy"))
+    rows = Tables(spark, d).documents.select("doc_id", F.lit("t" * 400).alias("t"), F.lit(" abcd ").alias("x"), F.struct(F.lit("politics").alias("category"), F.lit(False).alias("locked")).alias("analysis"), F.lit(1).alias("legacy"))
     made = records.without(rows, ("legacy",)).select("*", records.translation_record(F.col("t"), F.col("x"), F.col("x"), F.lit("m"), "V1").alias("r"), records.locked(F.col("analysis"), F.lit("economy")).alias("a"))
-    return made.select("r.title", "r.chars", "r.full", "r.model", "a.category", "a.locked", ids.article_key(F.lit(""), F.lit("u"), F.lit("i")).alias("keyed"))
+    return made.select("doc_id", "r.title", "r.chars", "r.full", "r.model", "a.category", "a.locked", ids.article_key(F.lit(""), F.lit("u"), F.lit("i")).alias("keyed"))
 
 
 @query("SELECT doc_id, sha256('{\"title\":\"' || lang || '\",\"facts\":[\"' || source || '\"]}') AS hash FROM documents WHERE NOT regexp_matches(source, '[\"\\\\]')")
@@ -402,20 +386,20 @@ def payload_forms(spark, d):
     return read("envelope").unionByName(read("array")).unionByName(read("broken")).unionByName(read("missing"))
 
 
-@query(fixed("id VARCHAR, n INT", [("new", 2)]))
+@query("SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0")
 def snapshot_versions(spark, d):
-    """The latest of the versions v9 and v10 of a snapshot."""
-    folder = f"{shared_folder(spark)}/tidewire/snapshots-{uuid.uuid4().hex}"
-    for version, row in (("v9", ("old", 1)), ("v10", ("new", 2))):
-        payloads.write_version(spark.createDataFrame([row], "id string, n int"), folder, version)
+    """The latest of the versions v9 and v10 of a snapshot of the documents."""
+    folder, docs = f"{shared_folder(spark)}/tidewire/snapshots-{uuid.uuid4().hex}", Tables(spark, d).documents.select("doc_id", "source")
+    for version, rest in (("v9", 1), ("v10", 0)):
+        payloads.write_version(docs.where(F.col("doc_id") % 2 == rest), folder, version)
     return payloads.read_latest(spark, folder)
 
 
-@query(fixed("id VARCHAR, category VARCHAR, kept BOOLEAN", [("a", "economy", True), ("built", "bismayah", True)]))
+@query(per_copy("id VARCHAR, category VARCHAR, kept BOOLEAN", [("a", "economy", True), ("built", "bismayah", True)], "id"))
 def configured_keywords(spark, d):
     """Enabled keywords of the wanted categories; the built-in ones take the place of the configured ones of theirs."""
-    configured = spark.createDataFrame([("a", "economy", True), ("b", "economy", False), ("c", "bismayah", True), ("e", "security", True)], "id string, category string, enabled boolean")
-    built_in = spark.createDataFrame([("built", "bismayah", True)], "id string, category string, enabled boolean")
+    configured = copied(spark, d, [("a", "economy", True), ("b", "economy", False), ("c", "bismayah", True), ("e", "security", True)], "id string, category string, enabled boolean", "id")
+    built_in = copied(spark, d, [("built", "bismayah", True)], "id string, category string, enabled boolean", "id")
     return payloads.enabled_rules(configured, built_in, "bismayah", ["economy", "bismayah"]).select("id", "category", F.lit(True).alias("kept"))
 
 
@@ -449,15 +433,12 @@ def streaming_counts(spark, d):
     return run_complete(counts_by_window(stream, "ts", "60 days", "1 hour", "event_type"), "counts")
 
 
-_MEMBERS = [(1, "g", "2026-08-01", "alpha"), (2, "g", "2026-08-03", "beta"), (3, "g", "2026-08-02", "gamma"), (4, "h", "2026-08-02", "delta")]
-
-
-@query(fixed("id BIGINT, related VARCHAR, found BOOLEAN", [(1, "2|3", True), (2, "3|1", True), (3, "2|1", True), (4, "", False)]))
+@query("""WITH newest AS (SELECT source, list(doc_id ORDER BY n_chars DESC, doc_id DESC) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id DESC) AS r FROM documents) WHERE r <= 11 GROUP BY source)
+  SELECT doc_id AS id, array_to_string(list_filter(ids, lambda x: x <> doc_id)[1:10], '|') AS related FROM documents JOIN newest USING (source)""")
 def related_members(spark, d):
-    """The other members of each report's group, the newest first; and which groups hold a word in any member."""
-    rows = spark.createDataFrame(_MEMBERS, "id bigint, component string, stamp string, text string").withColumn("published_at", _TS("stamp"))
-    linked = views.related(rows, most=10)
-    return views.with_member_text(linked).select("id", F.array_join(F.transform("related", lambda x: x.cast("string")), "|").alias("related"), F.contains("member_text", F.lit("beta")).alias("found"))
+    """The other members of each document's source, the longest first, at most ten."""
+    rows = Tables(spark, d).documents.select(F.col("doc_id").alias("id"), F.col("source").alias("component"), F.timestamp_seconds(F.col("n_chars")).alias("published_at"))
+    return views.related(rows, most=10).select("id", F.array_join(F.transform("related", lambda x: x.cast("string")), "|").alias("related"))
 
 
 _BLOCKED = [("https://hathalyoum.net/articles/123", True, "hathalyoum", "priority-source-index", False), ("https://hathalyoum.net/articles/123", None, "hathalyoum", "priority-source-index", True), ("https://a.example/1", None, None, None, False)]
@@ -472,10 +453,10 @@ def url_aggregator_policy(spark, d):
     return rows.select("doc_id", "n", urls.forbidden(F.col("url"), [AGGREGATOR[0]], exempt).alias("forbidden"))
 
 
-@query(fixed("id VARCHAR, value VARCHAR", [("a", "by url"), ("b", "by title"), ("c", None)]))
+@query(per_copy("id VARCHAR, value VARCHAR", [("a", "by url"), ("b", "by title"), ("c", None)], "id"))
 def matched_by_key(spark, d):
-    rows = spark.createDataFrame([("a", "u1", "t1"), ("b", "u2", "t2"), ("c", "u3", "t3")], "id string, url string, title string")
-    other = spark.createDataFrame([("u1", "x", "by url"), (None, "t1", "by title"), (None, "t2", "by title")], "url string, title string, value string")
+    rows = copied(spark, d, [("a", "u1", "t1"), ("b", "u2", "t2"), ("c", "u3", "t3")], "id string, url string, title string", "id", "url", "title")
+    other = copied(spark, d, [("u1", "x", "by url"), (None, "t1", "by title"), (None, "t2", "by title")], "url string, title string, value string", "url", "title")
     return incremental.coalesce_matches(rows, other, ["url", "title"], "value").select("id", "value")
 
 

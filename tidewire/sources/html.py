@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidewire.functions.text import BLANKS
 from tidewire.functions.urls import hostname
+from tidewire.sources.shared_folder import written
 
 # The named entities of news pages.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
@@ -140,6 +141,30 @@ def json_ld(html: pd.Series) -> pd.Series:
     return html.map(of)
 
 
+def json_ld_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """(key, script, path, type, headline, name, article_body, url) of every object of a page's ld+json scripts, at any depth, in the JVM.
+
+    Scripts become VARIANT values, opened level by level until a level holds no object or array; the rounds are as many
+    as the deepest nesting, and each opens what the one before found. Scripts that don't parse give nothing; a path is
+    that of the object in its script, from "$" on. Of several types all are named, a blank between.
+    """
+    scripts = F.posexplode(F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]+application/ld\+json[^>]*>(.*?)</script>"), 1))
+    parsed = pages.select(F.col(key).alias("key"), scripts.alias("script", "json")).select("key", "script", F.lit("$").alias("path"), F.try_parse_json("json").alias("v"))
+    nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")
+    levels = [written(parsed.where(F.col("v").isNotNull()).where(nested), "json-ld")]
+    while not levels[-1].isEmpty():
+        opened = levels[-1].lateralJoin(levels[-1].sparkSession.tvf.variant_explode(F.col("v").outer()).toDF("_pos", "_key", "_value"))
+        step = F.when(F.col("_key").isNotNull(), F.concat(F.lit("."), "_key")).otherwise(F.concat(F.lit("["), F.col("_pos").cast("string"), F.lit("]")))
+        levels.append(written(opened.select("key", "script", F.concat("path", step).alias("path"), F.col("_value").alias("v")).where(nested), "json-ld"))
+    every = levels[0]
+    for more in levels[1:-1]:
+        every = every.unionByName(more)
+    text = lambda name: F.when(F.schema_of_variant(F.try_variant_get("v", f"$.{name}", "variant")) == "STRING", F.try_variant_get("v", f"$.{name}", "string"))
+    kinds = F.coalesce(F.array_join(F.try_variant_get("v", '$["@type"]', "array<string>"), " "), F.try_variant_get("v", '$["@type"]', "string"))
+    objects = every.where(F.schema_of_variant("v").startswith("OBJECT"))
+    return objects.select(F.col("key").alias(key), "script", "path", kinds.alias("type"), text("headline").alias("headline"), text("name").alias("name"), text("articleBody").alias("article_body"), text("url").alias("url"))
+
+
 def embedded_url(token: Column) -> Column:
     """The URL inside a URL-safe base64 token of a redirect link; "" if there is none."""
     padded = F.rpad(F.translate(token, "-_", "+/"), (F.ceil(F.length(token) / 4) * 4).cast("int"), F.lit("="))
