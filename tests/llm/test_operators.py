@@ -766,5 +766,45 @@ def test_licenses_equal_containment_at_every_place(spark):
     assert len(want) > 30 and found == pytest.approx(want)
 
 
+def test_near_windows_meet_as_often_as_their_bands_promise(spark):
+    draw = np.random.default_rng(11)
+    rows = []
+    for i in range(1500):
+        known = draw.integers(0, 2**62, 4).tolist()
+        rows += [(i, 4, known, known[::-1]), (i, 3, known, [*known[:3], int(draw.integers(0, 2**62))]), (i, 2, known, [*known[:2], *draw.integers(0, 2**62, 2).tolist()]), (i, 0, known, draw.integers(0, 2**62, 4).tolist())]
+    df = spark.createDataFrame(rows, "i int, same int, a array<bigint>, b array<bigint>")
+    met = F.arrays_overlap(licenses._bands(F.col("a"), F.lit(4)), licenses._bands(F.col("b"), F.lit(4)))
+    got = {r.same: r.p for r in df.groupBy("same").agg(F.avg(met.cast("int")).alias("p")).collect()}
+    chance = lambda j: 1 - (1 - j**licenses.ROWS) ** licenses.BANDS
+    assert got[4] == 1 and got[0] == 0 and got[3] == pytest.approx(chance(3 / 5), abs=0.05) and got[2] == pytest.approx(chance(1 / 3), abs=0.05)
+
+
+def test_licenses_with_lines_moved_wrapped_and_repeated(spark):
+    draw = np.random.default_rng(12)
+    templates = {"a": prose(920, 160), "b": prose(921, 90)}
+    texts = []
+    for i in range(40):
+        words = templates["ab"[i % 2]].split()
+        lines = [words[j : j + 12] for j in range(0, len(words), 12)]
+        if i % 4 < 2:
+            x, y = draw.integers(0, len(lines), 2)
+            lines[x], lines[y] = lines[y], lines[x]
+        if i % 3:
+            lines.insert(int(draw.integers(0, len(lines))), lines[int(draw.integers(0, len(lines)))])
+        for _ in range(int(draw.integers(0, 4))):
+            line = lines[int(draw.integers(0, len(lines)))]
+            line[int(draw.integers(0, len(line)))] = f"other{i}"
+        texts.append(prose(1000 + i, 15) + "\n" + "\n  * ".join(" ".join(x) for x in lines))
+    found = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), templates).collect()}
+    want = set()
+    for i, text in enumerate(texts):
+        s = naive_shingles(text)
+        for name, template in templates.items():
+            t = naive_shingles(template)
+            if max(len(set(t) & set(s[max(0, at - len(t)) : at + 2 * len(t)])) / len(set(t)) for at in range(0, len(s), len(t))) >= licenses.LEAST:
+                want.add((i, name))
+    assert found == want and 10 < len(want)
+
+
 def test_hashes_ignore_clashing_columns(docs):
     assert set(licenses.scan(docs.withColumn("license", F.lit("x")).withColumn("row", F.lit(1))).columns) == {"doc_id", "license", "containment", "word"}

@@ -6,10 +6,12 @@ every shingle; a template of fewer shingles is one window, and texts have window
 least values of ``ROWS`` hash functions are one of ``BANDS`` bands, so two windows that share the part J of their
 shingles meet with probability 1 - (1 - J ** ROWS) ** BANDS: equal ones always, at J = 3/5 with 0.83.
 
-That is enough for every match: a template with at least ``LEAST`` of its shingles in a text by changes of words has
-four shingles in a row unchanged there (one changed word takes three), hence an equal window. Windows of the text that
-hold a shingle of no template can't be equal to one and aren't hashed; a bit mask of the templates' shingles tells them:
-each has ``MARKS`` bits in it of ``MASK_BITS``, so one in 60,000 others passes (more only if ``MOST_BITS`` are too few).
+Every window that begins with a shingle of some template and holds at least half of such ones is hashed; a window with
+less can't share half of its shingles with a template's. So near windows, with words changed or lines moved inside them,
+reach the bands as well as equal ones. A bit mask tells the templates' shingles: each has ``MARKS`` bits in it of
+``MASK_BITS``, so one in 60,000 others passes (more only if ``MOST_BITS`` are too few), which costs work, not results.
+A template of which ``LEAST`` is left has four shingles in a row left, as runs of three with one lost between them would
+leave 3/4: where those stand together in the text, it is met for certain, and elsewhere by its many near windows.
 
 A template is found if its exact containment, the share of its distinct shingles in the stretch of three of its lengths
 around a window that met, is at least ``LEAST``. Only rows and places go through the join of bands; texts join again
@@ -132,8 +134,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | DataFrame | None = None, i
     known_bit = lambda x: reduce(lambda a, b: a & b, map(is_set, _marks(x, bits)))
     # The row's number keeps filters, and with them the work above, from being repeated below this point.
     hits = texts.select("doc_id", "s", F.array_compact(F.transform("s", lambda x, i: F.when(known_bit(x), i))).alias("hits"), F.monotonically_increasing_id().alias("row"))
-    whole = lambda w: F.filter("hits", lambda p, i: F.coalesce(F.get("hits", i + w - 1) == p + w - 1, F.lit(False)))
-    placed_by = lambda w: F.transform(whole(w), lambda p: F.struct(p.alias("start"), F.lit(w).alias("width")))
+    near = lambda w: F.filter("hits", lambda p, i: F.coalesce(F.get("hits", i + (w + 1) // 2 - 1) <= p + w - 1, F.lit(False)))
+    placed_by = lambda w: F.transform(near(w), lambda p: F.struct(p.alias("start"), F.lit(w).alias("width")))
     windows = F.concat(*map(placed_by, sorted(widths)))
     hits = written(hits.where("size(hits) > 0").select("row", "doc_id", "s", windows.alias("windows")).where("size(windows) > 0"), "hits")
     placed = hits.select("row", "s", F.explode("windows").alias("w"))
