@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm import mixing, near_dup, pieces, quality, secrets
 from tidewire.llm.shared import table
-from tidewire.sources.shared_folder import written
+from tidewire.sources.shared_folder import discard, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage in turn over ``documents``; each result is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Every stage in turn over ``documents``; each result is written to the shared folder and read again.
+
+    A stage's table is deleted when the next one is written; that of the last but one stays, as the result reads it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = written(docs, name)
+            if before is not None:
+                discard(before)
+            before = docs
     return docs

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tidewire.functions import ids, lexicon, text, urls
-from tidewire.operators import discovery, events, incremental, profiles, ranking, rules, similarity, views
+from tidewire.operators import discovery, enrich, events, incremental, profiles, ranking, rules, similarity, views
 from tidewire.operators.components import connected_components
 from tidewire.plans import SQL
 from tidewire.sources import html
@@ -140,6 +140,17 @@ def test_page_metadata_and_publishers_links(spark):
     assert {tuple(r) for r in discovery.publisher_link(aggregated).collect()} == {("https://agg.example/1", "https://c.example/news/2"), ("https://agg.example/2", "https://b.example/news/1")}
 
 
+def test_queue_candidates_and_answers(spark):
+    rows = spark.createDataFrame([(1, True, False, 50, 1), (2, True, False, 90, 1), (3, False, False, 99, 1), (4, True, True, 99, 1), (5, True, None, 50, 2), (6, True, False, None, 9)], "id bigint, usable boolean, current boolean, score int, ts int")
+    queue = enrich.work_queue(rows, F.col("usable"), F.col("current"), F.col("score"), F.col("ts"), 10)
+    assert [r.id for r in queue.collect()] == [2, 5, 1, 6]
+    rows = spark.createDataFrame([(1, True, 0, 10, False), (2, False, 98, 70, False), (3, False, 0, 59, False), (4, False, 0, 60, None), (5, True, 90, 80, True)], "id bigint, direct boolean, floor int, rule int, cached boolean")
+    asked = enrich.candidates(rows, F.col("direct"), F.col("floor"), F.col("rule"), F.col("cached"))
+    answers = spark.createDataFrame([(1, 7.0), (4, 9.0), (5, 1.0), (99, 1.0)], "id bigint, score double")
+    got = {(r.id, r.priority, r.score) for r in enrich.enriched(asked, asked, lambda queue: answers, "score").collect()}
+    assert got == {(1, 1001000, 7.0), (2, 987000, None), (4, 6000, 9.0)}
+
+
 def test_glossary_and_signature(spark):
     entries = {"council": ["مجلس الوزراء"], "capital": ["بغداد"], "city": ["مدينة بسماية الجديدة"]}
     assert one(spark, lexicon.glossary_terms(F.col("t"), entries), t="بغداد: مجلس الوزراء يزور مدينة بسماية الجديدة") == ["city", "council", "capital"]
@@ -256,6 +267,15 @@ def test_event_queries_use_numbers(spark, tmp_path):
     assert {r.component: r.member_count for r in plans["event_group_stats"](spark, str(tmp_path)).collect()} == {0: 2, 2: 1, 3: 1, 4: 1, 5: 1}
 
 
+def test_undated_reports_match_each_other_only(spark):
+    title = "Ministry signs contract for the new river bridge"
+    rows = [(1, "c", title, "x", None), (2, "c", title, "y", None), (3, "c", title, "z", "2024-01-01 10:00:00"), (4, "c", title, "w", "2024-01-02 10:00:00")]
+    feats = events.features(spark.createDataFrame(rows, "id bigint, category string, title string, body string, at string").withColumn("published_at", F.to_timestamp("at")))
+    assert {(r.a, r.b) for r in events.match_edges(feats).collect()} == {(1, 2), (3, 4)}
+    parts = {r.id: r.component for r in similarity.grouped(feats.select("id"), events.group_edges(feats)).collect()}
+    assert parts == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
 def test_group_edges_join_what_match_edges_join(spark):
     draw = random.Random(5)
     titles = [" ".join(draw.choice(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]) for _ in range(draw.randint(1, 5))) for _ in range(12)]

@@ -71,8 +71,7 @@ def same_or_contained(a: Column, b: Column, least: int = 18) -> Column:
 
 
 def _hours_apart() -> Column:
-    seconds = lambda p: F.col(f"{p}_published_at").cast("timestamp").cast("double")
-    return F.abs(seconds("a") - seconds("b")) / 3600
+    return F.abs(_seconds(F.col("a_published_at")) - _seconds(F.col("b_published_at"))) / 3600
 
 
 def pair_score(sure: tuple[Sure, ...] = (), incident: bool = False) -> Column:
@@ -180,9 +179,13 @@ def _sure_links(timed: DataFrame, sure: tuple[Sure, ...], least: float) -> DataF
     return out if out is not None else timed.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
 
 
+def _seconds(published_at: Column) -> Column:
+    """A missing date counts as the epoch: undated reports are of one time, and far from all others."""
+    return F.coalesce(published_at.cast("timestamp").cast("double"), F.lit(0.0))
+
+
 def _timed(feats: DataFrame, hours: float) -> DataFrame:
-    seconds = F.col("published_at").cast("timestamp").cast("double")
-    return feats.withColumn("s", seconds).withColumn("bucket", F.floor(F.col("s") / (hours * 3600)))
+    return feats.withColumn("s", _seconds(F.col("published_at"))).withColumn("bucket", F.floor(F.col("s") / (hours * 3600)))
 
 
 def match_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST, sure: tuple[Sure, ...] = ()) -> DataFrame:

@@ -27,9 +27,30 @@ def filtered(df: DataFrame, category: str | None = None, bucket: str | None = No
     return df if since is None else df.where(F.col(ts) >= since)
 
 
-def with_member_text(df: DataFrame, group: str = "component", text: str = "text") -> DataFrame:
-    """Each row with the texts of all members of its group, to be searched together; a group is the reports of one event."""
-    return df.join(df.groupBy(group).agg(F.concat_ws("\n", F.collect_list(text)).alias("member_text")), group)
+def reader_view(
+    df: DataFrame, category: str | None = None, selected: DataFrame | None = None, source: str | None = None, translation: str | None = None, bucket: str | None = None,
+    since: Column | None = None, until: Column | None = None, found: DataFrame | None = None, least_source: int = 300,
+) -> DataFrame:
+    """The representatives that a reader's facets leave: (id, component, category, source_text, translation_status, score, published_at).
+
+    ``selected``: (id) of the reader's own picks; ``source``: "ready" or "failed" by the length of the source text;
+    ``found``: (group) that the search in all members left (``search.groups``); a report without a date is in any period.
+    """
+    chars = F.length(F.coalesce("source_text", F.lit("")))
+    facets = (
+        (category, F.lower(F.coalesce("category", F.lit(""))) == category), (bucket, score_bucket(F.col("score")) == bucket), (translation, F.coalesce(F.upper("translation_status"), F.lit("PENDING")) == translation),
+        (source, (chars >= least_source) if source == "ready" else (chars < least_source)),
+    )
+    shown = representatives(df) if "is_representative" in df.columns else df
+    for given, condition in facets:
+        shown = shown if given is None else shown.where(condition)
+    for bound, inside in ((since, lambda b: F.col("published_at") >= b), (until, lambda b: F.col("published_at") <= b)):
+        shown = shown if bound is None else shown.where(F.col("published_at").isNull() | inside(bound))
+    if selected is not None:
+        shown = shown.join(selected.select("id").distinct(), "id", "left_semi")
+    if found is not None:
+        shown = shown.join(found.select(F.col("group").alias("component")).distinct(), "component", "left_semi")
+    return shown
 
 
 def facet_counts(df: DataFrame, *facets: str) -> DataFrame:
@@ -47,11 +68,6 @@ def related(df: DataFrame, group: str = "component", id_col: str = "id", ts: str
     return joined.withColumn("related", F.slice(F.array_remove("_newest", F.col(id_col)), 1, most)).drop("_group", "_newest")
 
 
-def export_problems(n: Column, start: Column, end: Column, most: int = 40) -> Column:
-    """What forbids an export, null if nothing does."""
-    return F.when(start > end, "DATES").when(n < 1, "NOTHING_SELECTED").when(n > most, "TOO_MANY")
-
-
 def violations(df: DataFrame, id_col: str, rules: dict[str, tuple[str, Column]]) -> DataFrame:
     """(rule, severity, id) of every row that breaks a rule, from one pass over the rows."""
     broken = F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(True)), F.struct(F.lit(name).alias("rule"), F.lit(severity).alias("severity"))) for name, (severity, bad) in rules.items())))

@@ -74,17 +74,17 @@ def selection_pruned(spark, d):
     return records.still_selected(copied(spark, d, [(k,) for k in ("r1", "r2", "r6", "r7", "gone")], "id string", "id"), _readiness(copied(spark, d, _ARTICLES, _ARTICLE, "id")), "id", F.col("exportable"))
 
 
-_ORDERED = [("e", "economy", "2026-08-01"), ("s", "security", "2026-08-03"), ("p2", "politics", "2026-08-02"), ("p1", "Politics", "2026-08-01"), ("x", "sport", "2026-07-01"), ("b", "bismayah", None)]
-
-
-@query(fixed("place BIGINT, id VARCHAR", [(1, "b"), (2, "p1"), (3, "p2"), (4, "s"), (5, "e"), (6, "x")]))
+@query("""SELECT row_number() OVER (ORDER BY CASE category WHEN 'bismayah' THEN 1 WHEN 'politics' THEN 2 WHEN 'security' THEN 3 WHEN 'economy' THEN 4 ELSE 99 END, at_time, id) AS place, id FROM (
+  SELECT doc_id AS id, CASE lang WHEN 'en' THEN 'politics' WHEN 'fr' THEN 'economy' WHEN 'de' THEN 'security' ELSE lang END AS category, CASE WHEN doc_id % 5 > 0 THEN TIMESTAMP '2024-01-01' + to_minutes(doc_id) ELSE TIMESTAMP '1970-01-01' END AS at_time
+  FROM documents ORDER BY length(text) DESC, doc_id LIMIT 40)""")
 def export_order(spark, d):
-    """The order of an export; places are given to its forty rows at most."""
+    """The order of an export of the forty longest documents; an export holds no more."""
     from pyspark.sql import Window
 
-    rows = spark.createDataFrame(_ORDERED, "id string, category string, stamp string")
-    place = F.row_number().over(Window.orderBy(*records.export_order(F.col("category"), _TS("stamp"), F.col("id"))))
-    return rows.limit(records.EXPORT_ROWS).select(place.cast("bigint").alias("place"), "id")
+    a = Tables(spark, d).articles().orderBy(F.length("body").desc(), "id").limit(records.EXPORT_ROWS)
+    category = F.when(F.col("category") == "en", "Politics").when(F.col("category") == "fr", "economy").when(F.col("category") == "de", "security").otherwise(F.col("category"))
+    place = F.row_number().over(Window.orderBy(*records.export_order(category, F.when(F.col("id") % 5 > 0, F.col("published_at")), F.col("id"))))
+    return a.select(place.cast("bigint").alias("place"), "id")
 
 
 @query(fixed("request VARCHAR, problem VARCHAR, n BIGINT", [("fine", None, 1), ("empty", "NOTHING_SELECTED", 0), ("dates", "DATES", 1), ("unfit", "NOT_TRANSLATED", 2), ("outside", "OUTSIDE_PERIOD", 2), ("many", "TOO_MANY", 41)]))
@@ -316,28 +316,6 @@ def text_helpers(spark, d):
     )
 
 
-_QUEUE = [(1, True, False, 50, 1), (2, True, False, 90, 1), (3, False, False, 99, 1), (4, True, True, 99, 1), (5, True, None, 50, 2), (6, True, False, None, 9)]
-
-
-@query(fixed("place INT, id BIGINT", [(1, 2), (2, 5), (3, 1), (4, 6)]))
-def work_queue_order(spark, d):
-    rows = spark.createDataFrame(_QUEUE, "id bigint, usable boolean, current boolean, score int, ts int")
-    queue = enrich.work_queue(rows, F.col("usable"), F.col("current"), F.col("score"), F.col("ts"), 10)
-    return queue.agg(F.collect_list("id").alias("ids")).select(F.posexplode("ids").alias("p", "id")).select((F.col("p") + 1).cast("int").alias("place"), "id")
-
-
-_CANDIDATES = [(1, True, 0, 10, False), (2, False, 98, 70, False), (3, False, 0, 59, False), (4, False, 0, 60, None), (5, True, 90, 80, True)]
-
-
-@query(fixed("id BIGINT, priority INT, score DOUBLE", [(1, 1001000, 7.0), (2, 987000, None), (4, 6000, 9.0)]))
-def model_candidates(spark, d):
-    """Rows worth a model's score, and its answers attached: for ids that were asked, and only for those."""
-    rows = spark.createDataFrame(_CANDIDATES, "id bigint, direct boolean, floor int, rule int, cached boolean")
-    asked = enrich.candidates(rows, F.col("direct"), F.col("floor"), F.col("rule"), F.col("cached"))
-    answers = spark.createDataFrame([(1, 7.0), (4, 9.0), (5, 1.0), (99, 1.0)], "id bigint, score double")
-    return enrich.enriched(asked, asked, lambda queue: answers, "score").select("id", "priority", "score")
-
-
 @query(fixed("id BIGINT, answer VARCHAR", [(1, "a1"), (2, "a2"), (3, "a3"), (4, "a4"), (5, "a5")]))
 def batched_answers(spark, d):
     """Answers in batches of two, each a partition of its own; a second run asks for nothing."""
@@ -367,10 +345,12 @@ def stored_records(spark, d):
     return made.select("doc_id", "r.title", "r.chars", "r.full", "r.model", "a.category", "a.locked", ids.article_key(F.lit(""), F.lit("u"), F.lit("i")).alias("keyed"))
 
 
-@query("SELECT doc_id, sha256('{\"title\":\"' || lang || '\",\"facts\":[\"' || source || '\"]}') AS hash FROM documents WHERE NOT regexp_matches(source, '[\"\\\\]')")
+_ESCAPED = "replace(replace({0}, '\\\\', '\\\\\\\\'), '\"', '\\\\\"')"
+
+
+@query(f"""SELECT doc_id, sha256('{{"title":"' || {_ESCAPED.format("lang")} || '","facts":["' || {_ESCAPED.format("source")} || '"]}}') AS hash FROM documents""")
 def facts_hashes(spark, d):
-    docs = Tables(spark, d).documents.where(~F.col("source").rlike('["\\\\]'))
-    return docs.select("doc_id", records.facts_hash(F.col("lang"), F.array("source")).alias("hash"))
+    return Tables(spark, d).documents.select("doc_id", records.facts_hash(F.col("lang"), F.array("source")).alias("hash"))
 
 
 @query(fixed("form VARCHAR, pos BIGINT, id VARCHAR, n INT", [("envelope", 0, "a", 1), ("envelope", 1, "b", None), ("array", 0, "c", 3)]))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewire.operators import components, search
-from tidewire.plans.registry import Tables, query
+from tidewire.functions import ids
+from tidewire.operators import components, enrich, search, views
+from tidewire.plans.registry import ARTICLES, Tables, query
 
 _ASKED = ["Tion on", "keit", "la que", "of the, and", "ing. th", "***", "no such words here"]
 
@@ -30,3 +31,65 @@ def components_by_day(spark, d):
     first, second = least("opening"), least("lang", "n")
     labels = components.connected_components(first.where("a % 2 = 0"))
     return components.extended(labels, first.where("a % 2 = 1").unionByName(second))
+
+
+_VIEWED = f"""(SELECT a.id, source AS component, category, body, CASE quality WHEN 1 THEN 'COMPLETED' WHEN 0 THEN 'FAILED' ELSE 'PENDING' END AS status, quality, toxic, length(body) % 101 AS score,
+  CASE WHEN a.id % 5 > 0 THEN published_at END AS at_time, a.id % 7 <> 3 AS representative FROM {ARTICLES} a LEFT JOIN labels l ON a.id = l.doc_id)"""
+
+
+@query(f"""WITH v AS (SELECT * FROM {_VIEWED} WHERE representative)
+  SELECT 'ready' AS facet, id FROM v WHERE length(body) >= 300 AND status = 'COMPLETED' AND category = 'en' UNION ALL SELECT 'failed', id FROM v WHERE length(body) < 300
+  UNION ALL SELECT 'selected', id FROM v WHERE toxic = 1 AND score >= 60 AND score < 70 UNION ALL SELECT 'period', id FROM v WHERE (at_time IS NULL OR (at_time >= TIMESTAMP '2024-01-01 02:00:00' AND at_time <= TIMESTAMP '2024-01-01 06:00:00')) AND status = 'PENDING'
+  UNION ALL SELECT 'search', id FROM v WHERE component IN (SELECT source FROM documents WHERE contains(lower(text), 'stupid and')) AND category = 'fr'""")
+def reader_views(spark, d):
+    """What a reader's facets leave of the articles: ready and failed sources, picks by score, a period, a search in all members of a source."""
+    t = Tables(spark, d)
+    status = F.when(F.col("quality") == 1, "COMPLETED").when(F.col("quality") == 0, "failed")
+    labels = t.labels.select(F.col("doc_id").alias("id"), "quality", "toxic")
+    rows = t.articles().join(labels, "id", "left").select(
+        "id", F.col("source").alias("component"), "category", F.col("body").alias("source_text"), status.alias("translation_status"), (F.length("body") % 101).alias("score"),
+        F.when(F.col("id") % 5 > 0, F.col("published_at")).alias("published_at"), (F.col("id") % 7 != 3).alias("is_representative"),
+    )
+    at = lambda hour: F.lit(f"2024-01-01 {hour}:00:00").cast("timestamp")
+    members = t.documents.select(F.col("doc_id").alias("id"), F.col("source").alias("component"), "text")
+    found = search.groups(search.search(search.build(members), members, ["stupid and"]))
+    asked = {
+        "ready": {"source": "ready", "translation": "COMPLETED", "category": "en"}, "failed": {"source": "failed"}, "selected": {"selected": labels.where("toxic = 1"), "bucket": "60-69"},
+        "period": {"since": at("02"), "until": at("06"), "translation": "PENDING"}, "search": {"found": found, "category": "fr"},
+    }
+    out = None
+    for name, facets in asked.items():
+        one = views.reader_view(rows, **facets).select(F.lit(name).alias("facet"), "id")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+_COMPACT = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, sha256({_COMPACT.format('source')} || chr(10) || {_COMPACT.format('text')}) AS hash FROM documents")
+def compact_hashes(spark, d):
+    """Hashes of documents whose line ends and blanks don't count."""
+    return Tables(spark, d).documents.select("doc_id", ids.content_hash(F.col("source"), F.col("text"), compact_body=True).alias("hash"))
+
+
+_QUEUED = f"(SELECT a.id, length(body) AS n, quality, contains(body, 'ndly') AS direct, CASE WHEN contains(body, 'keit') THEN 98 ELSE 0 END AS floor FROM {ARTICLES} a LEFT JOIN labels l ON a.id = l.doc_id)"
+
+
+@query(f"""SELECT id FROM {_QUEUED} WHERE n >= 300 AND NOT coalesce(quality = 1, false) ORDER BY n % 1000 DESC, id DESC LIMIT 200""")
+def work_queue_order(spark, d):
+    """The 200 documents whose derived content is made next."""
+    return enrich.work_queue(_queued(spark, d), F.col("n") >= 300, F.col("quality") == 1, F.col("n") % 1000, F.col("id"), 200).select("id")
+
+
+@query(f"""SELECT id, direct::INT * 1000000 + floor * 10000 + n % 100 * 100 AS priority FROM {_QUEUED} WHERE NOT coalesce(quality = 1, false) AND (direct OR n % 100 >= 60) ORDER BY priority DESC, id LIMIT 40""")
+def model_candidates(spark, d):
+    """The 40 documents worth a model's score, by their priority."""
+    rows = _queued(spark, d)
+    return enrich.candidates(rows, F.col("direct"), F.col("floor"), (F.col("n") % 100), F.col("quality") == 1).select("id", F.col("priority").cast("bigint").alias("priority"))
+
+
+def _queued(spark, d):
+    t = Tables(spark, d)
+    a = t.articles().select("id", F.length("body").alias("n"), F.contains("body", F.lit("ndly")).alias("direct"), F.when(F.contains("body", F.lit("keit")), 98).otherwise(0).alias("floor"))
+    return a.join(t.labels.select(F.col("doc_id").alias("id"), "quality"), "id", "left")
