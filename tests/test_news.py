@@ -151,6 +151,21 @@ def test_queue_candidates_and_answers(spark):
     assert got == {(1, 1001000, 7.0), (2, 987000, None), (4, 6000, 9.0)}
 
 
+def test_answers_by_retries_and_fallbacks(spark):
+    queue = spark.range(6)
+    asked = []
+
+    def odd(rows, attempt):
+        asked.append((attempt, sorted(r.id for r in rows.collect())))
+        return spark.createDataFrame([(1, "a"), (1, "b"), (99, "x"), (2, None), *([(3, "late")] if attempt == 2 else [])], "id bigint, v string")
+
+    rest = lambda rows, attempt: rows.where("id <> 4").selectExpr("id", "'r' AS v")
+    got = {tuple(r) for r in enrich.answered(queue, {"odd": odd, "rest": rest}, "v").collect()}
+    assert got == {(1, "b", "odd", 1), (3, "late", "odd", 2), (0, "r", "rest", 1), (2, "r", "rest", 1), (5, "r", "rest", 1)}
+    assert asked == [(1, [0, 1, 2, 3, 4, 5]), (2, [0, 2, 3, 4, 5])]
+    assert enrich.answered(queue.where("false"), {"rest": rest}, "v").count() == 0
+
+
 def test_glossary_and_signature(spark):
     entries = {"council": ["مجلس الوزراء"], "capital": ["بغداد"], "city": ["مدينة بسماية الجديدة"]}
     assert one(spark, lexicon.glossary_terms(F.col("t"), entries), t="بغداد: مجلس الوزراء يزور مدينة بسماية الجديدة") == ["city", "council", "capital"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.lexicon import glossary_terms
 from tidewire.functions.text import BLANKS
+from tidewire.sources.shared_folder import discard, written
 
 #: Takes the queued rows (id and inputs), gives rows of results by id; runs as a plan, so any source of results will do.
 Provider = Callable[[DataFrame], DataFrame]
@@ -47,6 +48,30 @@ def enriched(rows: DataFrame, queue: DataFrame, provider: Provider | None, value
     return rows.join(found, key, "left")
 
 
+def answered(queue: DataFrame, providers: dict[str, Callable[[DataFrame, int], DataFrame]], value: str, key: str = "id", tries: int = 2) -> DataFrame:
+    """(key, value, provider, attempt) of all that got an answer: each provider is asked for what is missing, then the next one.
+
+    A provider is a function of (rows still without an answer, attempt) and may answer some of them; an answer of null is
+    none, and answers for keys that weren't asked are ignored. Each round is a table, so nothing is asked twice over.
+    """
+    left, done = written(queue, "queue"), []
+    for name, provider in providers.items():
+        for attempt in range(1, tries + 1):
+            if left.isEmpty():
+                break
+            found = provider(left, attempt).where(F.col(value).isNotNull()).join(left.select(key), key, "left_semi").groupBy(key).agg(F.max(value).alias(value))
+            done.append(written(found.select(key, value, F.lit(name).alias("provider"), F.lit(attempt).alias("attempt")), "answers"))
+            rest = written(left.join(done[-1].select(key), key, "left_anti"), "queue")
+            discard(left)
+            left = rest
+    if not done:
+        return queue.select(key, F.lit(None).cast("string").alias(value), F.lit("").alias("provider"), F.lit(0).alias("attempt")).where("false")
+    every = done[0]
+    for more in done[1:]:
+        every = every.unionByName(more)
+    return every
+
+
 def missing(queue: DataFrame, results: DataFrame, key: str = "id") -> DataFrame:
     """What a retry has to ask for again."""
     return queue.join(results.select(key), key, "left_anti")

@@ -316,18 +316,19 @@ def text_helpers(spark, d):
     )
 
 
-@query(fixed("id BIGINT, answer VARCHAR", [(1, "a1"), (2, "a2"), (3, "a3"), (4, "a4"), (5, "a5")]))
+@query("SELECT id, 'a' || id AS answer FROM (SELECT doc_id AS id FROM documents WHERE length(text) >= 300 ORDER BY length(text) DESC, doc_id DESC LIMIT 60)")
 def batched_answers(spark, d):
-    """Answers in batches of two, each a partition of its own; a second run asks for nothing."""
+    """Answers for the queue of the sixty longest documents in batches of ten, each a partition of its own; a second run asks for nothing."""
     folder = f"{shared_folder(spark)}/tidewire/batches-{uuid.uuid4().hex}"
-    queue = spark.createDataFrame([(i,) for i in range(1, 6)], "id bigint")
-    answer = lambda batch: batch.select("id", F.concat(F.lit("a"), "id").alias("answer"))
-    records.in_batches(queue, folder, 2, answer)
+    docs = Tables(spark, d).documents.select(F.col("doc_id").alias("id"), F.length("text").alias("n"))
+    queue = enrich.work_queue(docs, F.col("n") >= 300, F.lit(False), F.col("n"), F.col("id"), 60).select("id")
+    answer = lambda batch: batch.select("id", F.concat(F.lit("a"), F.col("id").cast("string")).alias("answer"))
+    records.in_batches(queue, folder, 10, answer)
 
     def never(batch):
         raise AssertionError("asked again")
 
-    return records.in_batches(queue, folder, 2, never).select("id", "answer")
+    return records.in_batches(queue, folder, 10, never).select("id", "answer")
 
 
 @query(per_copy("id BIGINT, reason VARCHAR", [(1, None), (1, "OLDER"), (2, "SOURCE_CHANGED"), (3, "UNKNOWN_ID")], "id"))

@@ -93,3 +93,13 @@ def _queued(spark, d):
     t = Tables(spark, d)
     a = t.articles().select("id", F.length("body").alias("n"), F.contains("body", F.lit("ndly")).alias("direct"), F.when(F.contains("body", F.lit("keit")), 98).otherwise(0).alias("floor"))
     return a.join(t.labels.select(F.col("doc_id").alias("id"), "quality"), "id", "left")
+
+
+@query("""SELECT doc_id AS id, 'answer ' || doc_id AS answer, CASE WHEN doc_id % 3 < 2 THEN 'first' ELSE 'second' END AS provider, CASE WHEN doc_id % 3 = 1 THEN 2 ELSE 1 END AS attempt FROM documents WHERE doc_id % 3 < 2 OR doc_id % 5 > 0""")
+def answers_with_fallback(spark, d):
+    """A provider that answers two thirds of the documents in two tries, and one asked for the rest that fails on every fifth."""
+    queue = Tables(spark, d).documents.select(F.col("doc_id").alias("id"))
+    told = F.concat(F.lit("answer "), F.col("id").cast("string"))
+    first = lambda rows, attempt: rows.select("id", F.when(F.col("id") % 3 == attempt - 1, told).alias("answer"))
+    second = lambda rows, attempt: rows.where(F.col("id") % 5 > 0).select("id", told.alias("answer"))
+    return enrich.answered(queue, {"first": first, "second": second}, "answer")
