@@ -101,21 +101,30 @@ def audit(title: Column, body: Column) -> Column:
     return F.when(any_of(t, normed(FOREIGN_AUDIT, "gate")), F.when(any_of(lead, normed(HOME_AUDIT, "gate")), "REVIEWED").otherwise("SUSPECT"))
 
 
+# Codes of the floors and their scores, as stored data holds them.
+BUSINESS_FLOORS = (
+    ("BISMAYAH_NIC_HANWHA_DIRECT", 98),
+    ("BISMAYAH_GOVERNMENT_DECISION", 95),
+    ("BISMAYAH_CONTRACT_PAYMENT_EXECUTION", 95),
+    ("NIC_CHAIR_PERSONNEL_CHANGE", 90),
+    ("DIRECT_BISMAYAH", 90),
+    ("NIC_POLICY_ORGANIZATION", 80),
+    ("IRAQ_HOUSING_GENERAL", 65),
+)
+ECONOMY_FLOORS = (("ECONOMY_NATIONAL_STALLED_PROJECT_OVERSIGHT", 78), ("ECONOMY_STALLED_PROJECT_OVERSIGHT", 72))
+
+
 def business_floor(text: Column, headline: Column) -> Column:
     """(score, rule) of the highest business floor; the first of equal ones."""
     t, h = normalize(text), normalize(headline)
     has = lambda terms, where=t: any_of(where, normed(terms))
     nic = has(NIC) | acronym(t, "nic")
     chair = has(NIC_CHAIR) | (nic & has(CHAIR, h))
-    rules = [
-        (has(BISMAYAH) & has(HANWHA) & nic, 98, "BISMAYAH_NIC_HANWHA_DIRECT"),
-        (has(BISMAYAH) & has(GOVERNMENT) & has(DECISION), 95, "BISMAYAH_GOVERNMENT_DECISION"),
-        ((has(BISMAYAH) | has(HANWHA)) & has(CONTRACT), 95, "BISMAYAH_CONTRACT_PAYMENT_EXECUTION"),
-        (nic & chair & has(PERSONNEL), 90, "NIC_CHAIR_PERSONNEL_CHANGE"),
-        (has(BISMAYAH), 90, "DIRECT_BISMAYAH"),
-        (nic & (has(POLICY) | has(DECISION)), 80, "NIC_POLICY_ORGANIZATION"),
-        (has(HOUSING) & has(COUNTRY), 65, "IRAQ_HOUSING_GENERAL"),
-    ]
+    conditions = (
+        has(BISMAYAH) & has(HANWHA) & nic, has(BISMAYAH) & has(GOVERNMENT) & has(DECISION), (has(BISMAYAH) | has(HANWHA)) & has(CONTRACT), nic & chair & has(PERSONNEL), has(BISMAYAH),
+        nic & (has(POLICY) | has(DECISION)), has(HOUSING) & has(COUNTRY),
+    )
+    rules = [(condition, score, rule) for condition, (rule, score) in zip(conditions, BUSINESS_FLOORS, strict=True)]
     step = lambda score, rule: F.struct(F.lit(score).alias("score"), F.lit(rule).alias("rule"))
     return ladder(*((condition, step(score, rule)) for condition, score, rule in rules), otherwise=step(0, "NONE"))
 
@@ -123,10 +132,8 @@ def business_floor(text: Column, headline: Column) -> Column:
 def category_floor(category: Column, text: Column) -> Column:
     """(score, rule) of the floors for national bodies that take up stalled projects; only in the economy."""
     t = normalize(text)
-    floors = [
-        ("ECONOMY_NATIONAL_STALLED_PROJECT_OVERSIGHT", 78, [normed(x) for x in (STALLED, AUTHORITY, ACTION, NATIONWIDE)]),
-        ("ECONOMY_STALLED_PROJECT_OVERSIGHT", 72, [normed(x) for x in (STALLED, AUTHORITY, ACTION)]),
-    ]
+    lexicons = ((STALLED, AUTHORITY, ACTION, NATIONWIDE), (STALLED, AUTHORITY, ACTION))
+    floors = [(rule, score, [normed(x) for x in terms]) for (rule, score), terms in zip(ECONOMY_FLOORS, lexicons, strict=True)]
     none = F.struct(F.lit(0).alias("score"), F.lit(None).cast("string").alias("rule"))
     return F.when(canonical_category(category) == "economy", floor_of(t, floors)).otherwise(none)
 

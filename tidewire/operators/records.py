@@ -10,6 +10,8 @@ from tidewire.functions.urls import canonical
 from tidewire.operators.incremental import day_in
 from tidewire.operators.rules import blend, ladder
 
+# Why a translation is hidden and how a fallback URL was found, as stored data holds them.
+HIDDEN_REASON, FALLBACK_METHOD = "LEGACY_TRANSLATION_HIDDEN_IN_BROWSER", "PRIORITY_AGGREGATOR_FALLBACK"
 # Output codes and names that stored data hold.
 SECTIONS = {"bismayah": "politicsItems", "politics": "politicsItems", "security": "securityItems", "economy": "economyItems", "international": "internationalItems"}
 EXPORT_ORDER = ("bismayah", "politics", "security", "economy", "international")
@@ -103,7 +105,7 @@ def guarded(status: Column, version: Column, title: Column, text: Column, curren
     own = F.coalesce(version == current, F.lit(False))
     return F.struct(
         F.when(own, status).otherwise("PENDING").alias("status"), F.when(own, title).otherwise("").alias("title"), F.when(own, text).otherwise("").alias("text"),
-        F.when(~own, "LEGACY_TRANSLATION_HIDDEN_IN_BROWSER").alias("reset_reason"),
+        F.when(~own, HIDDEN_REASON).alias("reset_reason"),
     )
 
 
@@ -180,7 +182,7 @@ def with_fallback(resolved: DataFrame, found: DataFrame, key: str = "id") -> Dat
     out = resolved.join(offers, key, "left").withColumn("_open", open_)
     return out.withColumns({
         "url": F.when(F.col("_open"), F.col("_fallback")).otherwise(F.col("url")), "url_status": F.when(F.col("_open"), "RESOLVED").otherwise(F.col("url_status")),
-        "method": F.when(F.col("_open"), "PRIORITY_AGGREGATOR_FALLBACK"),
+        "method": F.when(F.col("_open"), FALLBACK_METHOD),
     }).drop("_fallback", "_open")
 
 
