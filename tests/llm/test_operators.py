@@ -160,6 +160,16 @@ def naive_spans(text):
         s = "".join(c for c, _, _ in layer)
         for kind, (pattern, group, least) in patterns.items():
             found |= {(kind, *place(layer[m.start() : m.end()])) for m in re.finditer(pattern, s) if len(m[group]) >= least}
+        for begin in range(len(s) - 1):
+            raw = re.match("[\x00-\xff]*", s[begin:])[0].encode("latin-1")
+            for opened in NAIVE_STREAMS.get(raw[:2], ()):
+                stream = opened()
+                try:
+                    inner = naive_spans(stream.decompress(raw).decode("latin-1"))
+                except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+                    continue
+                # A stream that is cut off tells what it held up to there.
+                found |= {(k, *place(layer[begin : begin + len(raw) - len(stream.unused_data)])) for k, _, _ in inner}
         wide, i = [], 0
         for m in re.finditer(r"(?:[\t\n\r\x20-\x7e]\x00){6,}|(?:\x00[\t\n\r\x20-\x7e]){6,}", s):
             wide += layer[i : m.start()]
@@ -190,20 +200,6 @@ def naive_spans(text):
                 if not skip and len(run) % 4 != 1 and raw.isascii() and raw.decode().isprintable():
                     replaced += [*layer[at : m.start()], *made]
                     at = m.end()
-            for skip in range(4):
-                body = run[skip:]
-                body = body[:-1] if len(body) % 4 == 1 else body
-                raw = base64.b64decode(body + "=" * (-len(body) % 4))
-                made = [(chr(c), *place([layer[m.start() + skip + j] for j in (8 * k // 6, (8 * k + 7) // 6)])) for k, c in enumerate(raw)]
-                for begin in range(len(raw)):
-                    for opened in NAIVE_STREAMS.get(raw[begin : begin + 2], ()) if begin + 2 <= len(raw) else ():
-                        stream = opened()
-                        try:
-                            inner = naive_spans(stream.decompress(raw[begin:]).decode("latin-1"))
-                        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-                            continue
-                        if stream.eof:
-                            found |= {(k, *place(made[begin : len(raw) - len(stream.unused_data)])) for k, _, _ in inner}
         work.append([*replaced, *layer[at:]])
     return found
 
