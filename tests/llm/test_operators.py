@@ -451,6 +451,22 @@ def test_repeated_rows_and_clusters(spark):
     assert [i for r, i in got[7] if r == 1] == [7, 7] and [i for r, i in got[100] if r < 3] == [100] * 6
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e20, 1e-25])
+def test_neighbours_are_exact_at_any_scale(spark, scale):
+    """Codes alone mislead where neighbours are hardly nearer than others, and table distances of such sizes leave single precision."""
+    draw = np.random.default_rng(4)
+    x = (draw.normal(size=(3000, 48)) * np.exp(2 * draw.normal(size=(3000, 1))) * scale).astype("float32")
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = defaultdict(list)
+    for r in neighbours.neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), lambda i: i % 100 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert set(got) == set(range(0, 3000, 100))
+    for q, found in got.items():
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(1)
+        d[q] = np.inf
+        assert found == np.lexsort((np.arange(3000), d))[:10].tolist()
+
+
 def test_neighbours_of_few(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (5, [0.0, 1.0])], "vec_id bigint, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id) for r in neighbours.neighbours(few, lambda i: i % 5 == 0).collect()] in ([(0, 1, 5), (5, 1, 0)], [(5, 1, 0), (0, 1, 5)])
