@@ -1,10 +1,13 @@
+import tracemalloc
 from itertools import combinations
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import arabic_rules, events, similarity
+from tidewire.functions import automaton, lexicon, text
+from tidewire.operators import arabic_rules, discovery, events, similarity
 from tidewire.plans import PLANS, SQL
 
 SCHEMA = "id string, category string, title string, body string"
@@ -69,3 +72,42 @@ def test_sure_links_join_what_sure_pairs_join(spark, seed):
     assert {(r.a, r.b) for r in pairs.collect()} == want
     of = lambda edges: {r.id: r.component for r in similarity.grouped(df.select("id"), edges).collect()}
     assert of(pairs) == of(events.group_edges(feats, sure=(rule,)))
+
+
+def test_alias_signals_are_one_step_of_a_plan(spark):
+    """Names stand in their order, between blanks, overlapping ones too; the plan doesn't grow with the aliases."""
+    names = {"B": ["new york", "nyc"], "A": ["york"], "NONE": ["bridge"]}
+    texts = ["new york bridges", "york", "newyork nyc", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").repartition(1)
+    assert [r.s for r in rows.select("id", lexicon.alias_signals(F.col("t"), names).alias("s")).orderBy("id").collect()] == [["B", "A"], ["A"], ["B"], [], []]
+    told = [len(lexicon.alias_signals(F.col("t"), aliases)._jc.toString()) for aliases in (names, arabic_rules.EVENT_LANGUAGE.aliases)]
+    assert abs(told[0] - told[1]) < 50
+
+
+def test_scans_hold_few_texts_as_strings():
+    texts = pa.array([("x" * 20_000) + str(i) for i in range(2_000)])
+    tracemalloc.start()
+    found = automaton._listed(texts, ("x1999", "y"), pa.list_(pa.int32()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 2_000 and found[1_999].as_py() == [0] and sum(len(f) for f in found.to_pylist()) == 1
+    assert peak < 5_000_000
+
+
+def test_recovery_deals_the_items_of_one_source_to_many_tasks(spark):
+    items = spark.createDataFrame([(f"i{i}", "https://a.example", "", title) for i, title in enumerate(["oil ministry plan", "oil ministry plan", "new oil plan", "other words"])] + [("i0", "https://a.example", "", "oil ministry plan")], "item_id string, homepage string, source string, title string")
+    sources = spark.createDataFrame([("a", ["a.example"], ["agency"])], "source_id string, hosts array<string>, names array<string>")
+    index = spark.createDataFrame([("a", 1, "u1", "oil plan today"), ("a", 2, "u2", "oil ministry plan")], "source_id string, place int, url string, title string")
+    found = discovery.recovered(items, sources, index)
+    assert {(r.item_id, r.url, r.similarity) for r in found.collect()} == {("i0", "u2", 1.0), ("i1", "u2", 1.0), ("i2", "u1", 0.6167)} and found.count() == 3
+    assert "share" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_forms_are_folded_once_for_all_profiles(spark, tmp_path):
+    texts = ["ﷲ ① Ａｂｃ\u200f «x»\tإِعْلَانُ ﬁ", "plain", "", None, "أ\u06d6ﷲ\ufeff ﻻ-ﻻ"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = PLANS["text_normalize_forms"](spark, str(tmp_path))
+    profiles = ("scope", "routing", "origin", "glossary")
+    want = spark.read.parquet(str(tmp_path / "documents.parquet")).select("doc_id", *(text.normalize(F.col("text"), p).alias(p) for p in profiles))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("_nfkc(") == 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +34,32 @@ def occurring(texts: Iterable[str | None], terms: tuple[str, ...]) -> list[list[
     return [sorted({i for _, i in machine.iter(t)}) if t and machine else [] for t in texts]
 
 
+#: Texts that are Python strings at once; a batch stays in Arrow's memory.
+_AT_ONCE = 64
+
+
+def _listed(texts: pa.Array, terms: tuple[str, ...], kind: pa.DataType, of=lambda found: found) -> pa.Array:
+    """What ``of`` makes of the numbers found in each text; of a batch only some texts are Python strings at a time."""
+    parts = (texts.slice(i, _AT_ONCE).to_pylist() for i in range(0, len(texts), _AT_ONCE))
+    return pa.concat_arrays([pa.array([], kind), *(pa.array([of(f) for f in occurring(part, terms)], kind) for part in parts)])
+
+
+def signals(text: Column, names: dict[str, list[str]]) -> Column:
+    """Names of which a term stands in the text, in their order: one pass and one step of a plan, however many names there are."""
+    known = tuple(dict.fromkeys(t for terms in names.values() for t in terms if t))
+    order, numbers, of = list(names), {t: i for i, t in enumerate(known)}, {}
+    for place, terms in enumerate(names.values()):
+        for t in terms:
+            of.setdefault(numbers.get(t), set()).add(place)
+    always = of.pop(None, set())
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def find(texts: pa.Array) -> pa.Array:
+        return _listed(texts, known, pa.list_(pa.string()), lambda found: [order[p] for p in sorted(always.union(*(of[i] for i in found)))])
+
+    return find(text)
+
+
 class Scanned:
     """A text whose terms were looked for: the text, the column of numbers, and the number of each term."""
 
@@ -77,9 +103,9 @@ def scan(df: DataFrame, texts: dict[str, Column], terms: Iterable[str]) -> tuple
     numbers = {t: i for i, t in enumerate(known)}
     names = list(texts)
 
-    @F.pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in names]))
-    def find(*columns: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({n: pd.Series(occurring(c, known), dtype=object) for n, c in zip(names, columns, strict=True)})
+    @F.arrow_udf(T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in names]))
+    def find(*columns: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([_listed(c, known, pa.list_(pa.int32())) for c in columns], names)
 
     made = df.withColumn("_terms", find(*texts.values()))
     made = made.select(*df.columns, *(F.col("_terms")[n].alias(n) for n in names))

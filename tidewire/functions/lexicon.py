@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewire.functions.automaton import Scanned
+from tidewire.functions.automaton import Scanned, signals
 
 
 def any_of(text: Column | Scanned, terms: list[str]) -> Column:
@@ -69,8 +69,7 @@ def any_phrase(text: Column, phrases: list[str], proclitics: str = "وفبكل")
 
 def alias_signals(text: Column, aliases: dict[str, list[str]]) -> Column:
     """Names of the signals of which an alias stands in the text between blanks."""
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
-    return F.array_compact(F.array(*(F.when(any_of(padded, [f" {a} " for a in names]), F.lit(signal)) for signal, names in aliases.items())))
+    return signals(F.concat(F.lit(" "), text, F.lit(" ")), {signal: [f" {a} " for a in names] for signal, names in aliases.items()})
 
 
 def glossary_terms(text: Column, entries: dict[str, list[str]], most: int = 16, locale: str = "ko") -> Column:

@@ -77,6 +77,8 @@ def _hours_apart() -> Column:
 def pair_score(sure: tuple[Sure, ...] = (), incident: bool = False) -> Column:
     """Score of a joined pair of features, columns prefixed a_ and b_; 0 without enough evidence. ``incident``: there is a type of incident to compare.
 
+    Sure matches read ``every``: signals, actions and cues of a report together.
+
     First a conflict of actions rules a pair out; then the first sure match counts; then the titles must be near the same, or share much, or share some
     and have support from signals, numbers or leads.
     """
@@ -91,11 +93,11 @@ def pair_score(sure: tuple[Sure, ...] = (), incident: bool = False) -> Column:
     if incident:
         total = total + F.when((a("incident") == b("incident")) & (a("incident") != ""), INCIDENT).otherwise(0.0)
     out = F.when(conflict, 0.0)
-    every = lambda p: F.array_union(F.array_union(p("signals"), p("actions")), p("cues"))
+    every = F.array_intersect(a("every"), b("every")) if sure else None
     for rule in sure:
         shared_all = _hours_apart() <= rule.hours
         for family in rule.families:
-            shared_all = shared_all & (F.size(F.array_intersect(F.array_intersect(every(a), every(b)), F.array(*map(F.lit, family)))) > 0)
+            shared_all = shared_all & F.arrays_overlap(every, F.array(*map(F.lit, family)))
         out = out.when(shared_all, rule.score)
     return out.when(~evidence, 0.0).otherwise(F.least(total, F.lit(1.0)))
 
@@ -130,6 +132,8 @@ def _scored(met: DataFrame, feats: DataFrame, least: float, sure: tuple[Sure, ..
     likely = likely.where(((F.col("shared") >= 2) & (F.col("shared") >= 0.45 * smaller)) | exact).select("a_id", "b_id")
     if certain is not None:
         likely = likely.unionAll(certain.select("a_id", "b_id")).distinct()
+    if sure:
+        feats = feats.withColumn("every", F.array_union(F.array_union("signals", "actions"), "cues"))
     scored = likely.join(side("a", feats.columns), "a_id").join(side("b", feats.columns), "b_id")
     return scored.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score(sure, "incident" in feats.columns).alias("score")).where(F.col("score") >= least)
 
