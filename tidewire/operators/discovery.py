@@ -110,17 +110,24 @@ def recovered(items: DataFrame, sources: DataFrame, index: DataFrame, threshold:
     """(item_id, source_id, url, similarity): each item's most similar title among the index entries of its sources.
 
     ``items``: item_id, homepage, source, title; ``sources``: source_id, hosts, names, a short list by nature and joined
-    by broadcast if it is small on disk; ``index``: source_id, place, url, title. The first entry wins among equals.
+    by broadcast, as a condition that is no equality would read all items again for each part of it; ``index``: source_id, place, url, title. The first entry wins among equals.
+
+    Items of one source share words, and a source may have most of the items: those of one word are dealt to as many
+    tasks as a shuffle has, each with the entries of the word. Tokens are counted where they meet; no title goes along.
     """
     from tidewire.functions.text import tokens
-    from tidewire.operators.similarity import title_similarity
 
+    shares = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fits = belongs(F.col("homepage"), F.concat_ws(" ", "source", "title"), F.col("hosts"), F.col("names"))
-    at = items.join(sources.select("source_id", "hosts", "names"), fits).select("item_id", "source_id", tokens(F.col("title"), profile="index").alias("t"))
+    at = items.join(F.broadcast(sources.select("source_id", "hosts", "names")), fits).select("item_id", "source_id", tokens(F.col("title"), profile="index").alias("t"))
     entries = index.select("source_id", "place", "url", tokens(F.col("title"), profile="index").alias("e"))
     # Blocked by source and token: entries that share no word score nothing.
-    met = at.withColumn("w", F.explode("t")).join(entries.withColumn("w", F.explode("e")), ["source_id", "w"]).select("item_id", "source_id", "place", "url", "t", "e").dropDuplicates(["item_id", "source_id", "place"])
-    scored = met.withColumn("similarity", title_similarity(F.col("t"), F.col("e"))).where(F.col("similarity") >= threshold)
+    at = at.withColumn("row", F.monotonically_increasing_id())
+    x = at.select("row", "item_id", "source_id", F.size("t").alias("n"), F.explode("t").alias("w")).withColumn("share", F.pmod(F.xxhash64("row"), F.lit(shares)).cast("int"))
+    y = entries.select("source_id", "place", "url", F.size("e").alias("m"), F.explode("e").alias("w")).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    met = x.join(y, ["source_id", "w", "share"]).groupBy("row", "item_id", "source_id", "place", "url", "n", "m").agg(F.count("*").alias("both"))
+    similarity = F.floor((0.7 * (F.col("both") / F.least("n", "m")) + 0.3 * (F.col("both") / (F.col("n") + F.col("m") - F.col("both")))) * 10_000 + 0.5) / 10_000
+    scored = met.withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
     best = scored.groupBy("item_id").agg(F.max_by(F.struct("source_id", "url", "similarity"), F.struct("similarity", (-F.col("place")).alias("p"))).alias("b"))
     return best.select("item_id", "b.source_id", "b.url", "b.similarity")
 
