@@ -51,12 +51,17 @@ def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: v if v is None or v.isascii() else unicodedata.normalize("NFKC", v))
 
 
-def normalize(text: Column, profile: str | Profile = "lower") -> Column:
-    """The text under a profile; null stays null. Only the form folding leaves the JVM, in Arrow batches."""
+def folded(text: Column) -> Column:
+    """The text with its forms folded (NFKC), once for all profiles that read it; null stays null."""
+    return _nfkc(text)
+
+
+def normalize(text: Column, profile: str | Profile = "lower", form_folded: bool = False) -> Column:
+    """The text under a profile; null stays null. Only the form folding leaves the JVM, in Arrow batches; ``form_folded``: it is done."""
     p = PROFILES[profile] if isinstance(profile, str) else profile
     if p.tags:
         text = F.regexp_replace(text, "<[^>]*>", " ")
-    if p.nfkc:
+    if p.nfkc and not form_folded:
         text = _nfkc(text)
     text = F.regexp_replace(text, f"[{MARKS}{TATWEEL}{p.deleted}]", "")
     text = F.translate(text, LETTERS, LETTERS_AS)

@@ -33,8 +33,8 @@ def text_normalize(spark, d):
 @query()
 def text_normalize_forms(spark, d):
     """The profiles with form folding, which DuckDB lacks."""
-    t = F.col("text")
-    return Tables(spark, d).spread("documents").select("doc_id", *(text.normalize(t, p).alias(p) for p in ("scope", "routing", "origin", "glossary")))
+    docs = Tables(spark, d).spread("documents").select("doc_id", text.folded(F.col("text")).alias("folded"))
+    return docs.select("doc_id", *(text.normalize(F.col("folded"), p, form_folded=True).alias(p) for p in ("scope", "routing", "origin", "glossary")))
 
 
 @query(f"""SELECT doc_id, array_to_string(list_sort({text.tokens_sql("text", 3)}), '|') AS tokens, len({text.tokens_sql("text", 3)})::INT AS n FROM documents""")
