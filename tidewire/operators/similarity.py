@@ -74,6 +74,8 @@ def similar_pairs(reps: DataFrame, threshold: float) -> DataFrame:
     a, b = (first.select("e", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "size", "p"))) for x in "ab")
     need = F.ceil(threshold / (1 + threshold) * (F.col("size_a") + F.col("size_b")) - 1e-6)
     met = a.join(b, "e").where((F.col("id_a") < F.col("id_b")) & (F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")))
+    # The first element that meets has all common ones at or behind it in both orders; earlier hits have more room than later ones.
+    met = met.where(F.least(F.col("size_a") - F.col("p_a"), F.col("size_b") - F.col("p_b")) >= need)
     # Common elements before the first that meets are none; from the last that meets on, at most the shorter rest.
     found = met.groupBy("id_a", "id_b").agg(F.count("*").alias("hits"), F.max("p_a").alias("p_a"), F.max("p_b").alias("p_b"), F.first("size_a").alias("size_a"), F.first("size_b").alias("size_b"))
     fit = found.where(F.col("hits") + F.least(F.col("size_a") - F.col("p_a"), F.col("size_b") - F.col("p_b")) - 1 >= need).select("id_a", "id_b", "size_a", "size_b")
