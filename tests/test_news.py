@@ -301,6 +301,48 @@ def test_group_edges_join_what_match_edges_join(spark):
     assert of(events.match_edges(feats)) == of(events.group_edges(feats))
 
 
+def _one_title(spark, n, title="Ministry signs contract for the new river bridge"):
+    """Features of n reports of one title, each with a lead of its own."""
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(7))
+    rows = [(i, "c", title, " ".join(word() for _ in range(150)), f"2024-01-02 10:{i % 60:02d}:00") for i in range(n)]
+    return events.features(spark.createDataFrame(rows, "id bigint, category string, title string, body string, at string").withColumn("published_at", F.to_timestamp("at")))
+
+
+def test_pairs_of_one_title_carry_no_leads_through_shuffles(spark):
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    took = []
+    for n in (100, 200):
+        feats, before = _one_title(spark, n).cache(), shuffled()
+        assert events.match_edges(feats).count() == n * (n - 1) // 2
+        took.append(shuffled() - before)
+        feats.unpersist()
+    assert took[1] < 2.5 * took[0]
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_match_edges_are_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(events, "BLOCK", block)
+    draw = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "in", "of", "antidisestablishment"]
+    titles = [" ".join(draw.choice(words) for _ in range(draw.randint(0, 6))) for _ in range(25)]
+    rows = [(i, draw.choice(["x", "y", "y", None]), draw.choice([None, f"2024-01-{draw.randint(1, 9):02d} 10:00:00"]), draw.choice([*titles, None]), draw.choice(["one two three", "four five six 12", "12 one", None]), draw.choice(["", "fire", None])) for i in range(160)]
+    articles = spark.createDataFrame(rows, "id bigint, category string, t string, title string, body string, incident string").withColumn("published_at", F.to_timestamp("t"))
+    language = events.Language(aliases={"G": ["gamma"], "T": ["two"]}, actions={"up": ["alpha"], "down": ["beta"]})
+    feats = events.features(articles, language).cache()
+    side = lambda p: feats.select(*(F.col(c).alias(f"{p}_{c}") for c in feats.columns))
+    near = (F.col("a_category") == F.col("b_category")) & (F.col("a_id") < F.col("b_id")) & (events._hours_apart() <= events.HOURS) & (events.common(F.col("a_title_tokens"), F.col("b_title_tokens")) > 0)
+    want = {(r.a_id, r.b_id): r.score for r in side("a").join(side("b"), near).withColumn("score", events.pair_score(incident=True)).where("score >= 0.5").select("a_id", "b_id", "score").collect()}
+    got = [((r.a, r.b), r.score) for r in events.match_edges(feats).collect()]
+    assert len(want) > 100 and len(got) == len(want) and dict(got) == pytest.approx(want)
+    of = lambda edges: {r.id: r.component for r in similarity.grouped(articles.select("id"), edges).collect()}
+    assert of(events.match_edges(feats)) == of(events.group_edges(feats))
+
+
 def test_views(spark):
     rows = spark.createDataFrame([(1, "a", 95, 1), (2, "a", None, 1), (3, "b", 65, 3)], "id bigint, category string, score int, component bigint")
     assert {r.id: views_bucket for r, views_bucket in ((r, r.x) for r in rows.select("id", views.score_bucket(F.col("score")).alias("x")).collect())} == {1: "90+", 2: "pending", 3: "60-69"}

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 MARKS, TATWEEL, QURAN_MARKS = "\\x{064B}-\\x{065F}\\x{0670}", "\\x{0640}", "\\x{06D6}-\\x{06ED}"
 LETTERS, LETTERS_AS = "إأآٱىة", "اااايه"
 BLANKS = "[\\s\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]+"
+WORDLESS = "[^\\p{L}\\p{N}]+"
 BIDI = "[\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2066}-\\x{2069}]"
 QUOTES = "[\"'`\\x{201C}\\x{201D}]"
 
@@ -39,10 +40,10 @@ PROFILES = {
     "event": Profile(blank="[^\\x{0600}-\\x{06FF}0-9\\s]+"),
     "scope": Profile(blank=BIDI, collapse=False, nfkc=True),
     "routing": Profile(deleted=QURAN_MARKS, nfkc=True),
-    "origin": Profile(deleted=QURAN_MARKS, blank="[^\\p{L}\\p{N}]+", nfkc=True),
-    "index": Profile(blank="[^\\p{L}\\p{N}]+", lower=False, tags=True),
+    "origin": Profile(deleted=QURAN_MARKS, blank=WORDLESS, nfkc=True),
+    "index": Profile(blank=WORDLESS, lower=False, tags=True),
     "glossary": Profile(nfkc=True),
-    "words": Profile(blank="[^\\p{L}\\p{N}]+"),
+    "words": Profile(blank=WORDLESS),
 }
 
 
@@ -68,7 +69,8 @@ def normalize(text: Column, profile: str | Profile = "lower", form_folded: bool
     if p.blank:
         text = F.regexp_replace(text, p.blank, " ")
     if p.collapse:
-        text = F.trim(F.regexp_replace(text, BLANKS, " "))
+        # Where all but letters and digits became one blank each, there is nothing left to collapse.
+        text = F.trim(text if p.blank == WORDLESS else F.regexp_replace(text, BLANKS, " "))
     return F.lower(text) if p.lower else text
 
 
@@ -126,7 +128,8 @@ def canonical_phrase(text: Column, profile: str = "event") -> Column:
 
 def numbers(text: Column, bounded: bool = True) -> Column:
     """Distinct numbers, a decimal part included; ``bounded``: not inside ASCII words."""
-    pattern = "(?<![A-Za-z0-9_])\\d+(?:[.,]\\d+)?(?![A-Za-z0-9_])" if bounded else "[0-9]+(?:[.,][0-9]+)?"
+    # Digits are looked for first: hardly any place needs a look back.
+    pattern = "(?=\\d)(?<![A-Za-z0-9_])\\d+(?:[.,]\\d+)?(?![A-Za-z0-9_])" if bounded else "[0-9]+(?:[.,][0-9]+)?"
     return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0))
 
 
