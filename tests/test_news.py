@@ -343,6 +343,11 @@ def test_match_edges_are_all_pairs(spark, monkeypatch, block):
     assert of(events.match_edges(feats)) == of(events.group_edges(feats))
 
 
+def test_reports_of_one_title_are_linked_without_all_pairs(spark):
+    edges = events.group_edges(_one_title(spark, 60))
+    assert {(r.a, r.b) for r in edges.collect()} == {(i, 0) for i in range(60)}
+
+
 def test_views(spark):
     rows = spark.createDataFrame([(1, "a", 95, 1), (2, "a", None, 1), (3, "b", 65, 3)], "id bigint, category string, score int, component bigint")
     assert {r.id: views_bucket for r, views_bucket in ((r, r.x) for r in rows.select("id", views.score_bucket(F.col("score")).alias("x")).collect())} == {1: "90+", 2: "pending", 3: "60-69"}

@@ -392,7 +392,7 @@ def event_groups(articles: DataFrame, edges: DataFrame, score: Column) -> tuple[
 
     A group's id is a hash of all its members' ids in order, so these (and nothing else) meet in one row.
     """
-    parts = grouped(articles.withColumn("_score", score), edges)
+    parts = written(grouped(articles.withColumn("_score", score), edges), "parts")
     groups = parts.groupBy("component").agg(
         F.min_by("id", F.struct((-F.col("_score")).alias("score"), "id")).alias("representative_id"), F.count("*").alias("member_count"), (F.count("*") - 1).alias("duplicate_count"), F.min("published_at").alias("published_from"), F.max("published_at").alias("published_to"),
         group_id(F.collect_list(F.col("id").cast("string"))).alias("group_id"), F.array_sort(F.collect_set("source")).alias("sources"),
