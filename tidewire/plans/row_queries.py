@@ -148,8 +148,8 @@ def event_pairs(spark, d):
 
 def _groups(spark, d):
     t = Tables(spark, d)
-    a = t.articles()
-    return events.event_groups(a, events.group_edges(_features(t)), F.length("body"))
+    a = t.articles().select("id", "source", "published_at", F.length("body").alias("chars"))
+    return events.event_groups(a, events.group_edges(_features(t)), F.col("chars"))
 
 
 @query(f"""WITH RECURSIVE {_F} SELECT p.id, p.component, first_value(p.id) OVER w AS representative_id, count(*) OVER (PARTITION BY p.component) AS member_count,
