@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -226,6 +227,37 @@ def test_similar_pairs_against_brute_force(spark):
     assert {r.id: r.rep for r in members.collect()} == {i: least[frozenset(s)] for i, s in rows}
 
 
+def test_similar_pairs_at_the_threshold_and_of_repeated_ids(spark):
+    # 0.55 * 20 is a little over 11 in floating point; the 11 common elements are the most frequent ones.
+    wide, narrow = [f"x{i}" for i in range(9)] + [f"y{i}" for i in range(11)], [f"y{i}" for i in range(11)]
+    far = [(100 + i, [f"y{i}", f"z{i}", f"z{i + 1}", f"z{i + 2}", f"x{i % 9}"]) for i in range(11)]
+    rows = [(1, wide), (2, narrow), (2, [f"w{i}" for i in range(8)]), (3, [f"w{i}" for i in range(7)]), (4, narrow[::-1]), (5, []), (None, wide), *far]
+    got = similarity.similar_pairs(spark.createDataFrame(rows, "id bigint, set array<string>"), 0.55).collect()
+    assert sorted((r.a, r.b, r.similarity) for r in got) == [(1, 2, 0.55), (2, 3, 0.875)]
+
+
+def test_similar_pairs_of_long_and_short_sets_on_little_disk(spark, monkeypatch):
+    draw = random.Random(8)
+    vocabulary = [f"w{int(draw.paretovariate(0.6))}" for _ in range(40_000)]
+    bases = [draw.sample(vocabulary, draw.choice([4, 30, 200, 900])) for _ in range(60)]
+    vary = lambda s: [w for w in s if draw.random() < 0.9] + draw.sample(vocabulary, len(s) // 8)
+    rows = [(i, sorted(set(s))) for i, s in enumerate([*bases, *(vary(s) for s in bases * 3), *(vary(s + draw.choice(bases)) for s in bases)])]
+    least = {}
+    for i, s in rows:
+        if s:
+            least.setdefault(frozenset(s), i)
+    for room in (similarity.NUMBERED, 50, 0):
+        monkeypatch.setattr(similarity, "NUMBERED", room)
+        for t in (0.3, 0.5, 0.8):
+            want = {(a, b): len(x & y) / len(x | y) for x, a in least.items() for y, b in least.items() if a < b and len(x & y) >= t * len(x | y)}
+            assert {(r.a, r.b): r.similarity for r in similarity.similar_pairs(spark.createDataFrame(rows, "id bigint, set array<string>"), t).collect()} == want and len(want) > 20
+    shared = Path(spark.conf.get("spark.checkpoint.dir"), "tidewire")
+    before = {p: p.stat().st_size for p in shared.rglob("*.parquet")}
+    similarity.similar_pairs(spark.createDataFrame(rows, "id bigint, set array<string>"), 0.5).collect()
+    left = sum(p.stat().st_size for p in shared.rglob("*.parquet") if p not in before)
+    assert left < 5 * sum(len(s) for _, s in rows)
+
+
 def test_set_queries_read_whole_texts(spark, tmp_path):
     words = lambda stem, n: " ".join(f"{stem}{''.join(chr(97 + int(c)) for c in str(i))}" for i in range(n))
     long, other, third = words("long", 90), words("other", 90), words("third", 90)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidewire.functions.ids import group_id
 from tidewire.functions.lexicon import alias_signals
 from tidewire.functions.text import canonical_phrase, normalize, numbers, tokens
-from tidewire.operators.similarity import common, grouped, jaccard, overlap
+from tidewire.operators.similarity import common, grouped, jaccard, overlap, ranges
 from tidewire.sources.shared_folder import written
 
 #: Weights of title Jaccard, title overlap, lead Jaccard, signals, numbers; bonuses for one incident type and one title.
@@ -266,12 +266,6 @@ def _sets(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
     return starts - starts[0], codes, len(every)
 
 
-def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... end - 1 of each range in turn."""
-    sizes = ends - starts
-    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-
-
 def _compare_cell(hours: float, least: float) -> Callable:
     """Scores of the pairs of a cell: reports of the older titles, some at a time, against all of the newer titles they are paired with."""
 
@@ -283,7 +277,7 @@ def _compare_cell(hours: float, least: float) -> Callable:
             sets = [_sets(reports[c]) for c in ("lead_tokens", "signals", "numbers")]
             old, new, titles, strong, exact = (pairs[c].to_numpy() for c in ("old", "new", "titles", "strong", "exact"))
             of_old, of_new = (tuple(np.searchsorted(nodes, x, side) for side in ("left", "right")) for x in (old, new))
-            rows, asked = _ranges(*of_old), np.repeat(np.arange(len(old)), of_old[1] - of_old[0])
+            rows, asked = ranges(*of_old), np.repeat(np.arange(len(old)), of_old[1] - of_old[0])
             turn = np.flatnonzero(part[rows] == key[1].as_py())
             turn = turn[np.argsort(rows[turn], kind="stable")]
             rows, asked = rows[turn], asked[turn]
@@ -298,7 +292,7 @@ def _compare_cell(hours: float, least: float) -> Callable:
                 if begin == end:
                     continue
                 sizes, at = last[begin:end] - first[begin:end], ranks[begin:end] % most
-                row, pair, place, other = np.repeat(rows[begin:end], sizes), np.repeat(asked[begin:end], sizes), np.repeat(at, sizes), _ranges(first[begin:end], last[begin:end])
+                row, pair, place, other = np.repeat(rows[begin:end], sizes), np.repeat(asked[begin:end], sizes), np.repeat(at, sizes), ranges(first[begin:end], last[begin:end])
                 # Of a title with itself each pair of reports counts once.
                 fit = np.where(old[pair] == new[pair], ids[row] < ids[other], ids[row] != ids[other])
                 fit &= (part[other] == key[2].as_py()) & (np.abs(s[other] - s[row]) / 3600 <= hours)
@@ -308,8 +302,8 @@ def _compare_cell(hours: float, least: float) -> Callable:
                 shares, shared = [], []
                 for (starts, codes, _), mark in zip(sets, marks, strict=True):
                     n, m = starts[row + 1] - starts[row], starts[other + 1] - starts[other]
-                    mark[np.repeat(own_at, starts[own + 1] - starts[own]), codes[_ranges(starts[own], starts[own + 1])]] = True
-                    hits = np.concatenate([[0], np.cumsum(mark[np.repeat(place, m), codes[_ranges(starts[other], starts[other + 1])]])])
+                    mark[np.repeat(own_at, starts[own + 1] - starts[own]), codes[ranges(starts[own], starts[own + 1])]] = True
+                    hits = np.concatenate([[0], np.cumsum(mark[np.repeat(place, m), codes[ranges(starts[other], starts[other + 1])]])])
                     mark[held] = False
                     ends = np.cumsum(m)
                     both = hits[ends] - hits[ends - m]

@@ -93,9 +93,7 @@ _REPS = f"SELECT min(id) AS id, s FROM ({_SETS}) WHERE len(s) > 0 GROUP BY s"
 @query(f"""WITH reps AS ({_REPS}), scored AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.s, b.s)) AS c, len(a.s) AS n, len(b.s) AS m FROM reps a JOIN reps b ON a.id < b.id
   AND least(len(a.s), len(b.s)) >= 0.5 * greatest(len(a.s), len(b.s))) SELECT a, b, c::DOUBLE / (n + m - c) AS similarity FROM scored WHERE c::DOUBLE / (n + m - c) >= 0.5""")
 def set_similarity_pairs(spark, d):
-    a = Tables(spark, d).articles().select("id", tokens(F.col("body")).alias("s"))
-    reps, _ = similarity.set_classes(a, "id", "s")
-    return similarity.similar_pairs(reps, 0.5)
+    return similarity.similar_pairs(Tables(spark, d).articles().select("id", tokens(F.col("body")).alias("set")), 0.5)
 
 
 @query(f"""SELECT s.id, min(s.id) OVER (PARTITION BY s.s) AS rep FROM ({_SETS}) s WHERE len(s.s) > 0""")
