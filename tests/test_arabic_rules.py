@@ -74,6 +74,24 @@ def test_sure_links_join_what_sure_pairs_join(spark, seed):
     assert of(pairs) == of(events.group_edges(feats, sure=(rule,)))
 
 
+def test_plans_of_sure_matches_do_not_grow_with_rules(spark):
+    """Rules of several families and lengths in one step; the last plan joins what earlier ones wrote."""
+    rows = [(1, "a", ["p", "c"], 0), (2, "a", ["p", "d"], 1), (3, "a", ["c", "d"], 3), (4, "b", ["p", "c"], 0), (5, "a", ["p", "c", "d"], 5), (6, None, ["p", "c"], 0), (7, "", ["p", "c"], 0)]
+    empty = F.array().cast("array<string>")
+    timed = spark.createDataFrame(rows, "id bigint, category string, signals array<string>, h bigint").withColumns({"s": F.col("h") * 3600.0, "actions": empty, "cues": empty})
+    rules = (events.Sure(0.9, 1, (("p",), ("c", "d"))), events.Sure(0.8, 2, (("d",),)), events.Sure(0.7, 5, (("c",), ("p", "d"))))
+    of = lambda some: events._sure_pairs(timed, some)
+    meet = lambda rule, x, y: x[1:2] == y[1:2] and abs(x[3] - y[3]) <= rule.hours and all(set(f) & set(x[2]) & set(y[2]) for f in rule.families)
+    told = [(i, c or "", s, h) for i, c, s, h in rows]
+    for some in (rules, rules[:1], rules[1:]):
+        assert {(r.a_id, r.b_id) for r in of(some).collect()} == {(x[0], y[0]) for x, y in combinations(told, 2) if any(meet(rule, x, y) for rule in some)}
+    sizes = [of(some)._jdf.queryExecution().optimizedPlan().toString().count("\n") for some in (rules[:1], rules)]
+    assert sizes[0] == sizes[1]
+    articles = spark.createDataFrame(REPORTS, "id bigint, t string, title string, body string").select("id", F.lit("x").alias("category"), F.to_timestamp(F.concat(F.lit("2024-01-01 "), "t")).alias("published_at"), "title", "body")
+    plan = events.match_edges(events.features(articles, arabic_rules.EVENT_LANGUAGE), sure=arabic_rules.EVENT_SURE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 3 and "Generate" not in plan and "Window" not in plan
+
+
 def test_alias_signals_are_one_step_of_a_plan(spark):
     """Names stand in their order, between blanks, overlapping ones too; the plan doesn't grow with the aliases."""
     names = {"B": ["new york", "nyc"], "A": ["york"], "NONE": ["bridge"]}

@@ -161,25 +161,31 @@ def _scored(met: DataFrame, feats: DataFrame, least: float, sure: tuple[Sure, ..
     return scored.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), pair_score(sure, "incident" in feats.columns).alias("score")).where(F.col("score") >= least)
 
 
-def _combined(timed: DataFrame, number: int, rule: Sure) -> DataFrame:
-    """(id, s, key, actions) of each report and each choice of one of its signals from every family of a rule."""
-    made = timed.withColumn("_all", F.array_union(F.array_union("signals", "actions"), "cues"))
-    for i, family in enumerate(rule.families):
-        made = made.withColumn(f"_{i}", F.explode(F.array_intersect(F.array(*map(F.lit, family)), "_all")))
-    key = F.to_json(F.struct(F.lit(number).alias("rule"), F.coalesce("category", F.lit("")).alias("category"), *(f"_{i}" for i in range(len(rule.families)))))
-    return made.select("id", "s", key.alias("key"), "actions").where("s is not null")
+def _combined(timed: DataFrame, sure: tuple[Sure, ...]) -> DataFrame:
+    """(id, s, actions, key, width, bucket) of each report, each rule and each choice of one of its signals from every family of the rule, as a table.
+
+    All rules are told in one step, so that a plan does not grow with rules and families. ``width``: the rule's hours in seconds, as long as a bucket is.
+    """
+    each = lambda keys, own: F.flatten(F.transform(keys, lambda k: F.transform(own, lambda name: F.concat(k, name, F.lit("\x1f")))))
+    keyed = lambda keys, width: F.transform(keys, lambda k: F.struct(F.concat(k, F.coalesce("category", F.lit(""))).alias("key"), F.lit(width).alias("width")))
+    chosen = []
+    for number, rule in enumerate(sure):
+        # Names of families hold no such sign, and their number is the rule's, so a category may be any text.
+        keys = F.array(F.lit(f"{number}\x1f"))
+        for family in rule.families:
+            keys = each(keys, F.array_intersect(F.array(*map(F.lit, family)), F.col("_all")))
+        chosen.append(keyed(keys, rule.hours * 3600.0))
+    made = timed.where("s is not null").withColumn("_all", F.array_union(F.array_union("signals", "actions"), "cues"))
+    made = made.select("id", "s", "actions", F.explode(F.concat(*chosen)).alias("_")).select("id", "s", "actions", "_.key", "_.width")
+    return written(made.withColumn("bucket", F.floor(F.col("s") / F.col("width"))), "choices")
 
 
 def _sure_pairs(timed: DataFrame, sure: tuple[Sure, ...]) -> DataFrame:
     """(a_id, b_id) of all pairs that share a choice of signals within the rule's hours."""
-    out = None
-    for number, rule in enumerate(sure):
-        at = _combined(timed, number, rule).withColumn("bucket", F.floor(F.col("s") / (rule.hours * 3600)))
-        x, y = at.alias("x"), at.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + i for i in (-1, 0, 1))))).alias("y")
-        met = x.join(y, ["key", "bucket"]).where((F.col("x.id") < F.col("y.id")) & (F.abs(F.col("x.s") - F.col("y.s")) <= rule.hours * 3600))
-        pairs = met.select(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id"))
-        out = pairs if out is None else out.unionAll(pairs)
-    return out.distinct()
+    at = _combined(timed, sure)
+    x, y = at.alias("x"), at.withColumn("bucket", F.explode(F.array(*(F.col("bucket") + i for i in (-1, 0, 1))))).alias("y")
+    met = x.join(y, ["key", "bucket"]).where((F.col("x.id") < F.col("y.id")) & (F.abs(F.col("x.s") - F.col("y.s")) <= F.col("x.width")))
+    return met.select(F.col("x.id").alias("a_id"), F.col("y.id").alias("b_id")).distinct()
 
 
 def _sure_links(timed: DataFrame, sure: tuple[Sure, ...], least: float) -> DataFrame:
@@ -188,22 +194,19 @@ def _sure_links(timed: DataFrame, sure: tuple[Sure, ...], least: float) -> DataF
     Reports without actions and those of one action never conflict, so for each action they form a chain in time: those
     of one bucket, as long as the hours, hang on its least id, and a bucket's last and the next one's first are joined.
     """
-    out = None
-    for number, rule in enumerate(sure):
-        if rule.score < least:
-            continue
-        at = _combined(timed, number, rule)
-        known = at.select("key", F.explode("actions").alias("action")).distinct().groupBy("key").agg(F.collect_set("action").alias("known"))
-        chains = F.when(F.size("actions") > 0, F.col("actions")).otherwise(F.coalesce("known", F.array(F.lit(""))))
-        at = at.join(known, "key", "left").withColumn("chain", F.explode(chains)).withColumn("bucket", F.floor(F.col("s") / (rule.hours * 3600)))
-        at = written(at.select("id", "s", "key", "chain", "bucket"), "chains")
-        nodes = at.groupBy("key", "chain", "bucket").agg(F.min("id").alias("node"), F.min("s").alias("lo"), F.max("s").alias("hi"))
-        members = at.join(nodes, ["key", "chain", "bucket"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
-        before = Window.partitionBy("key", "chain").orderBy("bucket")
-        in_turn = nodes.withColumns({"prev": F.lag("node").over(before), "prev_hi": F.lag("hi").over(before)}).where(F.col("lo") - F.col("prev_hi") <= rule.hours * 3600)
-        links = members.unionAll(in_turn.select(F.col("prev").alias("a"), F.col("node").alias("b")))
-        out = links if out is None else out.unionAll(links)
-    return out if out is not None else timed.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
+    sure = tuple(rule for rule in sure if rule.score >= least)
+    if not sure:
+        return timed.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
+    at = _combined(timed, sure)
+    known = at.select("key", F.explode("actions").alias("action")).distinct().groupBy("key").agg(F.collect_set("action").alias("known"))
+    chains = F.when(F.size("actions") > 0, F.col("actions")).otherwise(F.coalesce("known", F.array(F.lit(""))))
+    at = at.join(known, "key", "left").withColumn("chain", F.explode(chains))
+    at = written(at.select("id", "s", "key", "chain", "width", "bucket"), "chains")
+    nodes = at.groupBy("key", "chain", "bucket").agg(F.min("id").alias("node"), F.min("s").alias("lo"), F.max("s").alias("hi"), F.first("width").alias("width"))
+    members = at.join(nodes, ["key", "chain", "bucket"]).select(F.col("id").alias("a"), F.col("node").alias("b"))
+    before = Window.partitionBy("key", "chain").orderBy("bucket")
+    in_turn = nodes.withColumns({"prev": F.lag("node").over(before), "prev_hi": F.lag("hi").over(before)}).where(F.col("lo") - F.col("prev_hi") <= F.col("width"))
+    return members.unionAll(in_turn.select(F.col("prev").alias("a"), F.col("node").alias("b")))
 
 
 def _seconds(published_at: Column) -> Column:
@@ -353,9 +356,11 @@ def match_edges(feats: DataFrame, hours: float = HOURS, least: float = LEAST, su
     Copies give all their pairs here, as these are the result; ``group_edges`` joins the same groups without them.
     """
     reports = _reports(feats, hours)
-    compared = _compared(reports, _title_pairs(reports, hours)[1], hours, least)
+    pairs = _title_pairs(reports, hours)[1]
     if not sure:
-        return compared
+        return _compared(reports, pairs, hours, least)
+    # Each step a table of its own: the driver plans a step anew whenever a part of it ends, so one large plan is many.
+    compared = written(_compared(reports, written(pairs, "title_pairs"), hours, least), "compared")
     certain = written(_sure_pairs(reports, sure), "certain")
     return compared.join(certain, (F.col("a") == F.col("a_id")) & (F.col("b") == F.col("b_id")), "left_anti").unionByName(_scored(certain, reports.select(*feats.columns), least, sure))
 
